@@ -12,6 +12,34 @@ from tidemark import schemas as S
 from tidemark.functions.clock import wall
 
 _POSITION = ["value", "topic", "partition", "offset"]
+_HELPERS = ["_unreadable", "_malformed", "error_text", *_POSITION]
+
+# Fields that are not text, and what they are read as.
+_TYPED = {
+    "timestamp": "timestamp",
+    "amount": "double",
+    "latitude": "double",
+    "longitude": "double",
+    "is_online": "boolean",
+    "card_present": "boolean",
+}
+
+_KINDS = ", ".join(f"'{t}'" for t in S.TRANSACTION_TYPES)
+
+# What makes a field invalid, in the order the errors are listed.
+RULES = {
+    "event_id": "event_id IS NULL",
+    "account_id": "account_id IS NULL",
+    "timestamp": "event_timestamp IS NULL",
+    "amount": "amount IS NULL OR isnan(amount) OR amount < 0",
+    "merchant_id": "merchant_id IS NULL",
+    "transaction_type": f"transaction_type IS NULL OR transaction_type NOT IN ({_KINDS})",
+    "latitude": f"isnan(latitude) OR abs(latitude) > {S.LATITUDE_LIMIT}",
+    "longitude": f"isnan(longitude) OR abs(longitude) > {S.LONGITUDE_LIMIT}",
+    "is_online": "false",
+    "card_present": "false",
+    "country_code": f"length(country_code) > {S.COUNTRY_CODE_LENGTH}",
+}
 
 
 def decode_messages(raw: DataFrame) -> DataFrame:
@@ -22,36 +50,26 @@ def decode_messages(raw: DataFrame) -> DataFrame:
     parsed = F.from_json(
         "value", S.MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
-    kinds = {
-        "timestamp": "timestamp",
-        "amount": "double",
-        "latitude": "double",
-        "longitude": "double",
-        "is_online": "boolean",
-        "card_present": "boolean",
-    }
-
-    def typed(name: str) -> Column:
-        return F.col(f"m.{name}").try_cast(kinds[name])
-
-    unreadable = F.array_compact(
-        F.array(
-            *[F.when(F.col(f"m.{n}").isNotNull() & typed(n).isNull(), F.lit(n)) for n in kinds]
-        )
-    )
     position = [c for c in _POSITION if c in raw.columns]
-    decoded = raw.select(*position, parsed.alias("m"))
+    # A generator, not a plain column: filters stay above it, so each value is parsed once.
+    fields = raw.select(*position, F.inline(F.array(parsed)))
     columns = []
-    for field in S.MESSAGE.names[:-1]:
-        if field == "timestamp":
-            columns.append(typed(field).cast("timestamp_ntz").alias("event_timestamp"))
-        elif field in kinds:
-            columns.append(typed(field).alias(field))
+    for name in S.MESSAGE.names[:-1]:
+        if name == "timestamp":
+            columns.append("CAST(try_cast(timestamp AS timestamp) AS timestamp_ntz) event_timestamp")
+        elif name in _TYPED:
+            columns.append(f"try_cast({name} AS {_TYPED[name]}) AS {name}")
         else:
-            columns.append(F.col(f"m.{field}").alias(field))
-    malformed = F.col("m._corrupt").isNotNull() | F.col("m").isNull()
-    return decoded.select(
-        *columns, unreadable.alias("_unreadable"), malformed.alias("_malformed"), *position
+            columns.append(name)
+    bad = ", ".join(
+        f"CASE WHEN {n} IS NOT NULL AND try_cast({n} AS {t}) IS NULL THEN '{n}' END"
+        for n, t in _TYPED.items()
+    )
+    return fields.selectExpr(
+        *columns,
+        f"concat_ws(',', {bad}) AS _unreadable",
+        "_corrupt IS NOT NULL OR value IS NULL AS _malformed",
+        *position,
     )
 
 
@@ -61,47 +79,32 @@ def with_defaults(df: DataFrame) -> DataFrame:
     return df.withColumns({n: F.coalesce(F.col(n), F.lit(v)) for n, v in present.items()})
 
 
-def _rules(df: DataFrame) -> list[tuple[str, Column]]:
-    c = F.col
-    lat, lon = S.LATITUDE_LIMIT, S.LONGITUDE_LIMIT
-
-    def beyond(name: str, limit: float) -> Column:
-        return F.isnan(name) | (F.abs(c(name)) > limit)
-
-    unreadable = F.array().cast("array<string>")
-    if "_unreadable" in df.columns:
-        unreadable = c("_unreadable")
-
-    def garbled(name: str) -> Column:
-        return F.array_contains(unreadable, name)
-
-    rules = [
-        ("event_id", c("event_id").isNull()),
-        ("account_id", c("account_id").isNull()),
-        ("timestamp", c("event_timestamp").isNull()),
-        ("amount", c("amount").isNull() | F.isnan("amount") | (c("amount") < 0)),
-        ("merchant_id", c("merchant_id").isNull()),
-        (
-            "transaction_type",
-            c("transaction_type").isNull() | ~c("transaction_type").isin(S.TRANSACTION_TYPES),
-        ),
-        ("latitude", beyond("latitude", lat) | garbled("latitude")),
-        ("longitude", beyond("longitude", lon) | garbled("longitude")),
-        ("is_online", garbled("is_online")),
-        ("card_present", garbled("card_present")),
-        ("country_code", F.length("country_code") > S.COUNTRY_CODE_LENGTH),
-    ]
-    if "_malformed" in df.columns:
-        return [("malformed", c("_malformed"))] + [
-            (name, ~c("_malformed") & broken) for name, broken in rules
-        ]
-    return rules
+def _error_list(df: DataFrame) -> str:
+    """The names of the broken fields as arguments of a SQL call; NULL where a rule holds."""
+    decoded = "_malformed" in df.columns
+    cases = ["CASE WHEN _malformed THEN 'malformed' END"] if decoded else []
+    for name, rule in RULES.items():
+        if decoded and name in _TYPED:
+            rule = f"{rule} OR find_in_set('{name}', _unreadable) > 0"
+        if decoded:
+            rule = f"NOT _malformed AND ({rule})"
+        cases.append(f"CASE WHEN {rule} THEN '{name}' END")
+    return ", ".join(cases)
 
 
 def validate(df: DataFrame) -> DataFrame:
     """Add ``errors``: the names of the fields that break a rule, in field order."""
-    found = [F.when(broken, F.lit(name)) for name, broken in _rules(df)]
-    return df.withColumn("errors", F.array_compact(F.array(*found)))
+    return df.withColumn("errors", F.expr(f"array_compact(array({_error_list(df)}))"))
+
+
+def check(df: DataFrame) -> DataFrame:
+    """Add ``error_text``: the names of the broken fields separated by commas, empty for valid rows.
+
+    Made by a generator so that the rules run once per row, however often the text is filtered on.
+    """
+    return df.selectExpr(
+        "*", f"inline(array(struct(concat_ws(', ', {_error_list(df)}) AS error_text)))"
+    )
 
 
 def split_valid(
@@ -111,19 +114,17 @@ def split_valid(
 ) -> tuple[DataFrame, DataFrame]:
     """Valid rows with defaults filled, and the dead-letter envelopes of the rest.
 
-    ``df`` comes from decode_messages. Both halves are narrow filters over the same frame; cache or
-    write it first if both are consumed in one run.
+    ``df`` comes from decode_messages. Both halves are narrow filters over the same frame; write it
+    first, as the stream does, if both are consumed in one run.
     """
-    checked = df if "errors" in df.columns else validate(df)
-    helper = ["errors", "_unreadable", "_malformed", *_POSITION]
-    valid = with_defaults(checked.where(F.size("errors") == 0).drop(*helper))
-    dead = envelope(
-        checked.where(F.size("errors") > 0),
-        F.concat(F.lit("Validation error: "), F.concat_ws(", ", "errors")),
-        failed_at,
-        source_topic,
-    )
-    return valid, dead
+    checked = check(df)
+    valid = with_defaults(checked.where("error_text = ''").drop(*_HELPERS))
+    dead = checked.where("error_text <> ''")
+    return valid, envelope(dead, error_reason(), failed_at, source_topic)
+
+
+def error_reason() -> Column:
+    return F.concat(F.lit("Validation error: "), F.col("error_text"))
 
 
 def envelope(

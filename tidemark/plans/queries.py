@@ -64,8 +64,12 @@ def _messages(spark: SparkSession, folder: str) -> DataFrame:
     return tables.messages_from(_txns(spark, folder))
 
 
-def _checked(spark: SparkSession, folder: str) -> DataFrame:
-    return validation.validate(validation.decode_messages(_messages(spark, folder)))
+def _decoded(spark: SparkSession, folder: str) -> DataFrame:
+    return validation.decode_messages(_messages(spark, folder))
+
+
+def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return validation.split_valid(_decoded(spark, folder), NOW)
 
 
 def _hops(spark: SparkSession, folder: str, now: str = NOW) -> DataFrame:
@@ -122,13 +126,13 @@ _AVERAGED = [
 
 @query
 def decode_messages(spark: SparkSession, folder: str) -> DataFrame:
-    rows = validation.decode_messages(_messages(spark, folder))
-    return rows.drop("_unreadable", "_malformed", "value", "topic", "partition", "offset")
+    helpers = ["_unreadable", "_malformed", "value", "topic", "partition", "offset"]
+    return _decoded(spark, folder).drop(*helpers)
 
 
 @query
 def validate_events(spark: SparkSession, folder: str) -> DataFrame:
-    return _checked(spark, folder).select(
+    return validation.validate(_decoded(spark, folder)).select(
         "event_id",
         "account_id",
         F.concat_ws(", ", "errors").alias("errors"),
@@ -138,12 +142,12 @@ def validate_events(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def valid_events(spark: SparkSession, folder: str) -> DataFrame:
-    return validation.split_valid(_checked(spark, folder), NOW)[0]
+    return _split(spark, folder)[0]
 
 
 @query
 def dead_letter(spark: SparkSession, folder: str) -> DataFrame:
-    dead = validation.split_valid(_checked(spark, folder), NOW)[1]
+    dead = _split(spark, folder)[1]
     return dead.select(
         F.get_json_object("original_message", "$.event_id").alias("event_id"),
         "error_reason",
@@ -156,7 +160,7 @@ def dead_letter(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def redrive(spark: SparkSession, folder: str) -> DataFrame:
-    dead = validation.split_valid(_checked(spark, folder), NOW)[1]
+    dead = _split(spark, folder)[1]
     return validation.redrive(dead).select(
         "event_id", "account_id", "amount", F.concat_ws(", ", "errors").alias("errors")
     )
@@ -164,12 +168,12 @@ def redrive(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ingest_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.ingest_stats(*validation.split_valid(_checked(spark, folder), NOW))
+    return quality.ingest_stats(*_split(spark, folder))
 
 
 @query
 def dlq_depth(spark: SparkSession, folder: str) -> DataFrame:
-    dead = validation.split_valid(_checked(spark, folder), NOW)[1]
+    dead = _split(spark, folder)[1]
     return quality.dlq_depth(dead, threshold=1000)
 
 
@@ -191,7 +195,7 @@ def event_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def publish(spark: SparkSession, folder: str) -> DataFrame:
-    rows = validation.split_valid(_checked(spark, folder), NOW)[0]
+    rows = _split(spark, folder)[0]
     return publish_frame(rows).select(
         "key",
         "partition",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions.clock import day
-from tidemark.operators.validation import decode_messages, validate, with_defaults
+from tidemark.operators.validation import decode_messages, split_valid
 
 _ROLLING_KEY = ["account_id", "computation_date", "window_days", "metric_name"]
 
@@ -33,8 +33,7 @@ def valid_rows(records: DataFrame) -> DataFrame:
     fields = [n for n in S.MESSAGE.names if n != "_corrupt"]
     intact = records.where(F.col("_corrupt").isNull()) if "_corrupt" in records.columns else records
     messages = intact.select(F.to_json(F.struct(*fields)).alias("value"))
-    checked = validate(decode_messages(messages)).where(F.size("errors") == 0)
-    return with_defaults(checked.drop("errors", "_unreadable", "_malformed", "value"))
+    return split_valid(decode_messages(messages), "1970-01-01 00:00:00")[0]
 
 
 def write_daily(df: DataFrame, path: str) -> None:

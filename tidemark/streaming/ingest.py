@@ -14,7 +14,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schemas as S
 from tidemark.functions.clock import day
 from tidemark.operators.quality import EXHAUSTED
-from tidemark.operators.validation import decode_messages, envelope, validate, with_defaults
+from tidemark.operators.validation import (
+    check,
+    decode_messages,
+    envelope,
+    error_reason,
+    with_defaults,
+)
 from tidemark.sources.logs import append_batch
 
 Handler = Callable[[DataFrame, int], None]
@@ -36,13 +42,12 @@ CHECKED = T.StructType(
 
 def checked_rows(messages: DataFrame) -> DataFrame:
     """One row per message with its outcome, valid or dead; works on streams and tables alike."""
-    rows = with_defaults(validate(decode_messages(messages)))
-    bad = F.size("errors") > 0
-    reason = F.concat(F.lit("Validation error: "), F.concat_ws(", ", "errors"))
+    rows = with_defaults(check(decode_messages(messages)))
+    bad = F.col("error_text") != ""
     return rows.select(
         *[f.name for f in _EVENT],
         F.when(bad, F.col("value")).alias("original_message"),
-        F.when(bad, reason).alias("error_reason"),
+        F.when(bad, error_reason()).alias("error_reason"),
         F.col("topic").alias("source_topic"),
         F.col("partition").cast("int").alias("source_partition"),
         F.col("offset").cast("bigint").alias("source_offset"),
