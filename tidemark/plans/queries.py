@@ -13,10 +13,11 @@ from tidemark.operators import trailing, validation
 from tidemark.functions.clock import MICROS, hour_of_day, is_weekend, micros
 from tidemark.functions.keys import route_partition
 from tidemark.functions.numbers import velocity
-from tidemark.session import pin_utc
+from tidemark.session import pin_utc, run_dir
 from tidemark.sources import tables
 from tidemark.sources.feature_tables import conform_batch, new_rolling
 from tidemark.sources.messages import publish_frame
+from tidemark.streaming import ingest, panes
 
 NOW = "2024-02-05 00:00:00"
 TARGET_DATE = "2024-02-05"
@@ -121,6 +122,15 @@ _AVERAGED = [
 ]
 
 
+_ONCE = {"availableNow": True}
+
+
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    schema = tables.read(spark, folder, "events").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return tables.transactions_from(reader.parquet(folder))
+
+
 # Messages, validation, staging.
 
 
@@ -511,3 +521,65 @@ def skew_report(spark: SparkSession, folder: str) -> DataFrame:
         .select("account_id", "v.*")
     )
     return _rounded(quality.skew_report(hot, cold, names, tolerance=0.005), "gap")
+
+
+# Streams: each runs over the whole event table as a stream and reads back what it stored.
+
+
+def _stream_checked(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    root = run_dir(spark, name)
+    messages = tables.messages_from(_event_stream(spark, folder))
+    ingest.write_checked(messages, f"{root}/checked", f"{root}/ck", _ONCE).awaitTermination()
+    return ingest.read_checked(spark, f"{root}/checked")
+
+
+@query
+def stream_valid_events(spark: SparkSession, folder: str) -> DataFrame:
+    return ingest.valid_events(_stream_checked(spark, folder, "valid"))
+
+
+@query
+def stream_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
+    dead = ingest.dead_letters(_stream_checked(spark, folder, "dead"))
+    return dead.select(
+        F.get_json_object("original_message", "$.event_id").alias("event_id"),
+        "error_reason",
+        "source_topic",
+        "source_partition",
+        "source_offset",
+    )
+
+
+@query
+def stream_first_visits(spark: SparkSession, folder: str) -> DataFrame:
+    root = run_dir(spark, "visits")
+    events = staging.clean(_event_stream(spark, folder), NOW)
+    ingest.write_first_visits(events, f"{root}/out", f"{root}/ck", _ONCE).awaitTermination()
+    return ingest.read_first_visits(spark, f"{root}/out").select("account_id", "merchant_id")
+
+
+@query
+def stream_hop_1h(spark: SparkSession, folder: str) -> DataFrame:
+    root = run_dir(spark, "panes")
+    stream = panes.pane_stream(staging.clean(_event_stream(spark, folder), NOW))
+    ingest.process_stream(
+        stream,
+        lambda batch, batch_id: panes.write_panes(batch, f"{root}/panes", batch_id),
+        f"{root}/ck",
+        _ONCE,
+        output_mode="update",
+    ).awaitTermination()
+    return hopping.windows_over(panes.read_panes(spark, f"{root}/panes")).drop("pane_end")
+
+
+@query
+def stream_served(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole hot path: events to panes to served realtime rows."""
+    paths = panes.Paths.under(run_dir(spark, "served"))
+    stream = panes.pane_stream(staging.clean(_event_stream(spark, folder), NOW))
+    sink = panes.make_sink(paths, tables.profiles(spark, folder), lambda: NOW)
+    ingest.process_stream(
+        stream, sink, f"{paths.runs}-ck", _ONCE, output_mode="update"
+    ).awaitTermination()
+    rows = serving.live(serving.read_serving(spark, paths.serving, "realtime"), NOW)
+    return rows.drop("batch_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +32,9 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in spark.checkpoint.dir.
 
@@ -39,8 +43,14 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return _local_dirs[context.applicationId]
+
+
+def run_dir(spark: SparkSession, name: str) -> str:
+    """A new folder for one run under the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
