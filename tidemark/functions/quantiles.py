@@ -20,7 +20,7 @@ CELLS_PER_OCTAVE = 4096
 def _cell(value: Column, per_octave: int) -> Column:
     # Monotone in the value, and bounded: about 120,000 cells reach from 0 to a billion.
     size = F.log2(F.abs(value) + 1.0) * per_octave
-    return F.floor(F.signum(value) * size).cast("bigint")
+    return F.coalesce(F.floor(F.signum(value) * size).cast("bigint"), F.lit(0))
 
 
 def grouped_quantiles(
@@ -31,7 +31,7 @@ def grouped_quantiles(
     method: str = "linear",
     per_octave: int = CELLS_PER_OCTAVE,
 ) -> DataFrame:
-    """One row per key with a column per entry of ``probs`` (output name -> probability).
+    """One row per non-null key with a column per entry of ``probs`` (output name -> probability).
 
     ``linear`` interpolates between the two nearest ranks (PERCENTILE_CONT); ``nearest`` takes the
     value at zero-based rank min(floor(n * p), n - 1).
@@ -47,8 +47,10 @@ def grouped_quantiles(
 
     ranks = [side(position(p)) for p in probs.values() for side in (F.floor, F.ceil)]
 
+    # Both uses of the counts must plan alike, null checks included, to share one scan and shuffle.
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, value]])
     counts = (
-        df.where(F.col(value).isNotNull())
+        df.where(complete)
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias(n))
         .withColumn(cell, _cell(F.col(value), per_octave))

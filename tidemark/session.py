@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Call sites are looked up for every Column otherwise, which costs more than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -19,33 +19,26 @@ def account(key: Column) -> Column:
 
 def transactions_from(events: DataFrame) -> DataFrame:
     """Card transactions from the ``events`` table (static or streaming)."""
-    eid = F.col("event_id")
-
-    def unless(divisor: int, value: Column) -> Column:
-        return F.when(eid % divisor != 0, value)
-
-    kind = (
-        F.when(F.col("event_type") == "purchase", "purchase")
-        .when(F.col("event_type") == "click", "payment")
-        .when(F.col("event_type") == "view", "transfer")
-        .when(F.col("event_type") == "signup", "withdrawal")
-        .otherwise("error")
-    )
-    return events.select(
-        F.concat(F.lit("evt_"), eid.cast("string")).alias("event_id"),
-        account(F.col("user_id")).alias("account_id"),
-        F.col("ts").alias("event_timestamp"),
-        F.col("ts").cast("date").alias("transaction_date"),
-        F.col("value").alias("amount"),
-        F.concat(F.lit("merch_"), F.regexp_extract("props", "[0-9]+", 0)).alias("merchant_id"),
-        unless(13, F.upper("event_type")).alias("merchant_category"),
-        kind.alias("transaction_type"),
-        unless(10, ((eid * 7919) % 18001).cast("double") / 100.0 - 90.0).alias("latitude"),
-        unless(10, ((eid * 104729) % 36001).cast("double") / 100.0 - 180.0).alias("longitude"),
-        unless(11, eid % 3 == 0).alias("is_online"),
-        unless(17, eid % 3 != 0).alias("card_present"),
-        F.when(eid % 19 != 0, F.when(eid % 7 == 0, "CA").otherwise("US")).alias("country_code"),
-        F.col("ts").alias("ingested_at"),
+    return events.selectExpr(
+        "concat('evt_', CAST(event_id AS string)) AS event_id",
+        "concat('acct_', CAST(user_id AS string)) AS account_id",
+        "ts AS event_timestamp",
+        "CAST(ts AS date) AS transaction_date",
+        "value AS amount",
+        "concat('merch_', regexp_extract(props, '[0-9]+', 0)) AS merchant_id",
+        "CASE WHEN event_id % 13 <> 0 THEN upper(event_type) END AS merchant_category",
+        "CASE event_type WHEN 'purchase' THEN 'purchase' WHEN 'click' THEN 'payment' "
+        "WHEN 'view' THEN 'transfer' WHEN 'signup' THEN 'withdrawal' ELSE 'error' END "
+        "AS transaction_type",
+        "CASE WHEN event_id % 10 <> 0 "
+        "THEN CAST((event_id * 7919) % 18001 AS double) / 100D - 90D END AS latitude",
+        "CASE WHEN event_id % 10 <> 0 "
+        "THEN CAST((event_id * 104729) % 36001 AS double) / 100D - 180D END AS longitude",
+        "CASE WHEN event_id % 11 <> 0 THEN event_id % 3 = 0 END AS is_online",
+        "CASE WHEN event_id % 17 <> 0 THEN event_id % 3 <> 0 END AS card_present",
+        "CASE WHEN event_id % 19 <> 0 THEN CASE WHEN event_id % 7 = 0 THEN 'CA' ELSE 'US' END END "
+        "AS country_code",
+        "ts AS ingested_at",
     )
 
 
@@ -65,36 +58,33 @@ def card_history(spark: SparkSession, folder: str) -> DataFrame:
         "l_linestatus",
     )
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    return joined.select(
-        F.concat_ws("_", F.lit("line"), "l_orderkey", "l_linenumber").alias("event_id"),
-        account(F.col("o_custkey")).alias("account_id"),
-        F.col("o_orderdate").alias("event_timestamp"),
-        F.col("o_orderdate").cast("date").alias("transaction_date"),
-        F.col("l_extendedprice").alias("amount"),
-        F.concat(F.lit("merch_"), F.col("l_suppkey").cast("string")).alias("merchant_id"),
-        F.col("l_returnflag").alias("merchant_category"),
-        F.lit("purchase").alias("transaction_type"),
-        F.lit(None).cast("double").alias("latitude"),
-        F.lit(None).cast("double").alias("longitude"),
-        (F.col("l_linestatus") == "O").alias("is_online"),
-        (F.col("l_linestatus") != "O").alias("card_present"),
-        F.lit("US").alias("country_code"),
-        F.col("o_orderdate").alias("ingested_at"),
+    return joined.selectExpr(
+        "concat_ws('_', 'line', l_orderkey, l_linenumber) AS event_id",
+        "concat('acct_', CAST(o_custkey AS string)) AS account_id",
+        "o_orderdate AS event_timestamp",
+        "CAST(o_orderdate AS date) AS transaction_date",
+        "l_extendedprice AS amount",
+        "concat('merch_', CAST(l_suppkey AS string)) AS merchant_id",
+        "l_returnflag AS merchant_category",
+        "'purchase' AS transaction_type",
+        "CAST(NULL AS double) AS latitude",
+        "CAST(NULL AS double) AS longitude",
+        "l_linestatus = 'O' AS is_online",
+        "l_linestatus <> 'O' AS card_present",
+        "'US' AS country_code",
+        "o_orderdate AS ingested_at",
     )
 
 
 def profiles(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-
-    def known(value: Column) -> Column:
-        return F.when(key % 9 != 0, value)
-
-    return read(spark, folder, "customer").select(
-        account(key).alias("account_id"),
-        known(((key * 31) % 18001).cast("double") / 100.0 - 90.0).alias("home_latitude"),
-        known(((key * 37) % 36001).cast("double") / 100.0 - 180.0).alias("home_longitude"),
-        F.lower("c_mktsegment").alias("account_type"),
-        F.lit("US").alias("country_code"),
+    return read(spark, folder, "customer").selectExpr(
+        "concat('acct_', CAST(c_custkey AS string)) AS account_id",
+        "CASE WHEN c_custkey % 9 <> 0 "
+        "THEN CAST((c_custkey * 31) % 18001 AS double) / 100D - 90D END AS home_latitude",
+        "CASE WHEN c_custkey % 9 <> 0 "
+        "THEN CAST((c_custkey * 37) % 36001 AS double) / 100D - 180D END AS home_longitude",
+        "lower(c_mktsegment) AS account_type",
+        "'US' AS country_code",
     )
 
 
