@@ -63,20 +63,22 @@ def trailing_counts(txns: DataFrame, keep: list[str]) -> DataFrame:
     hour_context = F.col("role") == _HOUR_CONTEXT
     five_context = F.col("role") == _FIVE_CONTEXT
 
-    def running(*keys: str, order: Column):
+    def running(*keys: str, order: list[Column]):
         return (
             Window.partitionBy("account_id", *keys)
-            .orderBy(order)
+            .orderBy(*order)
             .rangeBetween(Window.unboundedPreceding, Window.currentRow)
         )
 
-    head = running("hour", order=F.col("us"))
-    # Descending: an event looks back one frame length and sees the context at or after that point.
-    tail = running("hour", order=F.when(own, F.col("us") - HOUR).otherwise(F.col("us")).desc())
-    head5 = running("hour", "five", order=F.col("us"))
-    tail5 = running(
-        "hour", "five", order=F.when(own, F.col("us") - FIVE_MINUTES).otherwise(F.col("us")).desc()
-    )
+    def looking_back(micros_: int) -> list[Column]:
+        # Descending: an event looks back one frame and sees the context at or after that point.
+        return [F.when(own, F.col("us") - micros_).otherwise(F.col("us")).desc()]
+
+    # Own rows come in time order either way; with "five" first both heads share one sort.
+    head = running("hour", order=[F.col("five"), F.col("us")])
+    head5 = running("hour", "five", order=[F.col("us")])
+    tail = running("hour", order=looking_back(HOUR))
+    tail5 = running("hour", "five", order=looking_back(FIVE_MINUTES))
 
     def n(rows_: Column, over) -> Column:
         return F.count(F.when(rows_, 1)).over(over)
@@ -87,22 +89,28 @@ def trailing_counts(txns: DataFrame, keep: list[str]) -> DataFrame:
     def total(rows_: Column, over) -> Column:
         return F.coalesce(F.sum(amount(rows_)).over(over), F.lit(0.0))
 
-    hourly = rows.withColumns(
+    parts = rows.withColumns(
         {
-            "txn_count_1h": n(own, head) + n(hour_context, tail),
-            "txn_amount_sum_1h": total(own, head) + total(hour_context, tail),
-            "txn_amount_max_1h": F.greatest(
-                F.max(amount(own)).over(head), F.max(amount(hour_context)).over(tail)
-            ),
+            "n_tail": n(hour_context, tail),
+            "sum_tail": total(hour_context, tail),
+            "max_tail": F.max(amount(hour_context)).over(tail),
+        }
+    ).withColumns(
+        {
+            "n_head": n(own, head),
+            "sum_head": total(own, head),
+            "max_head": F.max(amount(own)).over(head),
         }
     )
-    both = hourly.withColumn("txn_count_5m", n(own, head5) + n(five_context, tail5))
-    return both.where(own).select(
+    parts = parts.withColumn("n5_head", n(own, head5))
+    parts = parts.withColumn("n5_tail", n(five_context, tail5))
+    largest = F.coalesce(F.greatest("max_head", "max_tail"), F.lit(0.0))
+    return parts.where(own).select(
         *keep,
-        "txn_count_1h",
-        F.round("txn_amount_sum_1h", 2).alias("txn_amount_sum_1h"),
-        F.round(F.coalesce("txn_amount_max_1h", F.lit(0.0)), 2).alias("txn_amount_max_1h"),
-        "txn_count_5m",
+        (F.col("n_head") + F.col("n_tail")).alias("txn_count_1h"),
+        F.round(F.col("sum_head") + F.col("sum_tail"), 2).alias("txn_amount_sum_1h"),
+        F.round(largest, 2).alias("txn_amount_max_1h"),
+        (F.col("n5_head") + F.col("n5_tail")).alias("txn_count_5m"),
     )
 
 
