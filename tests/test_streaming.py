@@ -161,6 +161,22 @@ def test_repeats_are_dropped_within_the_watermark(spark, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["e1", "e2"]
 
 
+def test_panes_count_a_repeated_event_once(spark, tmp_path):
+    path = str(tmp_path / "in")
+    rows = [txn("e1"), txn("e1"), txn("e2"), txn("e3", at=minutes(1)), txn("e3", at=minutes(1))]
+    frame(spark, rows).coalesce(1).write.parquet(path)
+    out = str(tmp_path / "panes")
+    ingest.process_stream(
+        panes.pane_stream(_stream(spark, path, S.TRANSACTION), dedupe=True),
+        lambda batch, i: panes.write_panes(batch, out, i),
+        str(tmp_path / "ck"),
+        ONCE,
+        "update",
+    ).awaitTermination()
+    got = {r.pane_end: r.n for r in panes.read_panes(spark, out).collect()}
+    assert sorted(got.values()) == [1, 2]
+
+
 def test_bad_messages_do_not_stop_the_stream(spark, tmp_path):
     path = str(tmp_path / "in")
     values = [event(event_id=f"e{i}") for i in range(5)] + [event(amount=-1), "{oops", None]

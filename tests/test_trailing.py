@@ -142,6 +142,15 @@ def test_panes_equal_the_literal_sliding_window(spark, folder):
     assert ours.exceptAll(literal).count() == 0
 
 
+def test_windows_reach_over_midnight(spark):
+    night = T0.replace(hour=23, minute=30)
+    rows = [txn(f"e{i}", at=night + timedelta(minutes=10 * i), amount=float(i)) for i in range(9)]
+    out = hopping.hop_features(frame(spark, rows)).orderBy("window_end").collect()
+    assert [r.txn_count_1h for r in out] == [1, 2, 3, 4, 5, 6, 6, 6, 6]
+    assert [r.txn_count_5m for r in out] == [1] * 9
+    assert out[8].txn_amount_sum_1h == 3.0 + 4 + 5 + 6 + 7 + 8
+
+
 def test_projection_fills_defaults(spark):
     hops = spark.createDataFrame(
         [("a", None, None, None, None, None, None, None, None)],

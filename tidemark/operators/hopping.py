@@ -18,6 +18,7 @@ from tidemark.schemas import REALTIME, REALTIME_DEFAULTS
 
 SLIDE_SECONDS = 10
 HOUR_SECONDS = 3600
+DAY_SECONDS = 86_400
 FIVE_MINUTES_SECONDS = 300
 
 LAST_COLUMNS = [
@@ -52,14 +53,19 @@ def windows_over(
 ) -> DataFrame:
     """Window totals at every pane end.
 
-    The frame holds at most 360 panes and an account at most 8640 panes a day, however many events
-    it has, so grouping by account stays bounded by time, not by volume.
+    A frame holds at most 360 panes, however many events they stand for. Groups are (account, day):
+    8640 panes and the last hour of the day before, which is sent along as context. So a busy
+    account is bounded by time, not by volume, and its days run in parallel.
     """
-    by_account = Window.partitionBy("account_id").orderBy("pane_end")
-    hour = by_account.rangeBetween(slide - HOUR_SECONDS, 0)
-    five = by_account.rangeBetween(slide - FIVE_MINUTES_SECONDS, 0)
-    return panes_.select(
+    own_day = F.floor(F.col("pane_end") / DAY_SECONDS)
+    last_day = F.floor((F.col("pane_end") + HOUR_SECONDS - slide) / DAY_SECONDS)
+    days = panes_.withColumn("day", F.explode(F.sequence(own_day, last_day)))
+    by_day = Window.partitionBy("account_id", "day").orderBy("pane_end")
+    hour = by_day.rangeBetween(slide - HOUR_SECONDS, 0)
+    five = by_day.rangeBetween(slide - FIVE_MINUTES_SECONDS, 0)
+    totals = days.select(
         "account_id",
+        "day",
         "pane_end",
         F.sum("n").over(hour).alias("txn_count_1h"),
         F.round(F.sum("amount_sum").over(hour), 2).alias("txn_amount_sum_1h"),
@@ -70,6 +76,7 @@ def windows_over(
         from_micros(F.col("pane_end") * MICROS).alias("window_end"),
         *([F.col("newest.event_id").alias("last_event_id")] if keep_event_id else []),
     )
+    return totals.where(F.col("day") == own_day).drop("day")
 
 
 def hop_features(txns: DataFrame, slide: int = SLIDE_SECONDS) -> DataFrame:

@@ -67,16 +67,31 @@ RUN = T.StructType(
 )
 
 
-def pane_stream(events: DataFrame, watermark: str = WATERMARK, slide: int = SLIDE_SECONDS) -> DataFrame:
+def dedupe_stream(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    """Set the watermark and drop repeats of an event_id that arrive within it."""
+    return _watermarked(events, watermark).dropDuplicatesWithinWatermark(["event_id"])
+
+
+def _watermarked(events: DataFrame, watermark: str) -> DataFrame:
+    timed = events.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    return timed.withWatermark("event_timestamp", watermark)
+
+
+def pane_stream(
+    events: DataFrame,
+    watermark: str = WATERMARK,
+    slide: int = SLIDE_SECONDS,
+    dedupe: bool = False,
+) -> DataFrame:
     """Streaming panes per account; rows later than the watermark are dropped by Spark.
 
-    In update mode a pane comes again, whole, when it changes. State holds only open panes.
+    In update mode a pane comes again, whole, when it changes. State holds only open panes, and with
+    ``dedupe`` the event ids seen within the watermark.
     """
-    timed = events.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    timed = dedupe_stream(events, watermark) if dedupe else _watermarked(events, watermark)
     pane = F.window("event_timestamp", f"{slide} seconds")
     return (
-        timed.withWatermark("event_timestamp", watermark)
-        .groupBy("account_id", pane.alias("pane"))
+        timed.groupBy("account_id", pane.alias("pane"))
         .agg(*pane_aggregates())
         .select(
             "account_id",
@@ -89,14 +104,6 @@ def pane_stream(events: DataFrame, watermark: str = WATERMARK, slide: int = SLID
     )
 
 
-def dedupe_stream(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Drop repeats of an event_id that arrive within the watermark."""
-    timed = events.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
-    return timed.withWatermark("event_timestamp", watermark).dropDuplicatesWithinWatermark(
-        ["event_id"]
-    )
-
-
 def write_panes(panes: DataFrame, path: str, batch_id: int) -> dict:
     """Store a micro-batch of panes; a replay replaces its own partitions and nothing else.
 
