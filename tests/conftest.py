@@ -13,13 +13,7 @@ def spark():
     session = build_session(
         "tidemark-tests",
         "local[4]",
-        **{
-            "spark.sql.shuffle.partitions": "4",
-            "spark.driver.memory": "4g",
-            "spark.sql.streaming.stateStore.providerClass": (
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-            ),
-        },
+        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

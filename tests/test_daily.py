@@ -64,6 +64,12 @@ def test_staging_rules(spark):
     assert got["free"].card_present is True
 
 
+def test_time_order(spark):
+    rows = [_on("c", 1), _on("b", 2), _on("a", 2), _on("d", 0)]
+    ordered = staging.in_time_order(frame(spark, rows)).collect()
+    assert [r.event_id for r in ordered] == ["a", "b", "c", "d"]
+
+
 def test_window_edges_are_inclusive(spark):
     rows = [_on(f"e{d}", d, merchant=f"m{d}") for d in (0, 7, 8, 30, 31, 90, 91)]
     row = daily.daily_features(frame(spark, rows), D, NOW).first()

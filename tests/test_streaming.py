@@ -234,3 +234,18 @@ def test_first_visits_survive_a_restart(spark, tmp_path):
     rows = ingest.read_first_visits(spark, out)
     assert sorted(r.event_id for r in rows.collect()) == ["e1", "e2", "e4"]
     assert ingest.read_first_visits(spark, out, "2024-01-16").count() == 0
+
+
+def test_a_cap_stops_the_stream_after_a_whole_batch(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for part in range(4):
+        rows = messages(spark, [event(event_id=f"e{part}{i}") for i in range(3)])
+        rows.coalesce(1).write.mode("append").parquet(path)
+    query = ingest.write_checked(
+        _stream(spark, path, MESSAGE),
+        str(tmp_path / "out"),
+        str(tmp_path / "ck"),
+        {"processingTime": "2 seconds"},
+    )
+    taken = ingest.stop_after(query, 4, poll_seconds=0.1)
+    assert taken >= 6 and taken % 3 == 0 and not query.isActive

@@ -88,17 +88,21 @@ def _idle_days(target_date: date | str, last: Column) -> Column:
 
 
 def daily_features(
-    txns: DataFrame, target_date: date | str, now: datetime | str | Column, variant: bool = False
+    txns: DataFrame,
+    target_date: date | str,
+    now: datetime | str | Column,
+    variant: bool = False,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """One row per account with any transaction in the 90 days up to the target date.
 
     ``txns`` are cleaned transactions. With ``variant`` the online share and the daily average are
-    taken over all 90 days instead of 30.
+    taken over all 90 days instead of 30. ``totals`` hands in window totals that were stored.
     """
     base = lookback(txns, target_date)
     span = 90 if variant else 30
     online = F.col(f"online_{span}") / F.col(f"n_{span}").cast("double")
-    totals = window_totals(base, target_date).select(
+    totals = (window_totals(base, target_date) if totals is None else totals).select(
         "account_id",
         F.when(F.col("n_30") > 0, F.col("amount_30") / F.col("n_30")).alias("avg_txn_amount_30d"),
         F.col("n_30").alias("txn_count_30d"),
@@ -171,9 +175,11 @@ def rolling_metrics(
     target_date: date | str,
     now: datetime | str | Column,
     windows: tuple[int, ...] = WINDOWS,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Long form: one row per account, window and metric; accounts idle in a window have none."""
-    totals = window_totals(lookback(txns, target_date, max(windows)), target_date, windows)
+    if totals is None:
+        totals = window_totals(lookback(txns, target_date, max(windows)), target_date, windows)
     branches = F.array(
         *[
             F.struct(

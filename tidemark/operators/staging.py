@@ -41,3 +41,8 @@ def lookback(txns: DataFrame, target_date: date | str, days: int = 90) -> DataFr
 def dedupe(txns: DataFrame) -> DataFrame:
     """One row per event_id, for sources that deliver at least once."""
     return txns.dropDuplicates(["event_id"])
+
+
+def in_time_order(txns: DataFrame) -> DataFrame:
+    """Events sorted by time over the whole frame, for a replay; ties follow event_id."""
+    return txns.orderBy("event_timestamp", "event_id")

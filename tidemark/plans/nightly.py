@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas as S
-from tidemark.operators.daily import daily_features, rolling_metrics
+from tidemark.operators.daily import daily_features, rolling_metrics, window_totals
 from tidemark.operators.quality import quality_gate
 from tidemark.operators.serving import upsert
 from tidemark.operators.snapshots import stamp
-from tidemark.operators.staging import clean
-from tidemark.sources.feature_tables import append_rolling, read_daily, write_daily
+from tidemark.operators.staging import clean, lookback
+from tidemark.sources.feature_tables import (
+    append_rolling,
+    read_daily,
+    write_daily,
+    write_totals,
+)
 from tidemark.sources.logs import append_batch, create_log
 
 SNAPSHOT = T.StructType(
@@ -31,6 +36,7 @@ SNAPSHOT = T.StructType(
 class Paths:
     """Where the nightly path keeps its tables."""
 
+    totals: str
     daily: str
     rolling: str
     snapshots: str
@@ -39,6 +45,7 @@ class Paths:
     @classmethod
     def under(cls, root: str) -> Paths:
         return cls(
+            totals=f"{root}/account_window_totals",
             daily=f"{root}/account_features_daily",
             rolling=f"{root}/account_features_rolling",
             snapshots=f"{root}/{S.BATCH_SNAPSHOTS}",
@@ -67,8 +74,12 @@ def run_daily(
     stage = "build"
     try:
         cleaned = clean(txns, now)
-        write_daily(daily_features(cleaned, target_date, now), paths.daily)
-        append_rolling(spark, rolling_metrics(cleaned, target_date, now), paths.rolling)
+        # Both tables start from the same totals; they are stored once instead of computed twice.
+        totals = window_totals(lookback(cleaned, target_date), target_date)
+        totals = write_totals(totals, paths.totals, target_date)
+        write_daily(daily_features(cleaned, target_date, now, totals=totals), paths.daily)
+        rolling = rolling_metrics(cleaned, target_date, now, totals=totals)
+        append_rolling(spark, rolling, paths.rolling, dates=[target_date])
         summary["stages"][stage] = {"success": True}
 
         stage = "fetch"

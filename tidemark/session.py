@@ -16,6 +16,11 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Call sites are looked up for every Column otherwise, which costs more than planning does.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Streaming state outgrows the heap; RocksDB keeps it on disk and uploads only what changed.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

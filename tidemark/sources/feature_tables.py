@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas as S
 from tidemark.functions.clock import day
@@ -66,26 +67,44 @@ def conform_batch(rows: DataFrame) -> DataFrame:
 
 
 def append_rolling(
-    spark: SparkSession, df: DataFrame, path: str, strict_forward: bool = False
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    strict_forward: bool = False,
+    dates: list[date | str] | None = None,
 ) -> None:
     """Append rolling metrics that the table does not have yet.
 
     By default rows whose four-column key exists are skipped, so reruns and backfills are safe.
     ``strict_forward`` keeps only dates after the newest one in the table; an empty table takes all.
+    ``dates`` names the computation dates of ``df``, so that only those partitions are looked up.
     """
     spark.createDataFrame([], S.ROLLING).write.mode("append").partitionBy(
         "computation_date"
     ).parquet(path)
-    fresh = new_rolling(df, spark.read.schema(S.ROLLING).parquet(path), strict_forward)
+    existing = spark.read.schema(S.ROLLING).parquet(path)
+    if dates and not strict_forward:
+        existing = existing.where(F.col("computation_date").isin([day(d) for d in dates]))
+    fresh = new_rolling(df, existing, strict_forward)
     fresh.write.mode("append").partitionBy("computation_date").parquet(path)
 
 
 def new_rolling(df: DataFrame, existing: DataFrame, strict_forward: bool = False) -> DataFrame:
     if strict_forward:
-        newest = existing.agg(F.max("computation_date").alias("newest"))
-        return (
-            df.join(F.broadcast(newest))  # one row
-            .where(F.col("newest").isNull() | (F.col("computation_date") > F.col("newest")))
-            .drop("newest")
-        )
+        newest = existing.agg(F.max("computation_date")).scalar()
+        return df.where(newest.isNull() | (F.col("computation_date") > newest))
     return df.join(existing.select(*_ROLLING_KEY), _ROLLING_KEY, "left_anti")
+
+
+def write_totals(totals: DataFrame, path: str, target_date: date | str) -> DataFrame:
+    """Keep a date's window totals, which two tables are built from, and read them back."""
+    (
+        totals.withColumn("computation_date", day(target_date))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("computation_date")
+        .parquet(path)
+    )
+    dated = T.StructType([*totals.schema.fields, T.StructField("computation_date", T.DateType())])
+    stored = totals.sparkSession.read.schema(dated).parquet(path)
+    return stored.where(F.col("computation_date") == day(target_date)).drop("computation_date")

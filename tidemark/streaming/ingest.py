@@ -178,3 +178,21 @@ def with_retries(
         append_batch(dead, dead_path, batch_id, sort_by=None)
 
     return run
+
+
+def stop_after(query: StreamingQuery, max_messages: int, poll_seconds: float = 0.5) -> int:
+    """Let a stream run until it has taken in at least ``max_messages``, then stop it.
+
+    The cap is looked at between micro-batches, so the last batch is always whole. Returns the
+    number of messages taken in.
+    """
+    taken: dict[int, int] = {}
+    while True:
+        active = query.isActive
+        for progress in query.recentProgress:
+            taken[progress["batchId"]] = progress["numInputRows"]
+        if sum(taken.values()) >= max_messages or not active:
+            break
+        time.sleep(poll_seconds)
+    query.stop()
+    return sum(taken.values())
