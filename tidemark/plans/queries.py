@@ -13,7 +13,7 @@ from tidemark.operators import trailing, validation
 from tidemark.functions.clock import MICROS, hour_of_day, is_weekend, micros
 from tidemark.functions.keys import route_partition
 from tidemark.functions.numbers import velocity
-from tidemark.session import pin_utc, run_dir
+from tidemark.session import pin_utc, run_dir, stream_session
 from tidemark.sources import tables
 from tidemark.sources.feature_tables import conform_batch, new_rolling
 from tidemark.sources.messages import publish_frame
@@ -35,10 +35,12 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
+    """Register a query under its function name; one trailing underscore is dropped."""
+
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return fn(pin_utc(spark), folder)
 
-    _QUERIES[f"q_{fn.__name__}"] = run
+    _QUERIES[f"q_{fn.__name__.removesuffix('_')}"] = run
     return fn
 
 
@@ -188,13 +190,10 @@ def dlq_depth(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def stage(spark: SparkSession, folder: str) -> DataFrame:
+def staging_(spark: SparkSession, folder: str) -> DataFrame:
     return _staged(spark, folder)
 
 
-_QUERIES["q_staging"] = _QUERIES.pop("q_stage")
-
-
 @query
 def event_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every event delivered twice, as an at-least-once source may."""
@@ -215,15 +214,12 @@ def publish(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def route_partitions(spark: SparkSession, folder: str) -> DataFrame:
+def route_partition_(spark: SparkSession, folder: str) -> DataFrame:
     return _txns(spark, folder).select(
         "event_id", "account_id", route_partition(F.col("account_id")).alias("partition")
     )
 
 
-_QUERIES["q_route_partition"] = _QUERIES.pop("q_route_partitions")
-
-
 # Per-event realtime features.
 
 
@@ -527,6 +523,7 @@ def skew_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stream_checked(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    spark = stream_session(spark)
     root = run_dir(spark, name)
     messages = tables.messages_from(_event_stream(spark, folder))
     ingest.write_checked(messages, f"{root}/checked", f"{root}/ck", _ONCE).awaitTermination()
@@ -552,6 +549,7 @@ def stream_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_first_visits(spark: SparkSession, folder: str) -> DataFrame:
+    spark = stream_session(spark)
     root = run_dir(spark, "visits")
     events = staging.clean(_event_stream(spark, folder), NOW)
     ingest.write_first_visits(events, f"{root}/out", f"{root}/ck", _ONCE).awaitTermination()
@@ -560,6 +558,7 @@ def stream_first_visits(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_hop_1h(spark: SparkSession, folder: str) -> DataFrame:
+    spark = stream_session(spark)
     root = run_dir(spark, "panes")
     stream = panes.pane_stream(staging.clean(_event_stream(spark, folder), NOW))
     ingest.process_stream(
@@ -575,6 +574,7 @@ def stream_hop_1h(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stream_served(spark: SparkSession, folder: str) -> DataFrame:
     """The whole hot path: events to panes to served realtime rows."""
+    spark = stream_session(spark)
     paths = panes.Paths.under(run_dir(spark, "served"))
     stream = panes.pane_stream(staging.clean(_event_stream(spark, folder), NOW))
     sink = panes.make_sink(paths, tables.profiles(spark, folder), lambda: NOW)

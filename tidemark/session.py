@@ -39,6 +39,21 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session on the same cluster for stateful streams.
+
+    The number of state partitions is fixed by a stream's first run, so it follows the cluster's
+    cores (or the caller) and not the shuffle width that batch queries happen to use.
+    """
+    session = pin_utc(spark.newSession())
+    width = state_partitions or spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(width))
+    for key, value in SETTINGS.items():
+        if "stateStore" in key:
+            session.conf.set(key, value)
+    return session
+
+
 _local_dirs: dict[str, str] = {}
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark import schemas as S
 from tidemark.functions.clock import day
 from tidemark.operators.validation import decode_messages, split_valid
+from tidemark.sources.logs import table_exists
 
 _ROLLING_KEY = ["account_id", "computation_date", "window_days", "metric_name"]
 
@@ -79,9 +80,9 @@ def append_rolling(
     ``strict_forward`` keeps only dates after the newest one in the table; an empty table takes all.
     ``dates`` names the computation dates of ``df``, so that only those partitions are looked up.
     """
-    spark.createDataFrame([], S.ROLLING).write.mode("append").partitionBy(
-        "computation_date"
-    ).parquet(path)
+    if not table_exists(spark, path, S.ROLLING):
+        empty = spark.createDataFrame([], S.ROLLING)
+        empty.write.mode("append").partitionBy("computation_date").parquet(path)
     existing = spark.read.schema(S.ROLLING).parquet(path)
     if dates and not strict_forward:
         existing = existing.where(F.col("computation_date").isin([day(d) for d in dates]))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,12 +19,22 @@ _VERSION = "step bigint, upto bigint, location string"
 
 
 def create_log(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Make an empty log, so that readers may come before the first batch. Harmless when it exists."""
+    """Make an empty log, so that readers may come before the first batch; nothing if it exists."""
+    if table_exists(spark, f"{path}/versions", _VERSION):
+        return
     empty = spark.createDataFrame([], with_batch(schema))
     empty.write.mode("append").partitionBy("batch_id").parquet(f"{path}/log")
     spark.createDataFrame([], _VERSION).write.mode("append").parquet(f"{path}/versions")
 
 
+def table_exists(spark: SparkSession, path: str, schema: T.StructType | str) -> bool:
+    try:
+        spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def with_batch(schema: T.StructType) -> T.StructType:
     rest = [f for f in schema if f.name != "batch_id"]
     return T.StructType([*rest, T.StructField("batch_id", T.LongType())])
