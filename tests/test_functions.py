@@ -45,7 +45,9 @@ def test_hour_and_weekend(spark):
         (datetime(2024, 1, 15, 0, 0), 0, False),
     ]
     df = spark.createDataFrame(times, "ts timestamp_ntz, h int, w boolean")
-    for row in df.select("*", hour_of_day(F.col("ts")).alias("gh"), is_weekend(F.col("ts")).alias("gw")).collect():
+    ts = F.col("ts")
+    got = df.select("*", hour_of_day(ts).alias("gh"), is_weekend(ts).alias("gw"))
+    for row in got.collect():
         assert (row.gh, row.gw) == (row.h, row.w)
 
 

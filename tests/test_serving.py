@@ -23,6 +23,15 @@ def test_write_then_read(spark, tmp_path):
     assert (row.txn_count_1h, row.txn_amount_sum_1h, row.is_new_merchant) == (5, 150.5, True)
 
 
+def test_nothing_written_yet(spark, tmp_path):
+    rows = serving.read_serving(spark, str(tmp_path), "realtime")
+    assert rows.count() == 0 and serving.live(rows, T0).count() == 0
+    empty = serving.feature_vectors(
+        serving.live(rows, T0), serving.live(serving.read_serving(spark, str(tmp_path), "batch"), T0), T0
+    )
+    assert empty.count() == 0
+
+
 def test_lifetimes(spark):
     rt = serving.serving_rows(_rt(spark, realtime()), "realtime", T0).first()
     bt = serving.serving_rows(_bt(spark, batch()), "batch", T0).first()

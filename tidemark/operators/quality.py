@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from tidemark.functions.clock import micros, wall
 
-# Thresholds of the nightly check.
+# Thresholds of the nightly check, and the reason given when a handler kept failing.
 MIN_ACCOUNTS = 100
 MIN_WRITTEN_RATIO = 0.95
+EXHAUSTED = "Max retries exhausted"
 
 
 def quality_gate(
@@ -105,10 +106,6 @@ def ingest_stats(valid: DataFrame, dead: DataFrame) -> DataFrame:
     )
 
 
-# Fixed value: the reason given when a handler kept failing.
-EXHAUSTED = "Max retries exhausted"
-
-
 def skew_report(
     hot: DataFrame,
     cold: DataFrame,

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.operators import daily, hopping, quality, registry, serving, snapshots, staging
 from tidemark.operators import trailing, validation
-from tidemark.functions.clock import MICROS, hour_of_day, is_weekend, micros
+from tidemark.functions.clock import hour_of_day, is_weekend, micros
 from tidemark.functions.keys import route_partition
 from tidemark.functions.numbers import velocity
 from tidemark.session import pin_utc, run_dir, stream_session

@@ -64,8 +64,10 @@ def _current(spark: SparkSession, path: str):
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows: the newest base plus the batches written after it."""
+    """All rows: the newest base plus the batches written after it. No log yet means no rows."""
     schema = with_batch(schema)
+    if not table_exists(spark, f"{path}/versions", _VERSION):
+        return spark.createDataFrame([], schema)
     log = spark.read.schema(schema).parquet(f"{path}/log")
     current = _current(spark, path)
     if current is None:
