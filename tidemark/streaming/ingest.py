@@ -39,6 +39,11 @@ CHECKED = T.StructType(
     ]
 )
 
+VISIT = (
+    "account_id string, merchant_id string, event_id string, "
+    "event_timestamp timestamp_ntz, visit_day date"
+)
+
 
 def checked_rows(messages: DataFrame) -> DataFrame:
     """One row per message with its outcome, valid or dead; works on streams and tables alike."""
@@ -130,10 +135,7 @@ def write_first_visits(
 
 
 def read_first_visits(spark: SparkSession, path: str, since=None) -> DataFrame:
-    rows = spark.read.schema(
-        "account_id string, merchant_id string, event_id string, "
-        "event_timestamp timestamp_ntz, visit_day date"
-    ).parquet(path)
+    rows = spark.read.schema(VISIT).parquet(path)
     return rows if since is None else rows.where(F.col("visit_day") >= day(since))
 
 

@@ -23,8 +23,8 @@ from tidemark.operators.hopping import (
 from tidemark.operators.serving import upsert
 from tidemark.operators.snapshots import stamp
 from tidemark.operators.trailing import distance_from_home
-from tidemark.sources.logs import append_batch, create_log
-from tidemark.streaming.ingest import read_first_visits
+from tidemark.sources.logs import append_batch, create_log, table_exists
+from tidemark.streaming.ingest import VISIT, read_first_visits
 
 WATERMARK = "30 seconds"
 
@@ -204,6 +204,7 @@ def make_sink(
 
     Serving comes first. A failed snapshot does not fail the batch; its error is kept in the runs
     table. Everything is written under the batch id, so running a batch again changes nothing.
+    Novelty is known as far as the first-visits stream has come; until then it is false.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -219,7 +220,7 @@ def make_sink(
                 {"last_latitude": "latitude", "last_longitude": "longitude"}
             )
             windows = distance_from_home(located, profiles)
-        if paths.first_visits is not None:
+        if paths.first_visits is not None and table_exists(spark, paths.first_visits, VISIT):
             visits = read_first_visits(spark, paths.first_visits, _days(span)[0]).select(
                 F.col("event_id").alias("last_event_id"), F.lit(True).alias("is_new_merchant")
             )
