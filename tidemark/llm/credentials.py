@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -81,13 +81,13 @@ class _Sorted:
         self.breaks, self.scope = breaks, scope
 
     def near(self, start: int, end: int) -> bool:
-        block = bisect_left(self.breaks, start)
+        block = bisect_right(self.breaks, start)
         low = bisect_left(self.starts, start - self.scope - self.longest)
         for a, b, _ in self.parts[low:]:
             if a > end + self.scope:
                 return False
             apart = b >= start - self.scope and (a >= end or b <= start)
-            if apart and bisect_left(self.breaks, a) == block:
+            if apart and bisect_right(self.breaks, a) == block:
                 return True
         return False
 

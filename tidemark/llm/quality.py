@@ -97,7 +97,7 @@ class AdditiveModel:
         return total
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.raw(x), -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.raw(x), -700, 700)))
 
 
 def _best_cut(g: np.ndarray, h: np.ndarray) -> tuple[float, int]:
