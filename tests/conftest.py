@@ -9,11 +9,15 @@ from tidemark.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tidemark-tests",
         "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"},
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
