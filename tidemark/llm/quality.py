@@ -97,7 +97,8 @@ class AdditiveModel:
         return total
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.raw(x), -700, 700)))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(-self.raw(x)))
 
 
 def _best_cut(g: np.ndarray, h: np.ndarray) -> tuple[float, int]:
