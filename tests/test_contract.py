@@ -32,8 +32,21 @@ def db():
     return connection
 
 
-def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+def test_every_query_over_transactions_has_sql():
+    named = {n for n in contract.queries() if n.startswith("q_")}
+    assert named and named <= set(contract.oracle_sql())
+
+
+def test_stream_queries_read_a_folder_of_part_files(spark, folder, tmp_path):
+    for file in glob.glob(f"{folder}/*.parquet"):
+        os.symlink(file, tmp_path / os.path.basename(file))
+    os.remove(tmp_path / "events.parquet")
+    events = spark.read.parquet(f"{folder}/events.parquet").repartition(3)
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    name = "q_stream_first_visits"
+    one, many = (contract.queries()[name](spark, str(f)) for f in (folder, tmp_path))
+    assert one.count() == many.count() > 0
+    assert one.exceptAll(many).isEmpty()
 
 
 def test_entry_has_a_stable_schema(spark):

@@ -123,8 +123,8 @@ def _pairs(spark, *accounts):
 
 
 def test_diff(spark):
-    before = dict(txn_count_1h=3, txn_amount_sum_1h=80.0, is_new_merchant=False)
-    after = dict(txn_count_1h=8, txn_amount_sum_1h=350.0, is_new_merchant=True)
+    before = dict(txn_count_1h=11, txn_amount_sum_1h=6.5, is_new_merchant=False)
+    after = dict(txn_count_1h=4, txn_amount_sum_1h=9.25, is_new_merchant=True)
     log = _log(
         spark,
         [
@@ -137,8 +137,8 @@ def test_diff(spark):
     out = snapshots.feature_diff(log, _pairs(spark, "a", "same", "late", "none")).collect()
     got = {(r.account_id, r.feature): (r.before, r.after, r.delta) for r in out}
     assert got == {
-        ("a", "txn_count_1h"): ("3", "8", 5.0),
-        ("a", "txn_amount_sum_1h"): ("80.0", "350.0", 270.0),
+        ("a", "txn_count_1h"): ("11", "4", -7.0),
+        ("a", "txn_amount_sum_1h"): ("6.5", "9.25", 2.75),
         ("a", "is_new_merchant"): ("false", "true", 1.0),
     }
     wide = snapshots.feature_diff(log, _pairs(spark, "a"), include_computed_at=True).collect()

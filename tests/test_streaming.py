@@ -113,7 +113,7 @@ def test_snapshot_failure_does_not_stop_serving(spark, tmp_path):
 
 def test_empty_batch_is_a_no_op(spark, tmp_path):
     paths = panes.Paths.under(str(tmp_path))
-    empty = spark.createDataFrame([], panes.PANE).drop("pane_day", "batch_id")
+    empty = spark.createDataFrame([], panes.PANE).drop("written_us", "pane_block", "stream", "batch_id")
     panes.make_sink(paths)(empty, 0)
     assert not (tmp_path / "serving").exists()
 
@@ -197,31 +197,64 @@ def test_bad_messages_do_not_stop_the_stream(spark, tmp_path):
     assert again.isStreaming and ingest.valid_events(again).isStreaming
 
 
-def test_retries_then_dead_letters(spark, tmp_path):
-    calls = []
+def test_retries_then_only_the_bad_message_is_set_aside(spark, tmp_path):
+    calls, kept = [], {}
 
     def flaky(batch, batch_id):
         calls.append(batch_id)
-        if batch_id == 1 or len(calls) < 2:
+        names = {json.loads(r.value)["event_id"] for r in batch.collect()}
+        if len(calls) < 2 or "bad" in names:
             raise RuntimeError("no luck")
+        kept[batch_id] = names
 
     path = str(tmp_path / "dead")
     run = ingest.with_retries(flaky, path, max_retries=3, delay_seconds=0.0)
-    df = messages(spark, [event(), event(event_id="e2")])
-    run(df, 0)
-    assert calls == [0, 0]
+    good = [event(event_id=f"e{i}") for i in range(9)]
+    run(messages(spark, good), 0)
+    assert calls == [0, 0] and kept[0] == {f"e{i}" for i in range(9)}
+    df = messages(spark, [*good, event(event_id="bad")])
     run(df, 1)
-    assert calls == [0, 0, 1, 1, 1]
+    assert kept[1] == {f"e{i}" for i in range(9)}
     dead = spark.read.parquet(f"{path}/log")
-    assert dead.count() == 2
+    assert dead.count() == 1
     row = dead.first()
     assert row.error_reason == EXHAUSTED and row.metadata == {"error": "RuntimeError: no luck"}
-    assert json.loads(row.original_message)["account_id"] == "acct_1"
+    assert json.loads(row.original_message)["event_id"] == "bad"
     from tidemark.operators.quality import ingest_stats
 
-    valid = df.where("offset < 0")
-    stats = ingest_stats(valid, dead).first()
-    assert (stats.processed, stats.failed, stats.dlq_routed) == (0, 2, 2)
+    stats = ingest_stats(df.where("offset < 0"), dead).first()
+    assert (stats.processed, stats.failed, stats.dlq_routed) == (0, 1, 1)
+
+
+def test_first_visits_are_the_earliest_in_any_order(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    rows = [txn(f"e{m}", at=minutes(m)) for m in (9, 4, 7)]
+    frame(spark, rows).coalesce(1).write.mode("append").parquet(path)
+    ingest.write_first_visits(_stream(spark, path, S.TRANSACTION), out, ck, ONCE).awaitTermination()
+    assert ingest.read_first_visits(spark, out).first().event_id == "e4"
+    frame(spark, [txn("e1", at=minutes(1))]).coalesce(1).write.mode("append").parquet(path)
+    ingest.write_first_visits(_stream(spark, path, S.TRANSACTION), out, ck, ONCE).awaitTermination()
+    assert ingest.read_first_visits(spark, out).first().event_id == "e1"
+    logs.compact(spark, out, ingest.VISIT, ingest.earliest_visits)
+    assert [r.event_id for r in ingest.read_first_visits(spark, out).collect()] == ["e1"]
+
+
+def test_a_trigger_lists_only_the_hours_it_needs(spark, tmp_path):
+    path = str(tmp_path / "panes")
+    for batch_id in range(6):
+        rows = hopping.panes(frame(spark, [txn(f"e{batch_id}", at=T0 + timedelta(hours=7 * batch_id))]))
+        timed = rows.withColumn(
+            "newest",
+            F.col("newest").withField(
+                "event_timestamp", F.col("newest.event_timestamp").cast("timestamp")
+            ),
+        )
+        span = panes.write_panes(timed, path, batch_id)
+    blocks = panes._blocks(span["first"] - 3600, span["last"])
+    assert len(blocks) <= 2 and len(panes.stored_panes(spark, path, blocks).inputFiles()) <= 2
+    assert panes.newest_windows(spark, path, 5, span).count() == 1
+    panes.fold_panes(spark, path, str(tmp_path / "folded"), range(0, blocks[-1]))
+    assert spark.read.parquet(str(tmp_path / "folded")).count() == 5
 
 
 def test_first_visits_survive_a_restart(spark, tmp_path):

@@ -1,10 +1,12 @@
-"""Exact per-group quantiles that never hold one group's values in one task.
+"""Exact per-group quantiles without one group's values in one task.
 
 The built-in ``percentile`` merges every distinct value of a group into a single buffer. Here a
 group is cut along its value axis into narrow cells (a fixed number per power of two). Cell counts
-give the rank at which each cell starts, so only the few cells that contain a wanted rank are sorted,
-each on its own. A key with a third of all rows costs many small cells instead of one huge buffer,
-and repeated values collapse to a count before the first shuffle.
+give the rank at which each cell starts, so only the few cells that contain a wanted rank are looked
+into. Those are cut again, evenly between their least and largest value, and only the parts with a
+wanted rank are sorted, each on its own. A key with a third of all rows costs many small cells
+instead of one huge buffer, values crowded around a point are spread by the second cut, and repeated
+values collapse to a count before the first shuffle. NaN sorts after every other value.
 """
 
 from __future__ import annotations
@@ -15,12 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CELLS_PER_OCTAVE = 4096
+PARTS_PER_CELL = 4096
 
 
 def _cell(value: Column, per_octave: int) -> Column:
     # Monotone in the value, and bounded: about 120,000 cells reach from 0 to a billion.
     size = F.log2(F.abs(value) + 1.0) * per_octave
-    return F.coalesce(F.floor(F.signum(value) * size).cast("bigint"), F.lit(0))
+    last = F.lit((1 << 62) - 1)
+    cell = F.coalesce(F.floor(F.signum(value) * size).cast("bigint"), F.lit(0))
+    return F.when(F.isnan(value.cast("double")), last).otherwise(cell)
 
 
 def grouped_quantiles(
@@ -63,20 +68,37 @@ def grouped_quantiles(
         .withColumn(before, F.sum("_cell_n").over(running) - F.col("_cell_n"))
         .withColumn(total, F.sum("_cell_n").over(Window.partitionBy(*keys)))
     )
-    wanted = reduce(
-        lambda a, b: a | b,
-        [(r >= F.col(before)) & (r < F.col(before) + F.col("_cell_n")) for r in ranks],
-    )
-    targets = cells.where(wanted).select(*keys, cell, before, total)
 
-    in_cell = (
-        Window.partitionBy(*keys, cell)
+    def holds_a_rank(count: str) -> Column:
+        inside = [(r >= F.col(before)) & (r < F.col(before) + F.col(count)) for r in ranks]
+        return reduce(lambda a, b: a | b, inside)
+
+    targets = cells.where(holds_a_rank("_cell_n")).select(*keys, cell, before, total)
+    inner = counts.join(targets, [*keys, cell])
+
+    # The second cut. It is monotone in the value, like the first.
+    span = inner.groupBy(*keys, cell).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    low, high = F.col("_low").cast("double"), F.col("_high").cast("double")
+    share = (F.col(value).cast("double") - low) / (high - low)
+    part = F.when(high > low, F.floor(F.nanvl(share, F.lit(0.0)) * PARTS_PER_CELL)).otherwise(0)
+    inner = inner.join(span, [*keys, cell]).withColumn("_part", part.cast("bigint"))
+    by_part = Window.partitionBy(*keys, cell).orderBy("_part")
+    upto_part = by_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = (
+        inner.groupBy(*keys, cell, "_part", before, total)
+        .agg(F.sum(n).alias("_part_n"))
+        .withColumn(before, F.col(before) + F.sum("_part_n").over(upto_part) - F.col("_part_n"))
+        .where(holds_a_rank("_part_n"))
+    )
+    in_part = (
+        Window.partitionBy(*keys, cell, "_part")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = (
-        counts.join(targets, [*keys, cell])
-        .withColumn("_upto", F.col(before) + F.sum(n).over(in_cell))
+        inner.drop(before, total)
+        .join(parts.drop("_part_n"), [*keys, cell, "_part"])
+        .withColumn("_upto", F.col(before) + F.sum(n).over(in_part))
         .withColumn("_from", F.col("_upto") - F.col(n))
     )
 

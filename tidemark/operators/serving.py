@@ -58,14 +58,15 @@ def upsert(
     batch_id: int,
     written_at: datetime | str | Column,
     ttl_s: int | None = None,
+    stream: str = "main",
 ) -> int:
-    """Write a batch of feature rows under its batch id and return how many were written.
+    """Write a batch of feature rows under its stream and batch id; returns how many were written.
 
     Realtime and batch rows live in separate folders, so neither path reads what the other writes.
     """
     create_log(df.sparkSession, f"{path}/{group}", log_schema(group))
     rows = serving_rows(df, group, written_at, ttl_s).drop("batch_id")
-    return append_batch(rows, f"{path}/{group}", batch_id)
+    return append_batch(rows, f"{path}/{group}", batch_id, stream=stream)
 
 
 def read_serving(spark: SparkSession, path: str, group: str) -> DataFrame:
@@ -114,10 +115,37 @@ def compact_serving(
     now: datetime | str | Column,
     tombstones: DataFrame | None = None,
 ) -> str | None:
-    """Fold a group's log to the live rows; superseded, expired and deleted ones are left out."""
-    return compact(
-        spark, f"{path}/{group}", log_schema(group), lambda rows: live(rows, now, tombstones)
-    )
+    """Fold a group's log to the live rows; superseded, expired and deleted ones are left out.
+
+    Rows written after ``now`` are carried over as they are.
+    """
+
+    def fold(rows: DataFrame) -> DataFrame:
+        later = rows.where(F.col("written_at") > wall(now))
+        return live(rows, now, tombstones).select(rows.columns).unionByName(later)
+
+    return compact(spark, f"{path}/{group}", log_schema(group), fold)
+
+
+TOMBSTONE = T.StructType(
+    [
+        T.StructField("account_id", T.StringType()),
+        T.StructField("deleted_at", T.TimestampNTZType()),
+    ]
+)
+
+
+def mark_deleted(
+    accounts: DataFrame, path: str, batch_id: int, deleted_at: datetime | str | Column
+) -> int:
+    """Store a batch of deletions; they hide rows at once and compaction drops them."""
+    create_log(accounts.sparkSession, f"{path}/tombstones", TOMBSTONE)
+    marks = accounts.select("account_id", wall(deleted_at).alias("deleted_at")).distinct()
+    return append_batch(marks, f"{path}/tombstones", batch_id)
+
+
+def read_tombstones(spark: SparkSession, path: str) -> DataFrame:
+    return read_log(spark, f"{path}/tombstones", TOMBSTONE).select("account_id", "deleted_at")
 
 
 def feature_vectors(

@@ -9,6 +9,8 @@ that only ever grow. Each event is sent to its own slice and, as context, to the
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,15 +135,32 @@ def is_new_merchant(txns: DataFrame, history: DataFrame | None = None) -> DataFr
     """Add ``is_new_merchant``: no earlier event of this account at this merchant.
 
     ``history`` (account_id, merchant_id) lists pairs known before these rows. Events join the first
-    visits on event_id, which is unique, so no busy (account, merchant) pair gathers in one task.
+    visits on the whole event (pair, id and time, NULLs alike), so no busy pair gathers in one task.
+    Repeats of an event are one event: all of them are new, or none. Drop repeats before.
     """
     firsts = first_visits(txns)
     if history is not None:
         known = history.select("account_id", "merchant_id").distinct()
         firsts = firsts.join(known, ["account_id", "merchant_id"], "left_anti")
-    flags = firsts.select("event_id", F.lit(True).alias("is_new_merchant"))
-    return txns.join(flags, "event_id", "left").withColumn(
-        "is_new_merchant", F.coalesce("is_new_merchant", F.lit(False))
+    return _flagged(txns, firsts)
+
+
+def _flagged(events: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Events with ``is_new_merchant``; firsts: the first visits that count as new."""
+    pairs = [
+        ("account_id", "account_id"),
+        ("merchant_id", "merchant_id"),
+        ("event_timestamp", "first_seen"),
+        ("event_id", "event_id"),
+    ]
+    flags = firsts.select(
+        *[F.col(name).alias(f"_{own}") for own, name in pairs], F.lit(True).alias("_new")
+    )
+    same = [F.col(own).eqNullSafe(F.col(f"_{own}")) for own, _ in pairs]
+    return (
+        events.join(flags, reduce(lambda a, b: a & b, same), "left")
+        .withColumn("is_new_merchant", F.coalesce("_new", F.lit(False)))
+        .drop("_new", *[f"_{own}" for own, _ in pairs])
     )
 
 
@@ -177,6 +196,7 @@ def trailing_features(
     keep = [
         "event_id",
         "account_id",
+        "merchant_id",
         "event_timestamp",
         "distance_from_home",
         "is_online",
@@ -188,12 +208,10 @@ def trailing_features(
     if history is not None:
         known = history.select("account_id", "merchant_id").distinct()
         firsts = firsts.join(known, ["account_id", "merchant_id"], "left_anti")
-    new = firsts.select("event_id", F.lit(True).alias("is_new_merchant"))
-    full = counted.join(new, "event_id", "left").withColumns(
+    full = _flagged(counted, firsts).withColumns(
         {
             "computed_at": F.col("event_timestamp"),
             "txn_velocity_5m": velocity(F.col("txn_count_5m"), F.col("txn_count_1h"), mode),
-            "is_new_merchant": F.coalesce("is_new_merchant", F.lit(False)),
             "hour_of_day": hour_of_day(F.col("event_timestamp")),
             "is_weekend": is_weekend(F.col("event_timestamp")),
         }

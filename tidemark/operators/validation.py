@@ -52,7 +52,16 @@ def decode_messages(raw: DataFrame) -> DataFrame:
     )
     position = [c for c in _POSITION if c in raw.columns]
     # A generator, not a plain column: filters stay above it, so each value is parsed once.
-    fields = raw.select(*position, F.inline(F.array(parsed)))
+    return decode_parsed(raw.select(*position, F.inline(F.array(parsed))))
+
+
+def decode_parsed(fields: DataFrame) -> DataFrame:
+    """Typed columns from the text columns of parsed messages, whichever reader parsed them.
+
+    A row without the message's own text is malformed only if its reader says so.
+    """
+    position = [c for c in _POSITION if c in fields.columns]
+    missing = " OR value IS NULL" if "value" in fields.columns else ""
     columns = []
     for name in S.MESSAGE.names[:-1]:
         if name == "timestamp":
@@ -68,7 +77,7 @@ def decode_messages(raw: DataFrame) -> DataFrame:
     return fields.selectExpr(
         *columns,
         f"concat_ws(',', {bad}) AS _unreadable",
-        "_corrupt IS NOT NULL OR value IS NULL AS _malformed",
+        f"_corrupt IS NOT NULL{missing} AS _malformed",
         *position,
     )
 
@@ -118,11 +127,20 @@ def split_valid(
     first, as the stream does, if both are consumed in one run.
     """
     checked = check(df)
-    valid = with_defaults(checked.where("error_text = ''").drop(*_HELPERS))
+    valid = _accepted(checked)
     dead = checked.where("error_text <> ''")
     return valid, envelope(dead, error_reason(), failed_at, source_topic)
 
 
+def valid_only(df: DataFrame) -> DataFrame:
+    """The valid rows with defaults filled; ``df`` needs no message text."""
+    return _accepted(check(df))
+
+
+def _accepted(checked: DataFrame) -> DataFrame:
+    return with_defaults(checked.where("error_text = ''").drop(*_HELPERS))
+
+
 def error_reason() -> Column:
     return F.concat(F.lit("Validation error: "), F.col("error_text"))
 

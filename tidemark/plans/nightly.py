@@ -16,8 +16,8 @@ from tidemark.operators.serving import upsert
 from tidemark.operators.snapshots import stamp
 from tidemark.operators.staging import clean, lookback
 from tidemark.sources.feature_tables import (
-    append_rolling,
     read_daily,
+    replace_rolling,
     write_daily,
     write_totals,
 )
@@ -79,7 +79,7 @@ def run_daily(
         totals = write_totals(totals, paths.totals, target_date)
         write_daily(daily_features(cleaned, target_date, now, totals=totals), paths.daily)
         rolling = rolling_metrics(cleaned, target_date, now, totals=totals)
-        append_rolling(spark, rolling, paths.rolling, dates=[target_date])
+        replace_rolling(rolling, paths.rolling)
         summary["stages"][stage] = {"success": True}
 
         stage = "fetch"

@@ -504,7 +504,8 @@ WHERE rn = 1"""
     )
     out["q_stream_first_visits"] = (
         _with(TXNS, _staged(q.NOW))
-        + "SELECT DISTINCT account_id, merchant_id FROM staged"
+        + "SELECT account_id, merchant_id, event_id FROM staged QUALIFY row_number() OVER "
+        "(PARTITION BY account_id, merchant_id ORDER BY event_timestamp, event_id) = 1"
     )
     out["q_stream_served"] = (
         _with(

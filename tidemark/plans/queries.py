@@ -129,8 +129,10 @@ _ONCE = {"availableNow": True}
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     schema = tables.read(spark, folder, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return tables.transactions_from(reader.parquet(folder))
+    # A pattern that only the table matches: it may be one file or a folder of part files.
+    return tables.transactions_from(
+        spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]")
+    )
 
 
 # Messages, validation, staging.
@@ -553,7 +555,8 @@ def stream_first_visits(spark: SparkSession, folder: str) -> DataFrame:
     root = run_dir(spark, "visits")
     events = staging.clean(_event_stream(spark, folder), NOW)
     ingest.write_first_visits(events, f"{root}/out", f"{root}/ck", _ONCE).awaitTermination()
-    return ingest.read_first_visits(spark, f"{root}/out").select("account_id", "merchant_id")
+    visits = ingest.read_first_visits(spark, f"{root}/out")
+    return visits.select("account_id", "merchant_id", "event_id")
 
 
 @query

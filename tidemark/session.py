@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -54,23 +53,13 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     return session
 
 
-_local_dirs: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in spark.checkpoint.dir.
 
-    Only a single-machine session may go without that setting; it then gets a folder of its own.
+    Without that setting it is a folder in the session's warehouse, which is shared as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
-    return _local_dirs[context.applicationId]
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/tidemark-work"
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

@@ -10,32 +10,31 @@ from pyspark.sql import types as T
 
 from tidemark import schemas as S
 from tidemark.functions.clock import day
-from tidemark.operators.validation import decode_messages, split_valid
-from tidemark.sources.logs import table_exists
+from tidemark.operators.validation import decode_parsed, valid_only
+from tidemark.sources.logs import path_exists
 
 _ROLLING_KEY = ["account_id", "computation_date", "window_days", "metric_name"]
 
 
-def load_events(spark: SparkSession, path: str) -> DataFrame:
-    """Events from JSON files that each hold an array of objects; bad objects are skipped.
+def load_events(spark: SparkSession, path: str, one_array_per_file: bool = False) -> DataFrame:
+    """Events from newline-delimited JSON, which Spark splits; bad lines are skipped.
 
-    One such file is one task. Prefer many files, or newline-delimited JSON (load_event_lines).
+    With ``one_array_per_file`` every file holds one array of objects. Such a file is one task.
     """
     records = spark.read.schema(S.MESSAGE).option("columnNameOfCorruptRecord", "_corrupt")
-    rows = records.option("multiLine", True).json(path)
+    rows = records.option("multiLine", one_array_per_file).json(path)
     return valid_rows(rows)
 
 
 def load_event_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Events from newline-delimited JSON, which Spark splits; bad lines are skipped."""
-    return valid_rows(spark.read.schema(S.MESSAGE).json(path))
+    return load_events(spark, path)
 
 
 def valid_rows(records: DataFrame) -> DataFrame:
-    fields = [n for n in S.MESSAGE.names if n != "_corrupt"]
-    intact = records.where(F.col("_corrupt").isNull()) if "_corrupt" in records.columns else records
-    messages = intact.select(F.to_json(F.struct(*fields)).alias("value"))
-    return split_valid(decode_messages(messages), "1970-01-01 00:00:00")[0]
+    """The rows of parsed messages that pass validation; the parsed columns are used as they are."""
+    if "_corrupt" not in records.columns:
+        records = records.withColumn("_corrupt", F.lit(None).cast("string"))
+    return valid_only(decode_parsed(records))
 
 
 def write_daily(df: DataFrame, path: str) -> None:
@@ -55,7 +54,8 @@ def write_daily(df: DataFrame, path: str) -> None:
 
 def read_daily(spark: SparkSession, path: str, target_date: date | str) -> DataFrame:
     """One day's features, cast to the contract; rows that do not fit it are dropped."""
-    table = spark.read.parquet(path)
+    dated = T.StructType([*S.BATCH.fields, T.StructField("computation_date", T.DateType())])
+    table = spark.read.schema(dated).parquet(path)
     rows = table.where(F.col("computation_date") == day(target_date))
     return conform_batch(rows)
 
@@ -80,7 +80,7 @@ def append_rolling(
     ``strict_forward`` keeps only dates after the newest one in the table; an empty table takes all.
     ``dates`` names the computation dates of ``df``, so that only those partitions are looked up.
     """
-    if not table_exists(spark, path, S.ROLLING):
+    if not path_exists(spark, path):
         empty = spark.createDataFrame([], S.ROLLING)
         empty.write.mode("append").partitionBy("computation_date").parquet(path)
     existing = spark.read.schema(S.ROLLING).parquet(path)
@@ -90,6 +90,18 @@ def append_rolling(
     fresh.write.mode("append").partitionBy("computation_date").parquet(path)
 
 
+def replace_rolling(df: DataFrame, path: str) -> None:
+    """Replace the computation dates present in ``df``, so that a rerun follows corrected input."""
+    (
+        df.select(*S.ROLLING.names)
+        .repartitionByRange("computation_date", "account_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("computation_date")
+        .parquet(path)
+    )
+
+
 def new_rolling(df: DataFrame, existing: DataFrame, strict_forward: bool = False) -> DataFrame:
     if strict_forward:
         newest = existing.agg(F.max("computation_date")).scalar()

@@ -1,79 +1,131 @@
-"""Append-only Parquet logs: keyed by batch, safe to replay, folded by compaction.
-
-A batch writes the partition ``log/batch_id=<n>`` and replaces exactly that partition when it runs
-again. Compaction folds the log up to a batch into a new ``base/<n>`` folder and then adds one row to
-``versions``; readers take the newest base and the log behind it. Nothing is rewritten in place, so a
-lost executor or a failed job leaves the current version readable.
+"""Append-only Parquet logs: keyed by stream and batch, safe to replay, folded by compaction.
+
+A batch writes the partition ``log/stream=<s>/batch_id=<n>`` and replaces exactly that partition when
+it runs again; a stream that starts anew has another id and replaces nothing of the old one. Every
+write carries a fresh ``write_id``. Compaction writes a new ``base/<step>`` folder and then one
+``versions`` file that names the writes it has folded; readers take the newest base, without the
+batches that were written again since, and every write that is not folded. So membership is exact:
+an old date, a rerun or a low batch id is visible after compaction like any other. Nothing is
+rewritten in place, and a lost executor or a failed job leaves the current version readable.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_VERSION = "step bigint, upto bigint, location string"
+_WRITE = ["stream", "batch_id", "write_id"]
+_VERSION = (
+    "step bigint, location string, "
+    "folded array<struct<stream: string, batch_id: bigint, write_id: string>>"
+)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored there; a path that can't be looked at raises."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def create_log(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Make an empty log, so that readers may come before the first batch; nothing if it exists."""
-    if table_exists(spark, f"{path}/versions", _VERSION):
+    if path_exists(spark, f"{path}/versions"):
         return
-    empty = spark.createDataFrame([], with_batch(schema))
-    empty.write.mode("append").partitionBy("batch_id").parquet(f"{path}/log")
+    empty = spark.createDataFrame([], _keyed(schema))
+    empty.write.mode("append").partitionBy("stream", "batch_id").parquet(f"{path}/log")
     spark.createDataFrame([], _VERSION).write.mode("append").parquet(f"{path}/versions")
 
 
-def table_exists(spark: SparkSession, path: str, schema: T.StructType | str) -> bool:
-    try:
-        spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return False
-    return True
-
-
 def with_batch(schema: T.StructType) -> T.StructType:
-    rest = [f for f in schema if f.name != "batch_id"]
+    rest = [f for f in schema if f.name not in _WRITE]
     return T.StructType([*rest, T.StructField("batch_id", T.LongType())])
 
 
+def _keyed(schema: T.StructType) -> T.StructType:
+    rest = [f for f in schema if f.name not in _WRITE]
+    keys = [
+        T.StructField("write_id", T.StringType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+    return T.StructType([*rest, *keys])
+
+
 def append_batch(
-    df: DataFrame, path: str, batch_id: int, sort_by: str | None = "account_id"
+    df: DataFrame,
+    path: str,
+    batch_id: int,
+    sort_by: str | None = "account_id",
+    stream: str = "main",
 ) -> int:
-    """Write one batch and return its row count, taken while writing."""
+    """Write one batch of a stream and return its row count, taken while writing."""
     seen = Observation()
-    rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    rows = df.withColumns(
+        {
+            "write_id": F.lit(uuid.uuid4().hex),
+            "stream": F.lit(stream),
+            "batch_id": F.lit(batch_id).cast("bigint"),
+        }
+    )
     if sort_by:
         rows = rows.sortWithinPartitions(sort_by)
     (
         rows.observe(seen, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy("stream", "batch_id")
         .parquet(f"{path}/log")
     )
     return seen.get["n"]
 
 
+def read_batch(
+    spark: SparkSession, path: str, schema: T.StructType, batch_id: int, stream: str = "main"
+) -> DataFrame:
+    """The rows of one batch, from its own folder."""
+    rows = spark.read.schema(schema).parquet(f"{path}/log/stream={stream}/batch_id={batch_id}")
+    return rows.select(*[f.name for f in schema])
+
+
 def _current(spark: SparkSession, path: str):
     versions = spark.read.schema(_VERSION).parquet(f"{path}/versions")
-    return versions.orderBy(F.col("step").desc()).first()
+    return versions.orderBy(F.col("step").desc()).select("step", "location").first()
 
 
-def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows: the newest base plus the batches written after it. No log yet means no rows."""
-    schema = with_batch(schema)
-    if not table_exists(spark, f"{path}/versions", _VERSION):
-        return spark.createDataFrame([], schema)
-    log = spark.read.schema(schema).parquet(f"{path}/log")
+def _folded(spark: SparkSession, path: str, step: int) -> DataFrame:
+    versions = spark.read.schema(_VERSION).parquet(f"{path}/versions")
+    return versions.where(F.col("step") == step).select(F.inline("folded"))
+
+
+def _all_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    keyed = _keyed(schema)
+    # Stream ids and batch ids are folder names; their types come from the schema.
+    log = spark.read.schema(keyed).parquet(f"{path}/log")
     current = _current(spark, path)
     if current is None:
         return log
-    base = spark.read.schema(schema).parquet(current["location"])
-    return base.unionByName(log.where(F.col("batch_id") > current["upto"]))
+    fresh = log.join(_folded(spark, path, current["step"]), _WRITE, "left_anti")
+    again = fresh.select("stream", "batch_id").distinct()
+    base = spark.read.schema(keyed).parquet(current["location"])
+    kept = base.join(again, ["stream", "batch_id"], "left_anti")
+    return kept.unionByName(fresh)
+
+
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows. A log that was never created has none; one that can't be read raises."""
+    if not path_exists(spark, f"{path}/versions"):
+        return spark.createDataFrame([], with_batch(schema))
+    rows = _all_rows(spark, path, schema)
+    return rows.select(*[f.name for f in with_batch(schema)])
 
 
 def compact(
@@ -85,25 +137,53 @@ def compact(
 ) -> str | None:
     """Fold base and log into few large files, range-partitioned and sorted by account.
 
-    ``fold`` may drop rows on the way (superseded, expired or deleted ones). Range partitioning on
-    (account_id, batch_id) also splits an account that fills many files. Returns the new location.
+    ``fold`` may drop rows on the way (superseded, expired or deleted ones) and keeps the columns.
+    Range partitioning on (account_id, batch_id) also splits an account that fills many files.
+    Returns the new location.
     """
-    rows = read_log(spark, path, schema)
-    upto = rows.agg(F.max("batch_id").alias("upto")).first()["upto"]
-    if upto is None:
+    current = _current(spark, path)
+    keyed = _keyed(schema)
+    log = spark.read.schema(keyed).parquet(f"{path}/log")
+    # Fixed now: batches that arrive while this runs are not among these and stay in the log.
+    writes = log.select(*_WRITE).distinct().collect()  # one row per stored batch
+    if not writes and current is None:
         return None
-    # Batches that arrive while this runs stay in the log behind the new base.
-    rows = rows.where(F.col("batch_id") <= upto)
+    folded = spark.createDataFrame([tuple(w) for w in writes], log.select(*_WRITE).schema)
+    rows = _all_rows(spark, path, schema)
+    if current is not None:
+        earlier = _folded(spark, path, current["step"])
+        fresh = rows.join(folded.join(earlier, _WRITE, "left_anti"), _WRITE, "left_semi")
+        again = fresh.select("stream", "batch_id").distinct()
+        base = spark.read.schema(keyed).parquet(current["location"])
+        rows = base.join(again, ["stream", "batch_id"], "left_anti").unionByName(fresh)
+    else:
+        rows = rows.join(folded, _WRITE, "left_semi")
     if fold is not None:
         rows = fold(rows)
-    current = _current(spark, path)
     step = 0 if current is None else current["step"] + 1
-    # A fold can empty the base; the mark must not fall back, or folded batches would reappear.
-    upto = upto if current is None else max(upto, current["upto"])
     location = f"{path}/base/{step}"
     keys = [F.col("account_id"), F.col("batch_id")]
     parted = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
     parted.sortWithinPartitions("account_id", "batch_id").write.mode("overwrite").parquet(location)
-    version = spark.createDataFrame([(step, upto, location)], _VERSION)
+    version = spark.createDataFrame([(step, location, [tuple(w) for w in writes])], _VERSION)
     version.coalesce(1).write.mode("append").parquet(f"{path}/versions")
     return location
+
+
+def remove_folded(spark: SparkSession, path: str) -> int:
+    """Delete batches that the newest base has taken in, and older bases; returns how many batches.
+
+    Run it when no reader is left that began before the last compaction. A batch that was written
+    again since is another write and stays.
+    """
+    current = _current(spark, path)
+    if current is None:
+        return 0
+    log = spark.read.schema("write_id string, stream string, batch_id bigint").parquet(f"{path}/log")
+    stored = log.select(*_WRITE).distinct()
+    folded = stored.join(_folded(spark, path, current["step"]), _WRITE, "left_semi").collect()
+    for write in folded:  # one folder each
+        remove_path(spark, f"{path}/log/stream={write['stream']}/batch_id={write['batch_id']}")
+    for step in range(current["step"]):
+        remove_path(spark, f"{path}/base/{step}")
+    return len(folded)

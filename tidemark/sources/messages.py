@@ -8,21 +8,21 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import TOPIC_PARTITIONS, route_partition
 from tidemark.schemas import TRANSACTIONS_TOPIC
 
-# Reader settings of the transactions topic.
-READER_OPTIONS = {
-    "startingOffsets": "latest",
-    "failOnDataLoss": "false",
-    "maxOffsetsPerTrigger": "100000",
-}
+# Missing offsets stop the stream; skipping them has to be asked for.
+READER_OPTIONS = {"failOnDataLoss": "true"}
 MESSAGE_COLUMNS = ["key", "value", "topic", "partition", "offset"]
 
 
 def read_transactions(spark: SparkSession, source_options: dict[str, str]) -> DataFrame:
     """The transactions topic as a streaming frame of key, value, topic, partition and offset.
 
-    ``source_options`` needs ``kafka.bootstrap.servers``; anything else overrides the defaults.
+    ``source_options`` needs ``kafka.bootstrap.servers`` and ``startingOffsets``, as a first run
+    either takes or skips what is stored already; ``maxOffsetsPerTrigger`` bounds a micro-batch.
     The connector jar has to be on the session's classpath.
     """
+    for needed in ("kafka.bootstrap.servers", "startingOffsets"):
+        if needed not in source_options:
+            raise ValueError(f"source option {needed} is required")
     options = {"subscribe": TRANSACTIONS_TOPIC, **READER_OPTIONS, **source_options}
     raw = spark.readStream.format("kafka").options(**options).load()
     return raw.select(

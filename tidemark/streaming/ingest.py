@@ -21,7 +21,8 @@ from tidemark.operators.validation import (
     error_reason,
     with_defaults,
 )
-from tidemark.sources.logs import append_batch
+from tidemark.session import run_dir
+from tidemark.sources.logs import append_batch, create_log, read_log, remove_path
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -39,9 +40,13 @@ CHECKED = T.StructType(
     ]
 )
 
-VISIT = (
-    "account_id string, merchant_id string, event_id string, "
-    "event_timestamp timestamp_ntz, visit_day date"
+VISIT = T.StructType(
+    [
+        T.StructField("account_id", T.StringType()),
+        T.StructField("merchant_id", T.StringType()),
+        T.StructField("event_id", T.StringType()),
+        T.StructField("event_timestamp", T.TimestampNTZType()),
+    ]
 )
 
 
@@ -110,33 +115,40 @@ def stream_checked(spark: SparkSession, path: str, max_files: int | None = None)
 
 
 def write_first_visits(
-    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    stream: str = "main",
 ) -> StreamingQuery:
-    """Keep the first event of every (account, merchant) pair, as a stream.
+    """Keep the earliest event of every (account, merchant) pair, as a stream.
 
-    The known pairs are the state of the stream's own deduplication, looked up by key, so a
-    micro-batch costs what it brings and not what is already known. Use the RocksDB state store.
+    The known pairs are the state of a streaming minimum, looked up by key, so a micro-batch costs
+    what it brings and not what is already known. A pair is written again when an earlier event of
+    it arrives. Use the RocksDB state store.
     """
-    firsts = events.dropDuplicates(["account_id", "merchant_id"]).select(
-        "account_id",
-        "merchant_id",
-        "event_id",
-        "event_timestamp",
-        F.col("event_timestamp").cast("date").alias("visit_day"),
-    )
-    return (
-        firsts.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("visit_day")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "10 seconds"}))
-        .start(path)
-    )
+    earliest = F.min(F.struct("event_timestamp", "event_id")).alias("first")
+    firsts = events.groupBy("account_id", "merchant_id").agg(earliest)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        create_log(batch.sparkSession, path, VISIT)
+        rows = batch.select("account_id", "merchant_id", "first.event_id", "first.event_timestamp")
+        append_batch(rows, path, batch_id, stream=stream)
+
+    return process_stream(firsts, keep, checkpoint, trigger, output_mode="update")
+
+
+def earliest_visits(rows: DataFrame) -> DataFrame:
+    """One row per pair. Also the fold with which to compact the log."""
+    rest = [c for c in rows.columns if c not in ("account_id", "merchant_id")]
+    first = F.min_by(F.struct(*rest), F.struct("event_timestamp", "event_id")).alias("v")
+    earliest = rows.groupBy("account_id", "merchant_id").agg(first)
+    return earliest.select("account_id", "merchant_id", "v.*").select(rows.columns)
 
 
 def read_first_visits(spark: SparkSession, path: str, since=None) -> DataFrame:
-    rows = spark.read.schema(VISIT).parquet(path)
-    return rows if since is None else rows.where(F.col("visit_day") >= day(since))
+    rows = earliest_visits(read_log(spark, path, VISIT)).drop("batch_id")
+    return rows if since is None else rows.where(F.col("event_timestamp").cast("date") >= day(since))
 
 
 def process_stream(
@@ -157,31 +169,89 @@ def process_stream(
 
 
 def with_retries(
-    handler: Handler, dead_path: str, max_retries: int = 3, delay_seconds: float = 1.0
+    handler: Handler,
+    dead_path: str,
+    max_retries: int = 3,
+    delay_seconds: float = 1.0,
+    max_splits: int = 64,
 ) -> Handler:
-    """Retry a failing handler with growing pauses; then its messages go to the dead letters.
+    """Retry a failing handler with growing pauses; then only the messages that fail are set aside.
 
-    The batch must carry ``value`` and may carry topic, partition and offset. The stream goes on.
+    The batch is stored once, so attempts don't compute it again. After the last attempt it is
+    halved by a hash of its messages until failing ones are alone, in at most ``max_splits`` calls;
+    parts that still fail then go to the dead letters whole. The handler is called a last time with
+    all others, so one that writes by batch id ends with exactly these. The batch must carry
+    ``value`` and may carry topic, partition and offset. The stream goes on.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        error = ""
-        for attempt in range(1, max_retries + 1):
-            try:
-                handler(batch, batch_id)
-                return
-            except Exception as e:
-                error = f"{type(e).__name__}: {e}"
-                if attempt < max_retries:
-                    time.sleep(delay_seconds * attempt)
-        failed_at = datetime.now(timezone.utc).replace(tzinfo=None)
-        about = F.create_map(F.lit("error"), F.lit(error))
-        dead = envelope(batch, F.lit(EXHAUSTED), failed_at, metadata=about)
-        append_batch(dead, dead_path, batch_id, sort_by=None)
+        spark = batch.sparkSession
+        work = run_dir(spark, "retry")
+        position = [c for c in ("value", "topic", "partition", "offset") if c in batch.columns]
+        batch.withColumn("_part", F.shiftright(F.xxhash64(*position), 32)).write.parquet(work)
+        rows = spark.read.parquet(work)
+
+        def attempt(part: DataFrame, times: int) -> str:
+            error = ""
+            for n in range(1, times + 1):
+                try:
+                    handler(part.drop("_part"), batch_id)
+                    return ""
+                except Exception as e:
+                    error = f"{type(e).__name__}: {e}"
+                    if n < times:
+                        time.sleep(delay_seconds * n)
+            return error
+
+        error = attempt(rows, max_retries)
+        if error:
+            bad = _failing(rows, attempt, error, max_splits)
+            failed_at = datetime.now(timezone.utc).replace(tzinfo=None)
+            good = F.lit(True)
+            dead = None
+            for low, high, why in bad:
+                inside = F.col("_part").between(low, high)
+                good = good & ~inside
+                about = F.create_map(F.lit("error"), F.lit(why))
+                letters = envelope(
+                    rows.where(inside).drop("_part"), F.lit(EXHAUSTED), failed_at, metadata=about
+                )
+                dead = letters if dead is None else dead.unionByName(letters)
+            if dead is not None:
+                append_batch(dead, dead_path, batch_id, sort_by=None)
+            rest = rows.where(good)
+            if bad and not rest.isEmpty():
+                again = attempt(rest, max_retries)
+                if again:  # fails only together: none of it can be kept
+                    raise RuntimeError(f"batch {batch_id} fails as a whole: {again}")
+        remove_path(spark, work)
 
     return run
 
 
+def _failing(
+    rows: DataFrame, attempt: Callable[[DataFrame, int], str], error: str, max_splits: int
+) -> list[tuple[int, int, str]]:
+    """Ranges of ``_part`` whose messages fail, as narrow as the number of calls allows."""
+    todo = [(-(1 << 31), (1 << 31) - 1, error)]
+    bad: list[tuple[int, int, str]] = []
+    calls = 0
+    while todo:
+        low, high, why = todo.pop(0)
+        inside = rows.where(F.col("_part").between(low, high))
+        span = inside.agg(F.min("_part").alias("low"), F.max("_part").alias("high")).first()
+        if span["low"] == span["high"] or calls >= max_splits:
+            bad.append((span["low"], span["high"], why))
+            continue
+        middle = (span["low"] + span["high"]) // 2
+        for a, b in ((span["low"], middle), (middle + 1, span["high"])):
+            calls += 1
+            found = attempt(rows.where(F.col("_part").between(a, b)), 1)
+            if found:
+                todo.append((a, b, found))
+    return bad
+
+
 def stop_after(query: StreamingQuery, max_messages: int, poll_seconds: float = 0.5) -> int:
     """Let a stream run until it has taken in at least ``max_messages``, then stop it.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,10 +23,11 @@ from tidemark.operators.hopping import (
 from tidemark.operators.serving import upsert
 from tidemark.operators.snapshots import stamp
 from tidemark.operators.trailing import distance_from_home
-from tidemark.sources.logs import append_batch, create_log, table_exists
-from tidemark.streaming.ingest import VISIT, read_first_visits
+from tidemark.sources.logs import append_batch, create_log, read_batch
+from tidemark.streaming.ingest import read_first_visits
 
 WATERMARK = "30 seconds"
+BLOCK_SECONDS = 6 * HOUR_SECONDS  # of pane ends in one folder
 
 _LAST_TYPES = {f.name: f.dataType for f in S.TRANSACTION}
 PANE = T.StructType(
@@ -46,7 +47,9 @@ PANE = T.StructType(
                 ]
             ),
         ),
-        T.StructField("pane_day", T.DateType()),
+        T.StructField("written_us", T.LongType()),
+        T.StructField("pane_block", T.LongType()),
+        T.StructField("stream", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -104,15 +107,23 @@ def pane_stream(
     )
 
 
-def write_panes(panes: DataFrame, path: str, batch_id: int) -> dict:
+def write_panes(panes: DataFrame, path: str, batch_id: int, stream: str = "main") -> dict:
     """Store a micro-batch of panes; a replay replaces its own partitions and nothing else.
 
-    Returns the row count and the range of pane ends, taken while writing.
+    Folders are blocks of a few hours of pane ends, then streams and batches, so that a trigger lists
+    the one or two blocks it needs and nothing else that was ever written. Returns the row count and the range of pane ends, taken while
+    writing.
     """
     seen = Observation()
     (
-        panes.withColumn("pane_day", F.timestamp_seconds("pane_end").cast("date"))
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        panes.withColumns(
+            {
+                "written_us": F.lit(time.time_ns() // 1000),
+                "pane_block": F.floor(F.col("pane_end") / BLOCK_SECONDS),
+                "stream": F.lit(stream),
+                "batch_id": F.lit(batch_id).cast("bigint"),
+            }
+        )
         .sortWithinPartitions("account_id", "pane_end")
         .observe(
             seen,
@@ -122,27 +133,55 @@ def write_panes(panes: DataFrame, path: str, batch_id: int) -> dict:
         )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("pane_day", "batch_id")
+        .partitionBy("pane_block", "stream", "batch_id")
         .parquet(path)
     )
     return seen.get
 
 
-def read_panes(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
-    """The current content of every pane: the version of the last batch that wrote it.
+LISTED_BLOCKS = 32  # up to so many folders are named one by one, else all are listed
 
-    ``days`` limits the listing to those folders.
-    """
-    where = path if days is None else f"{path}/pane_day={{{','.join(days)}}}"
-    rows = spark.read.schema(PANE).option("basePath", path).parquet(where)
+
+def stored_panes(spark: SparkSession, path: str, blocks: range | None = None) -> DataFrame:
+    """All versions of panes; ``blocks`` limits them, and what is listed, to those folders."""
+    reader = spark.read.schema(PANE).option("basePath", path)
+    if blocks is None:
+        return reader.parquet(path)
+    if len(blocks) > LISTED_BLOCKS:
+        return reader.parquet(path).where(F.col("pane_block").between(blocks[0], blocks[-1]))
+    return reader.parquet(f"{path}/pane_block={{{','.join(map(str, blocks))}}}")
+
+
+def read_panes(spark: SparkSession, path: str, blocks: range | None = None) -> DataFrame:
+    """The current content of every pane: the version that was written last."""
     columns = ["n", "amount_sum", "amount_max", "newest"]
     return (
-        rows.groupBy("account_id", "pane_end")
-        .agg(F.max_by(F.struct(*columns), "batch_id").alias("p"))
+        stored_panes(spark, path, blocks)
+        .groupBy("account_id", "pane_end")
+        .agg(F.max_by(F.struct(*columns), F.struct("written_us", "batch_id")).alias("p"))
         .select("account_id", "pane_end", "p.*")
     )
 
 
+def fold_panes(spark: SparkSession, path: str, target: str, blocks: range) -> None:
+    """Write the current panes of closed blocks as few files under ``target``, block by block.
+
+    For blocks that no stream will touch again, as history for other readers; the hot path reads only
+    the last hour and what a batch brings, so the folders of closed blocks may be dropped after it.
+    """
+    rows = read_panes(spark, path, blocks).withColumn(
+        "pane_block", F.floor(F.col("pane_end") / BLOCK_SECONDS)
+    )
+    (
+        rows.repartitionByRange("pane_block", "account_id")
+        .sortWithinPartitions("account_id", "pane_end")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("pane_block")
+        .parquet(target)
+    )
+
+
 @dataclass
 class Paths:
     """Where the hot path keeps its tables."""
@@ -168,16 +207,20 @@ def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def newest_windows(spark: SparkSession, path: str, batch_id: int, span: dict) -> DataFrame:
+def newest_windows(
+    spark: SparkSession, path: str, batch_id: int, span: dict, stream: str = "main"
+) -> DataFrame:
     """The window that ends with the newest pane, for every account the batch touched.
 
     Only the panes of the last hour are read; ``span`` is what write_panes returned.
     """
-    own = spark.read.schema(PANE).option("basePath", path)
-    touched = own.parquet(f"{path}/pane_day=*/batch_id={batch_id}").select("account_id").distinct()
-    recent = read_panes(spark, path, _days(span)).where(
-        F.col("pane_end") > span["first"] - HOUR_SECONDS
-    )
+    own = stored_panes(spark, path, _blocks(span["first"], span["last"]))
+    own = own.where((F.col("stream") == stream) & (F.col("batch_id") == batch_id))
+    touched = own.select("account_id").distinct()
+    # Up to the newest pane of any account: an hour ahead too, should all rows have been late.
+    recent = read_panes(
+        spark, path, _blocks(span["first"] - HOUR_SECONDS, span["last"] + HOUR_SECONDS)
+    ).where(F.col("pane_end") > span["first"] - HOUR_SECONDS)
     windows = windows_over(recent.join(touched, "account_id", "left_semi"), keep_event_id=True)
     newest_first = Window.partitionBy("account_id").orderBy(F.col("pane_end").desc())
     return (
@@ -187,11 +230,8 @@ def newest_windows(spark: SparkSession, path: str, batch_id: int, span: dict) ->
     )
 
 
-def _days(span: dict) -> list[str]:
-    """Days from an hour before the first pane; a day ahead too, should all rows have been late."""
-    start = datetime.fromtimestamp(span["first"] - HOUR_SECONDS, timezone.utc).date()
-    end = datetime.fromtimestamp(span["last"], timezone.utc).date() + timedelta(days=1)
-    return [str(start + timedelta(days=i)) for i in range((end - start).days + 1)]
+def _blocks(first: int, last: int) -> range:
+    return range(first // BLOCK_SECONDS, last // BLOCK_SECONDS + 1)
 
 
 def make_sink(
@@ -199,11 +239,13 @@ def make_sink(
     profiles: DataFrame | None = None,
     clock: Callable[[], datetime] = _utc_now,
     mode: str = "shared",
+    stream: str = "main",
 ) -> Callable[[DataFrame, int], None]:
     """The micro-batch function of the hot path: panes, serving rows, then a snapshot.
 
     Serving comes first. A failed snapshot does not fail the batch; its error is kept in the runs
-    table. Everything is written under the batch id, so running a batch again changes nothing.
+    table. Everything is written under the stream's name and the batch id, so running a batch again
+    changes nothing; give a stream with a new checkpoint a name of its own.
     Novelty is known as far as the first-visits stream has come; until then it is false.
     """
 
@@ -211,40 +253,39 @@ def make_sink(
         started = time.monotonic()
         spark = batch.sparkSession
         # The stream is computed once, by this write; all else reads what it stored.
-        span = write_panes(batch, paths.panes, batch_id)
+        span = write_panes(batch, paths.panes, batch_id, stream)
         if span["rows_in"] == 0:
             return
-        windows = newest_windows(spark, paths.panes, batch_id, span)
+        windows = newest_windows(spark, paths.panes, batch_id, span, stream)
         if profiles is not None:
             located = windows.withColumnsRenamed(
                 {"last_latitude": "latitude", "last_longitude": "longitude"}
             )
             windows = distance_from_home(located, profiles)
-        if paths.first_visits is not None and table_exists(spark, paths.first_visits, VISIT):
-            visits = read_first_visits(spark, paths.first_visits, _days(span)[0]).select(
-                F.col("event_id").alias("last_event_id"), F.lit(True).alias("is_new_merchant")
+        if paths.first_visits is not None:
+            since = datetime.fromtimestamp(span["first"] - HOUR_SECONDS, timezone.utc).date()
+            visits = read_first_visits(spark, paths.first_visits, since).select(
+                "account_id",
+                F.col("event_id").alias("last_event_id"),
+                F.lit(True).alias("is_new_merchant"),
             )
-            windows = windows.join(visits, "last_event_id", "left")
+            windows = windows.join(visits, ["account_id", "last_event_id"], "left")
         now = clock()
         rows = realtime_rows(windows, now, mode)
-        written = upsert(rows, "realtime", paths.serving, batch_id, now)
+        written = upsert(rows, "realtime", paths.serving, batch_id, now, stream=stream)
         error = None
         try:
-            served = rows_of_batch(spark, paths, batch_id)
+            # The snapshot repeats exactly the rows that the batch put into serving.
+            served = read_batch(spark, f"{paths.serving}/realtime", S.REALTIME, batch_id, stream)
             create_log(spark, paths.snapshots, SNAPSHOT)
-            append_batch(stamp(served, batch_id, now), paths.snapshots, batch_id)
+            append_batch(
+                stamp(served, batch_id, now), paths.snapshots, batch_id, stream=stream
+            )
         except Exception as e:
-            error = f"{type(e).__name__}: {e}"[:2000]
+            error = f"{type(e).__name__}: {e}"
         elapsed = (time.monotonic() - started) * 1000.0
         run = spark.createDataFrame([(span["rows_in"], written, elapsed, error)], RUN)
         create_log(spark, paths.runs, RUN)
-        append_batch(run, paths.runs, batch_id, sort_by=None)
+        append_batch(run, paths.runs, batch_id, sort_by=None, stream=stream)
 
     return sink
-
-
-def rows_of_batch(spark: SparkSession, paths: Paths, batch_id: int) -> DataFrame:
-    """What the batch put into serving; the snapshot repeats exactly those rows."""
-    return spark.read.schema(S.REALTIME).parquet(
-        f"{paths.serving}/realtime/log/batch_id={batch_id}"
-    )
