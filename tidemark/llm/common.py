@@ -62,6 +62,21 @@ def bitmap_of(values: DataFrame, name: str, bits: int = 23) -> Bitmap:
     return Bitmap(filled, bits)
 
 
+_held: dict[str, dict] = {}
+
+
+def held(owner: str) -> dict:
+    """What a worker process remembers between tasks, for one owner at a time.
+
+    Workers are reused by later stages; what an earlier operator remembered is given up when another
+    one begins.
+    """
+    if owner not in _held:
+        _held.clear()
+        _held[owner] = {}
+    return _held[owner]
+
+
 def balanced(sizes: Iterator[int] | list[int], limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring items with at most limit bytes each, or one item."""
     start = total = 0

@@ -16,7 +16,7 @@ from itertools import pairwise
 
 import numpy as np
 
-from tidemark.llm.common import balanced
+from tidemark.llm.common import balanced, held
 
 # White space other than space and line feed, and characters that not every library counts as such.
 # Texts with them, or with the tokenizer's special strings, are cut only between ASCII letters.
@@ -78,13 +78,12 @@ class _Known(dict):
 class Encoder:
     """A tokenizer file of the library ``tokenizers``; one per path and worker."""
 
-    _loaded: dict[str, "Encoder"] = {}
-
     @classmethod
     def of(cls, path: str) -> "Encoder":
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+        loaded = held("encoders")
+        if path not in loaded:
+            loaded[path] = cls(path)
+        return loaded[path]
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from tidemark.llm.common import balanced
+from tidemark.llm.common import balanced, held
 
 CHUNK = 1 << 20  # bytes hashed at once
 _SPACES = b"\t\n\x0b\x0c\r "
@@ -32,17 +32,17 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64))
 _VALUE[_IS_SPACE] = 0
-_powers: dict[str, np.ndarray] = {}
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
+    powers = held("powers")
+    if len(powers.get("up", ())) < n:
         inverse = pow(_BASE, -1, 1 << 64)
         for name, base in (("up", _BASE), ("down", inverse)):
             steps = np.full(n, base, np.uint64)
             steps[0] = 1
-            _powers[name] = np.cumprod(steps)
-    return _powers["up"], _powers["down"]
+            powers[name] = np.cumprod(steps)
+    return powers["up"], powers["down"]
 
 
 def _hashed(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
