@@ -13,7 +13,9 @@ of fixed size.
 
 Defined results: null and empty texts, and templates without words, give no rows; every row of the
 input is scanned, repeats included; a null id stays null; the best coverage per license is returned
-with its number of stretches; equal coverages go to the earlier stretch; other columns are left out.
+with its number of stretches; a stretch that a better covered license overlaps is left to that one,
+equal coverages are both returned, and the earlier stretch stands for several; other columns are left
+out.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -134,6 +137,7 @@ def scan(words: np.ndarray, templates: list[_Template], least: float) -> Iterato
     if len(words) < 1:
         return
     by_length: dict[int, np.ndarray] = {}
+    matches: list[tuple] = []  # (coverage, first word, word after the last, license)
     for t in templates:
         width = min(SEED, len(t.words))
         if width not in by_length:
@@ -142,18 +146,43 @@ def scan(words: np.ndarray, templates: list[_Template], least: float) -> Iterato
         hits = np.flatnonzero(t.seeds[np.minimum(at, len(t.seeds) - 1)] == by_length[width])
         if not len(hits):
             continue
-        best, found = None, 0
         pattern = t.words.tolist()
         for a, b in _stretches(hits, len(pattern), len(words)):
             for lo, hi in _windows(a, b, len(pattern)):
                 pairs = align(pattern, words[lo:hi].tolist())
                 coverage = len(pairs) / len(pattern)
                 if coverage >= least:
-                    found += 1
-                    if best is None or coverage > best[0]:
-                        best = (coverage, lo + pairs[0][1], lo + pairs[-1][1] + 1)
-        if best:
-            yield t.name, *best, found
+                    matches.append((coverage, lo + pairs[0][1], lo + pairs[-1][1] + 1, t.name))
+    kept = _undisputed(sorted(matches, key=lambda m: (-m[0], m[1], m[3])))
+    found = Counter(m[3] for m in kept)
+    seen: set[str] = set()
+    for coverage, first, last, name in kept:  # the best of each license comes first
+        if name not in seen:
+            seen.add(name)
+            yield name, coverage, first, last, found[name]
+
+
+def _undisputed(matches: list[tuple]) -> list[tuple]:
+    """Matches, best first, without those that overlap a better one: similar notices differ in few
+    words, and a stretch of text is the one that fits it best."""
+    kept: list[tuple] = []
+    starts: list[int] = []
+    ends: list[int] = []  # disjoint ranges of all better matches, in order
+    for _, group in groupby(matches, key=lambda m: m[0]):
+        group = list(group)
+        for m in group:
+            at = bisect_left(ends, m[1] + 1)
+            if at == len(starts) or starts[at] >= m[2]:
+                kept.append(m)
+        ranges = sorted([*zip(starts, ends), *((m[1], m[2]) for m in group)])
+        starts, ends = [], []
+        for a, b in ranges:
+            if ends and a <= ends[-1]:
+                ends[-1] = max(ends[-1], b)
+            else:
+                starts.append(a)
+                ends.append(b)
+    return kept
 
 
 def _windows(a: int, b: int, length: int) -> Iterator[tuple[int, int]]:
