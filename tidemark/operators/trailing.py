@@ -9,6 +9,7 @@ that only ever grow. Each event is sent to its own slice and, as context, to the
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -186,8 +187,13 @@ def trailing_features(
     profiles: DataFrame | None = None,
     history: DataFrame | None = None,
     mode: str = "shared",
+    counts: Callable[[DataFrame, list[str]], DataFrame] = trailing_counts,
 ) -> DataFrame:
-    """The complete realtime feature row as of every event, computed_at being the event time."""
+    """The complete realtime feature row as of every event, computed_at being the event time.
+
+    ``counts`` is trailing_counts, with one shuffle, or pane_frames.counts_by_pane, which also splits
+    an account that fills an hour; both give the same rows.
+    """
     located = (
         txns.withColumn("distance_from_home", F.lit(None).cast("double"))
         if profiles is None
@@ -203,7 +209,7 @@ def trailing_features(
         "card_present",
         "country_code",
     ]
-    counted = trailing_counts(located, keep)
+    counted = counts(located, keep)
     firsts = first_visits(txns)
     if history is not None:
         known = history.select("account_id", "merchant_id").distinct()
