@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clock import MICROS, micros, wall
+from tidemark.sources.logs import compact, remove_folded
 
 COMMIT_COLUMNS = ["snapshot_id", "batch_id", "committed_at"]
-_SLICE = 3600 * MICROS
+_SLICE = 300 * MICROS
 
 
 def stamp(
@@ -45,6 +46,7 @@ def features_asof(
     Requests and snapshots are merged in time order and a running maximum carries the answer, so
     rows are never multiplied by a join. Time is cut into slices: groups are (account, slice), and
     each slice starts from the best row of all earlier slices, found on one row per slice.
+    ``slice_micros`` has no effect on results: shorter slices make smaller groups and more of them.
     """
     own = [c for c in requests.columns if c not in ("account_id", "as_of")]
     payload = [c for c in snaps.columns if c != "account_id"]
@@ -215,7 +217,27 @@ def snapshots_to_expire(
         .limit(keep)
         .select("snapshot_id")
     )
-    # The kept side has at most ``keep`` rows.
-    return commits_.where(F.col("committed_at") < limit).join(
-        F.broadcast(newest), "snapshot_id", "left_anti"
-    )
+    return commits_.where(F.col("committed_at") < limit).join(newest, "snapshot_id", "left_anti")
+
+
+def expire_snapshots(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    now: datetime | str | Column,
+    max_age_days: int = 30,
+    keep: int = 10,
+) -> str | None:
+    """Rewrite a snapshot log without its expired commits and delete the files that held them.
+
+    Time travel to before the oldest commit left finds nothing. Run it when no reader is left that
+    began before. Returns the new location, or None for an empty log.
+    """
+
+    def fold(rows: DataFrame) -> DataFrame:
+        old = snapshots_to_expire(commits(rows), now, max_age_days, keep).select("snapshot_id")
+        return rows.join(old, "snapshot_id", "left_anti").select(rows.columns)
+
+    location = compact(spark, path, schema, fold)
+    remove_folded(spark, path)
+    return location

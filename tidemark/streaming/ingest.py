@@ -46,6 +46,9 @@ VISIT = T.StructType(
         T.StructField("merchant_id", T.StringType()),
         T.StructField("event_id", T.StringType()),
         T.StructField("event_timestamp", T.TimestampNTZType()),
+        # The newest event of the pair that the row takes into account.
+        T.StructField("seen_at", T.TimestampNTZType()),
+        T.StructField("seen_event_id", T.StringType()),
     ]
 )
 
@@ -124,15 +127,25 @@ def write_first_visits(
     """Keep the earliest event of every (account, merchant) pair, as a stream.
 
     The known pairs are the state of a streaming minimum, looked up by key, so a micro-batch costs
-    what it brings and not what is already known. A pair is written again when an earlier event of
-    it arrives. Use the RocksDB state store.
+    what it brings and not what is already known. Every pair that a batch touches is written with its
+    first and its newest event, so recent rows alone tell whether a recent event was the first. Use
+    the RocksDB state store.
     """
-    earliest = F.min(F.struct("event_timestamp", "event_id")).alias("first")
-    firsts = events.groupBy("account_id", "merchant_id").agg(earliest)
+    event = F.struct("event_timestamp", "event_id")
+    firsts = events.groupBy("account_id", "merchant_id").agg(
+        F.min(event).alias("first"), F.max(event).alias("seen")
+    )
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         create_log(batch.sparkSession, path, VISIT)
-        rows = batch.select("account_id", "merchant_id", "first.event_id", "first.event_timestamp")
+        rows = batch.select(
+            "account_id",
+            "merchant_id",
+            "first.event_id",
+            "first.event_timestamp",
+            F.col("seen.event_timestamp").alias("seen_at"),
+            F.col("seen.event_id").alias("seen_event_id"),
+        )
         append_batch(rows, path, batch_id, stream=stream)
 
     return process_stream(firsts, keep, checkpoint, trigger, output_mode="update")
@@ -140,10 +153,13 @@ def write_first_visits(
 
 def earliest_visits(rows: DataFrame) -> DataFrame:
     """One row per pair. Also the fold with which to compact the log."""
-    rest = [c for c in rows.columns if c not in ("account_id", "merchant_id")]
+    seen = ["seen_at", "seen_event_id"]
+    rest = [c for c in rows.columns if c not in ("account_id", "merchant_id", *seen)]
     first = F.min_by(F.struct(*rest), F.struct("event_timestamp", "event_id")).alias("v")
-    earliest = rows.groupBy("account_id", "merchant_id").agg(first)
-    return earliest.select("account_id", "merchant_id", "v.*").select(rows.columns)
+    earliest = rows.groupBy("account_id", "merchant_id").agg(
+        first, F.max(F.struct(*seen)).alias("s")
+    )
+    return earliest.select("account_id", "merchant_id", "v.*", "s.*").select(rows.columns)
 
 
 def read_first_visits(spark: SparkSession, path: str, since=None) -> DataFrame:
@@ -151,6 +167,40 @@ def read_first_visits(spark: SparkSession, path: str, since=None) -> DataFrame:
     return rows if since is None else rows.where(F.col("event_timestamp").cast("date") >= day(since))
 
 
+def novelty(spark: SparkSession, path: str, events: DataFrame, since: datetime) -> DataFrame:
+    """account_id, is_new_merchant and settled for one event per account.
+
+    ``events`` has account_id, merchant_id, event_timestamp and event_id, none before ``since``. An
+    event is settled once the first-visits stream has seen it or a later one of its pair; rows that
+    can tell have seen something since then, so older ones are not read.
+    """
+    recent = read_log(spark, path, VISIT).where(F.col("seen_at") >= F.lit(since))
+    rows = recent.select(
+        F.col("account_id").alias("_account"),
+        F.col("merchant_id").alias("_merchant"),
+        F.struct("event_timestamp", "event_id").alias("first"),
+        F.struct("seen_at", "seen_event_id").alias("seen"),
+    )
+    same = F.col("account_id").eqNullSafe(F.col("_account")) & F.col("merchant_id").eqNullSafe(
+        F.col("_merchant")
+    )
+    known = (
+        events.join(rows, same, "left")
+        .groupBy("account_id", "event_timestamp", "event_id")
+        .agg(F.min("first").alias("first"), F.max("seen").alias("seen"))
+    )
+    this = F.struct("event_timestamp", "event_id")
+    at, seen_at = F.col("event_timestamp"), F.col("seen.seen_at")
+    later = (seen_at > at) | (
+        (seen_at == at) & (F.coalesce("seen.seen_event_id", F.lit("")) >= F.coalesce("event_id", F.lit("")))
+    )
+    return known.select(
+        "account_id",
+        F.col("first").eqNullSafe(this).alias("is_new_merchant"),
+        F.coalesce(later, F.lit(False)).alias("settled"),
+    )
+
+
 def process_stream(
     stream: DataFrame,
     handler: Handler,

@@ -23,8 +23,9 @@ from tidemark.operators.hopping import (
 from tidemark.operators.serving import upsert
 from tidemark.operators.snapshots import stamp
 from tidemark.operators.trailing import distance_from_home
-from tidemark.sources.logs import append_batch, create_log, read_batch
-from tidemark.streaming.ingest import read_first_visits
+from tidemark.session import run_dir
+from tidemark.sources.logs import append_batch, create_log, read_batch, remove_path
+from tidemark.streaming.ingest import novelty
 
 WATERMARK = "30 seconds"
 BLOCK_SECONDS = 6 * HOUR_SECONDS  # of pane ends in one folder
@@ -111,8 +112,8 @@ def write_panes(panes: DataFrame, path: str, batch_id: int, stream: str = "main"
     """Store a micro-batch of panes; a replay replaces its own partitions and nothing else.
 
     Folders are blocks of a few hours of pane ends, then streams and batches, so that a trigger lists
-    the one or two blocks it needs and nothing else that was ever written. Returns the row count and the range of pane ends, taken while
-    writing.
+    the one or two blocks it needs and nothing else that was ever written. Returns the row count and
+    the range of pane ends, taken while writing.
     """
     seen = Observation()
     (
@@ -234,19 +235,42 @@ def _blocks(first: int, last: int) -> range:
     return range(first // BLOCK_SECONDS, last // BLOCK_SECONDS + 1)
 
 
+def _settled(
+    spark: SparkSession, path: str, windows: DataFrame, since: datetime, wait_seconds: float
+) -> DataFrame:
+    """account_id and is_new_merchant of every window's newest event, once all of them are known."""
+    events = windows.select(
+        "account_id",
+        F.col("last_merchant_id").alias("merchant_id"),
+        F.col("last_event_time").alias("event_timestamp"),
+        F.col("last_event_id").alias("event_id"),
+    )
+    deadline = time.monotonic() + wait_seconds
+    while True:
+        flags = novelty(spark, path, events, since.replace(tzinfo=None))
+        if flags.where(~F.col("settled")).isEmpty():
+            return flags.drop("settled")
+        if time.monotonic() >= deadline:
+            raise RuntimeError(f"first visits at {path} have not come as far as this batch")
+        time.sleep(1.0)
+
+
 def make_sink(
     paths: Paths,
     profiles: DataFrame | None = None,
     clock: Callable[[], datetime] = _utc_now,
     mode: str = "shared",
     stream: str = "main",
+    wait_seconds: float = 60.0,
 ) -> Callable[[DataFrame, int], None]:
     """The micro-batch function of the hot path: panes, serving rows, then a snapshot.
 
     Serving comes first. A failed snapshot does not fail the batch; its error is kept in the runs
     table. Everything is written under the stream's name and the batch id, so running a batch again
     changes nothing; give a stream with a new checkpoint a name of its own.
-    Novelty is known as far as the first-visits stream has come; until then it is false.
+    With ``first_visits`` a batch is served only when that stream has seen its newest events, so the
+    flag depends on the data and not on timing; after ``wait_seconds`` without them the batch fails
+    and runs again on restart. Without it the flag is false.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -262,17 +286,20 @@ def make_sink(
                 {"last_latitude": "latitude", "last_longitude": "longitude"}
             )
             windows = distance_from_home(located, profiles)
+        work = None
         if paths.first_visits is not None:
-            since = datetime.fromtimestamp(span["first"] - HOUR_SECONDS, timezone.utc).date()
-            visits = read_first_visits(spark, paths.first_visits, since).select(
-                "account_id",
-                F.col("event_id").alias("last_event_id"),
-                F.lit(True).alias("is_new_merchant"),
-            )
-            windows = windows.join(visits, ["account_id", "last_event_id"], "left")
+            # Stored once: waiting looks at these rows again and does not compute them again.
+            work = run_dir(spark, "newest")
+            windows.write.parquet(work)
+            windows = spark.read.schema(windows.schema).parquet(work)
+            since = datetime.fromtimestamp(span["first"] - HOUR_SECONDS, timezone.utc)
+            flags = _settled(spark, paths.first_visits, windows, since, wait_seconds)
+            windows = windows.join(flags, "account_id", "left")
         now = clock()
         rows = realtime_rows(windows, now, mode)
         written = upsert(rows, "realtime", paths.serving, batch_id, now, stream=stream)
+        if work is not None:
+            remove_path(spark, work)
         error = None
         try:
             # The snapshot repeats exactly the rows that the batch put into serving.
