@@ -514,6 +514,7 @@ WHERE rn = 1"""
             _staged(q.NOW),
             HOPS,
             DISTANCE,
+            NOVELTY,
             """newest AS (
   SELECT * FROM hops
   QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY window_end DESC) = 1
@@ -526,11 +527,12 @@ WHERE rn = 1"""
         )
         + f"""SELECT account_id, TIMESTAMP '{q.NOW}' AS computed_at, txn_count_1h,
   txn_amount_sum_1h, txn_amount_max_1h, {_VELOCITY.format(n="txn_count_5m")} AS txn_velocity_5m,
-  distance_from_home, false AS is_new_merchant, {_CLOCK.format(ts="last_event_time")},
+  distance_from_home, is_new_merchant, {_CLOCK.format(ts="last_event_time")},
   last_is_online AS is_online, last_card_present AS card_present,
   last_country_code AS country_code, TIMESTAMP '{q.NOW}' AS written_at,
   TIMESTAMP '{q.NOW}' + INTERVAL 3600 SECOND AS expires_at
-FROM newest JOIN last_event USING (account_id) JOIN distance USING (event_id)"""
+FROM newest JOIN last_event USING (account_id) JOIN distance USING (event_id)
+  JOIN novelty USING (event_id)"""
     )
     out["q_realtime_projection"] = (
         _with(TXNS, _staged(q.NOW), HOPS)

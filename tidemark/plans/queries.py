@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas as S
 from tidemark.operators import daily, hopping, quality, registry, serving, snapshots, staging
 from tidemark.operators import trailing, validation
+from tidemark.operators.pane_frames import counts_by_pane
 from tidemark.functions.clock import hour_of_day, is_weekend, micros
 from tidemark.functions.keys import route_partition
 from tidemark.functions.numbers import velocity
@@ -27,6 +28,7 @@ SERVE_AT = "2024-01-29 12:00:00"
 SERVE_DATE = "2024-01-29"
 NIGHTLY_AT = "2024-01-29 02:00:00"
 ASOF = "2024-01-20 00:00:00"
+HALFWAY = "2024-01-16 00:00:00"
 PAIR = ("2024-01-15 00:00:00", "2024-01-25 00:00:00")
 HISTORY_RANGE = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 
@@ -228,12 +230,12 @@ def route_partition_(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def trailing_1h(spark: SparkSession, folder: str) -> DataFrame:
     keep = ["event_id", "account_id", "event_timestamp"]
-    return trailing.trailing_counts(_staged(spark, folder), keep).drop("txn_count_5m")
+    return counts_by_pane(_staged(spark, folder), keep).drop("txn_count_5m")
 
 
 @query
 def velocity_5m(spark: SparkSession, folder: str) -> DataFrame:
-    rows = trailing.trailing_counts(_staged(spark, folder), ["event_id", "account_id"])
+    rows = counts_by_pane(_staged(spark, folder), ["event_id", "account_id"])
     n5m, n1h = F.col("txn_count_5m"), F.col("txn_count_1h")
     return rows.select(
         "event_id",
@@ -267,7 +269,8 @@ def event_clock(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def realtime_vector(spark: SparkSession, folder: str) -> DataFrame:
-    return trailing.trailing_features(_staged(spark, folder), tables.profiles(spark, folder))
+    homes = tables.profiles(spark, folder)
+    return trailing.trailing_features(_staged(spark, folder), homes, counts=counts_by_pane)
 
 
 @query
@@ -511,7 +514,7 @@ def skew_report(spark: SparkSession, folder: str) -> DataFrame:
             batch_id=micros(F.col("window_end")),
         )
     )
-    rows = trailing.trailing_features(staged)
+    rows = trailing.trailing_features(staged, counts=counts_by_pane)
     names = ["txn_count_1h", "txn_amount_sum_1h", "txn_amount_max_1h", "is_new_merchant"]
     cold = (
         rows.groupBy("account_id")
@@ -576,13 +579,21 @@ def stream_hop_1h(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_served(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole hot path: events to panes to served realtime rows."""
+    """The whole hot path: events to panes to served rows, over two runs with a restart between."""
     spark = stream_session(spark)
-    paths = panes.Paths.under(run_dir(spark, "served"))
-    stream = panes.pane_stream(staging.clean(_event_stream(spark, folder), NOW))
+    paths = panes.Paths.under(run_dir(spark, "served"), first_visits=True)
+    source = f"{paths.runs}-in"
     sink = panes.make_sink(paths, tables.profiles(spark, folder), lambda: NOW)
-    ingest.process_stream(
-        stream, sink, f"{paths.runs}-ck", _ONCE, output_mode="update"
-    ).awaitTermination()
+    early = F.col("event_timestamp") < F.lit(HALFWAY).cast("timestamp_ntz")
+    rows = _staged(spark, folder)
+    for part in (rows.where(early), rows.where(~early)):
+        part.write.mode("append").parquet(source)
+        events = spark.readStream.schema(rows.schema).parquet(source)
+        ingest.write_first_visits(
+            events, paths.first_visits, f"{paths.runs}-ck-v", _ONCE
+        ).awaitTermination()
+        ingest.process_stream(
+            panes.pane_stream(events), sink, f"{paths.runs}-ck", _ONCE, output_mode="update"
+        ).awaitTermination()
     rows = serving.live(serving.read_serving(spark, paths.serving, "realtime"), NOW)
     return rows.drop("batch_id")
