@@ -11,7 +11,10 @@ def docs_of(spark):
         full = [(i, t, "en", "s", len(t) if t is not None else None) for i, t in rows]
         df = spark.createDataFrame(full, DOCS)
         if extra:
-            df = df.selectExpr("*", "'x' AS score", "1 AS page", "2 AS class", "3 AS token")
+            df = df.selectExpr(
+                "*", "'x' AS score", "1 AS page", "2 AS class", "3 AS token", "4 AS text_key",
+                "5 AS text_hash", "6 AS id", "'y' AS row", "7 AS n", "8 AS kept_id", "9 AS bad_id",
+            )
         return df.repartition(3)
 
     return make

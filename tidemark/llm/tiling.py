@@ -225,9 +225,11 @@ def contamination(
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs, with all columns, that no item contaminates."""
-    found = contamination(docs, items).select(
-        F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")
+    found = contamination(docs, items).select("doc_id", "text_key").distinct()
+    bad = stored(found, "contaminated")
+    # Rows travel as one struct, so that no column of theirs clashes.
+    rows = docs.select(F.struct("*").alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (
+        F.xxhash64("row.text") == F.col("text_key")
     )
-    bad = stored(found.distinct(), "contaminated")
-    same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64("text") == F.col("bad_key"))
-    return docs.join(bad, same, "left_anti")
+    return rows.join(bad, same, "left_anti").select("row.*")
