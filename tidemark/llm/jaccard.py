@@ -352,16 +352,29 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     """
     rows = _classes(docs, width, percent, BLOCK_SETS, BLOCK_SHINGLES)
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    key = ["text_hash", "id", "no_id"]
     keepers = stored(
         rows.where("class IS NOT NULL")
         .groupBy("class")
         .agg(F.min(rank).alias("keep"))
-        .select(F.col("keep.doc_id").alias("kept_id"), F.col("keep.text_hash").alias("kept_hash")),
+        .select("keep.text_hash", F.expr("coalesce(keep.doc_id, 0L) AS id"), "keep.no_id"),
         "kept",
     )
-    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    same = (F.xxhash64("text") == F.col("kept_hash")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    worded = docs.where(has_words).join(keepers, same, "left_semi")
-    one = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns))
-    single = worded.withColumn("__n", F.row_number().over(one)).where("__n = 1").drop("__n")
-    return single.unionByName(docs.where(~has_words))
+    # Rows travel as one struct, so no column of theirs can clash with the key's names. The join and
+    # the window share the key: whole texts are shuffled once.
+    marked = docs.select(
+        F.struct("*").alias("row"),
+        F.xxhash64("text").alias("text_hash"),
+        F.expr("coalesce(doc_id, 0L) AS id"),
+        F.col("doc_id").isNull().alias("no_id"),
+        F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded"),
+    )
+    one = Window.partitionBy(*key).orderBy(F.xxhash64("row"))
+    single = (
+        marked.where("worded")
+        .join(keepers, key, "left_semi")
+        .withColumn("n", F.row_number().over(one))
+        .where("n = 1")
+    )
+    wordless = marked.where("NOT worded")
+    return single.select("row.*").unionByName(wordless.select("row.*"))
