@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand at most so many rows at once to Arrow functions.
+
+    Texts are long: the default of 10,000 rows is tens of megabytes, held several times over by the
+    JVM and by the worker. The setting stays, as plans run after their operator has returned.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    asked = int(spark.conf.get(name))
+    if not 0 < asked <= rows:
+        spark.conf.set(name, rows)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -73,6 +86,7 @@ def held(owner: str) -> dict:
     """
     if owner not in _held:
         _held.clear()
+        pa.default_memory_pool().release_unused()
         _held[owner] = {}
     return _held[owner]
 

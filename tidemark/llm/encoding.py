@@ -26,7 +26,7 @@ _ODD = re.compile(
 _PARTS = re.compile(r" ?[^ \n]+|[ \n]+(?=[ \n]|\Z)|[ \n]")
 _SAFE = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
 SEGMENT = 1 << 18  # characters encoded at once
-REMEMBERED = 1_000_000  # parts a worker keeps; beyond them it starts anew
+REMEMBERED = 150_000  # parts of a generation; a worker keeps two
 
 
 def _ranked(path: str, tokenizer):
@@ -65,15 +65,28 @@ def _ranked(path: str, tokenizer):
 
 
 class _Known(dict):
-    """Ids of parts as bytes; a missing part is encoded when it is asked for."""
+    """Ids of parts as bytes; a missing part is encoded when it is asked for.
+
+    A full generation becomes the old one. What is asked for again moves to the new one, so common
+    parts stay and rare ones go, in bounded memory.
+    """
 
     def __init__(self, encode):
         self.encode = encode
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        ids = self[part] = array("I", self.encode(part)).tobytes()
+        ids = self.old.get(part)
+        if ids is None:
+            ids = array("I", self.encode(part)).tobytes()
+        self[part] = ids
         return ids
 
+    def turn(self, most: int) -> None:
+        if len(self) > most:
+            self.old = dict(self)
+            self.clear()
+
 
 class Encoder:
     """A tokenizer file of the library ``tokenizers``; one per path and worker."""
@@ -122,8 +135,7 @@ class Encoder:
             if len(parts) == 1:  # a whole segment will not come again
                 yield self._plain(parts[0])
                 continue
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
+            self.known.turn(REMEMBERED)
             if not self.ranked:
                 self._learn(parts)
             yield from map(self.known.__getitem__, parts)
@@ -132,7 +144,7 @@ class Encoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _learn(self, parts: list[str]) -> None:
-        new = [p for p in set(parts) if p not in self.known]
+        new = [p for p in set(parts) if p not in self.known and p not in self.known.old]
         for first, last in balanced([len(p) for p in new], SEGMENT):
             batch = new[first:last]
             encoded = self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)
