@@ -237,3 +237,48 @@ def test_license_query_finds_every_notice(spark, folder):
     want = {(d.doc_id, k) for d in docs for k, v in lines.items() if v in (d.text or "")}
     got = {(r.doc_id, r.license) for r in queries.op9_licenses(spark, folder).collect()}
     assert want == got
+
+
+def brute_copies(pattern, words, least):
+    """Most disjoint windows of at most 1.25 templates in which enough words align in order."""
+    n = len(words)
+    best = [0] * (n + 1)
+    for i in range(n - 1, -1, -1):
+        best[i] = best[i + 1]
+        row = [0] * (len(pattern) + 1)
+        for j in range(i, min(n, i + len(pattern) + len(pattern) // 4)):
+            new = [0]
+            for k, w in enumerate(pattern):
+                new.append(row[k] + 1 if w == words[j] else max(row[k + 1], new[k]))
+            row = new
+            if row[-1] >= least * len(pattern):
+                best[i] = max(best[i], 1 + best[j + 1])
+                break
+    return best[0]
+
+
+def test_close_copies_of_a_notice_are_all_counted(docs_of):
+    rng = random.Random(12)
+    want, rows = {}, []
+    for name in ("mit", "apache-2.0", "gpl-3.0", "mit-text", "bsd-2-clause-text"):
+        notice = licenses.normal(licenses.TEMPLATES[name]).decode().split()
+        for copies in (1, 2, 3, 7):
+            for between in (0, 1, 2, 3, len(notice) // 2, 2 * len(notice)):
+                words = [f"w{rng.randrange(10**9)}" for _ in range(300)]
+                for _ in range(copies):
+                    copy = list(notice)
+                    if len(copy) > 8 and copies < 7:
+                        copy[rng.randrange(len(copy))] = "changed"
+                        copy.insert(rng.randrange(len(copy)), "added")
+                        del copy[rng.randrange(len(copy))]
+                    words += copy + [f"v{rng.randrange(10**9)}" for _ in range(between)]
+                words += [f"w{rng.randrange(10**9)}" for _ in range(300)]
+                rows.append((len(rows), " ".join(words)))
+                want[len(rows) - 1, name] = copies
+                if len(notice) < 20:
+                    assert brute_copies(notice, words, licenses.COVERAGE) == copies
+    got = {
+        (r.doc_id, r.license): r.n_found for r in licenses.licenses(docs_of(rows)).collect()
+    }
+    assert {k: v for k, v in got.items() if k in want} == want
+    assert got == want

@@ -6,10 +6,14 @@ same way, where more words have become unique. Coverage is the aligned share of
 
 A text may hold a notice several times, which leaves no unique words, so it is first cut into
 stretches around seeds (SEED words in a row that a template has); stretches further apart than the
-template is long are aligned on their own. Words are lower-cased runs of letters and digits.
+template is long are aligned on their own. Within a stretch a copy's seeds agree on where it begins
+(place in the text less place in the template), so each such beginning is aligned alone in a window
+of about one template. Of overlapping alignments the one with the fewest words missing or inserted
+stays; each that stays is aligned once more in the room between its neighbours. Words are lower-cased
+runs of letters and digits.
 
-Work per text is its hashing plus alignment around seeds only; no shuffle, templates are a parameter
-of fixed size.
+Work per text is its hashing plus alignment around seeds only, where enough words of the template
+stand; no shuffle, templates are a parameter of fixed size.
 
 Defined results: null and empty texts, and templates without words, give no rows; every row of the
 input is scanned, repeats included; a null id stays null; the best coverage per license is returned
@@ -122,7 +126,12 @@ class _Template:
     def __init__(self, name: str, text: str):
         self.name = name
         self.words = next(word_hashes([normal(text)]))[1]
-        self.seeds = np.unique(shingles(self.words, min(SEED, max(1, len(self.words)))))
+        own = shingles(self.words, min(SEED, max(1, len(self.words))))
+        self.order = np.argsort(own, kind="stable")  # places of seeds, by seed
+        self.placed = own[self.order]
+        self.seeds = np.unique(own)
+        self.vocabulary = np.unique(self.words)
+        self.pattern = self.words.tolist()
 
 
 def _stretches(hits: np.ndarray, reach: int, n: int) -> Iterator[tuple[int, int]]:
@@ -146,13 +155,16 @@ def scan(words: np.ndarray, templates: list[_Template], least: float) -> Iterato
         hits = np.flatnonzero(t.seeds[np.minimum(at, len(t.seeds) - 1)] == by_length[width])
         if not len(hits):
             continue
-        pattern = t.words.tolist()
-        for a, b in _stretches(hits, len(pattern), len(words)):
-            for lo, hi in _windows(a, b, len(pattern)):
-                pairs = align(pattern, words[lo:hi].tolist())
-                coverage = len(pairs) / len(pattern)
-                if coverage >= least:
-                    matches.append((coverage, lo + pairs[0][1], lo + pairs[-1][1] + 1, t.name))
+        place = np.searchsorted(t.vocabulary, words)
+        known = t.vocabulary[np.minimum(place, len(t.vocabulary) - 1)] == words
+        sums = np.append(0, np.cumsum(known))
+        if sums[-1] < least * len(t.words):
+            continue
+        for a, b in _stretches(hits, len(t.words), len(words)):
+            if sums[b] - sums[a] >= least * len(t.words):
+                inside = hits[(hits >= a) & (hits < b)]
+                found = _copies(words, by_length[width], inside, a, b, t, sums, least)
+                matches.extend((c, lo, hi, t.name) for c, lo, hi in found)
     kept = _undisputed(sorted(matches, key=lambda m: (-m[0], m[1], m[3])))
     found = Counter(m[3] for m in kept)
     seen: set[str] = set()
@@ -162,6 +174,80 @@ def scan(words: np.ndarray, templates: list[_Template], least: float) -> Iterato
             yield name, coverage, first, last, found[name]
 
 
+def _beginnings(seeds: np.ndarray, hits: np.ndarray, t: _Template) -> Iterator[int]:
+    """Where copies may begin: of each group of near beginnings the one that most seeds agree on."""
+    low = np.searchsorted(t.placed, seeds[hits], "left")
+    times = np.searchsorted(t.placed, seeds[hits], "right") - low
+    at = np.repeat(low - np.append(0, np.cumsum(times)[:-1]), times) + np.arange(times.sum())
+    begins, votes = np.unique(np.repeat(hits, times) - t.order[at], return_counts=True)
+    group = begins // max(1, len(t.words) // 8)
+    best = np.lexsort((begins, -votes, group))
+    yield from begins[best[np.append(True, np.diff(group[best]) != 0)]].tolist()
+
+
+def _copies(
+    words: np.ndarray,
+    seeds: np.ndarray,
+    hits: np.ndarray,
+    a: int,
+    b: int,
+    t: _Template,
+    sums: np.ndarray,
+    least: float,
+) -> list[tuple[float, int, int]]:
+    """(coverage, first word, word after the last) of a template's copies in a stretch, disjoint.
+
+    sums: how many words before each place of the text the template has, a bound of what can align.
+    """
+    n = len(t.pattern)
+    tried: dict[tuple[int, int], tuple | None] = {}
+
+    def aligned(lo: int, hi: int) -> tuple | None:
+        lo, hi = max(a, lo), min(b, hi)
+        if (lo, hi) not in tried:
+            found = None
+            if hi > lo and sums[hi] - sums[lo] >= least * n:
+                pairs = align(t.pattern, words[lo:hi].tolist())
+                if len(pairs) >= least * n:
+                    first, last = pairs[0][1] + lo, pairs[-1][1] + lo + 1
+                    found = (n - len(pairs)) + (last - first - len(pairs)), first, last, len(pairs)
+            tried[lo, hi] = found
+        return tried[lo, hi]
+
+    def exact(found: list[tuple]) -> bool:
+        """Whole copies unchanged, with too few of the template's words outside for another."""
+        ends = [a, *(x for m in found for x in m[1:3]), b]
+        return all(m[0] == 0 for m in found) and all(
+            sums[hi] - sums[lo] < least * n for lo, hi in zip(ends[::2], ends[1::2])
+        )
+
+    found = [m for lo, hi in _windows(a, b, n) if (m := aligned(lo, hi))]
+    if not (len(found) == 1 and exact(found)):
+        ahead, behind = 1 + n // 8, n + 1 + n // 4
+        for begin in _beginnings(seeds, hits, t):
+            m = aligned(begin, begin + n)
+            if m is None or m[0]:
+                tries = [(begin - ahead, begin + behind), (begin, begin + 2 * n)]
+                found.extend(x for lo, hi in tries if (x := aligned(lo, hi)))
+            if m:
+                found.append(m)
+    kept: list[tuple] = []
+    for m in sorted(set(found)):
+        at = bisect_left(kept, m[1], key=lambda k: k[1])
+        if (at == 0 or kept[at - 1][2] <= m[1]) and (at == len(kept) or kept[at][1] >= m[2]):
+            kept.insert(at, m)
+    begins = [*(m[1] for m in kept[1:]), b]
+    done: list[tuple[float, int, int]] = []
+    room = a
+    for (_, first, last, size), following in zip(kept, begins):
+        if size < n and (m := aligned(max(room, first - n), min(following, last + n))):
+            if m[3] > size:
+                _, first, last, size = m
+        done.append((size / n, first, last))
+        room = last
+    return done
+
+
 def _undisputed(matches: list[tuple]) -> list[tuple]:
     """Matches, best first, without those that overlap a better one: similar notices differ in few
     words, and a stretch of text is the one that fits it best."""
