@@ -226,6 +226,38 @@ def test_retries_then_only_the_bad_message_is_set_aside(spark, tmp_path):
     assert (stats.processed, stats.failed, stats.dlq_routed) == (0, 1, 1)
 
 
+def test_every_good_message_is_processed_beside_several_bad_ones(spark, tmp_path):
+    kept = {}
+
+    def handler(batch, batch_id):
+        names = {json.loads(r.value)["event_id"] for r in batch.collect()}
+        if any(n.startswith("bad") for n in names):
+            raise RuntimeError("no luck")
+        kept[batch_id] = names
+
+    path = str(tmp_path / "dead")
+    run = ingest.with_retries(handler, path, max_retries=2, delay_seconds=0.0)
+    good = {f"e{i}" for i in range(190)}
+    bad = {f"bad{i}" for i in range(10)}
+    run(messages(spark, [event(event_id=n) for n in sorted(good | bad)]).coalesce(1), 0)
+    dead = [json.loads(r.original_message)["event_id"] for r in spark.read.parquet(f"{path}/log").collect()]
+    assert kept[0] == good and sorted(dead) == sorted(bad)
+
+
+def test_a_batch_that_fails_only_for_a_while_is_kept_whole(spark, tmp_path):
+    calls, kept = [], {}
+
+    def handler(batch, batch_id):
+        calls.append(batch_id)
+        if len(calls) <= 2:
+            raise RuntimeError("not yet")
+        kept[batch_id] = {json.loads(r.value)["event_id"] for r in batch.collect()}
+
+    run = ingest.with_retries(handler, str(tmp_path / "dead"), max_retries=2, delay_seconds=0.0)
+    run(messages(spark, [event(event_id=f"e{i}") for i in range(9)]), 0)
+    assert kept[0] == {f"e{i}" for i in range(9)}
+
+
 def test_first_visits_are_the_earliest_in_any_order(spark, tmp_path):
     path, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
     rows = [txn(f"e{m}", at=minutes(m)) for m in (9, 4, 7)]
