@@ -89,3 +89,26 @@ def test_query_packs_the_whole_table(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
     rows = queries.op1_packing(spark, folder).collect()
     assert check_pieces(rows, {d.doc_id: d.text for d in docs}, 2048) < 0.05
+
+
+def test_pieces_hold_their_ids(docs_of, sentences):
+    rng = random.Random(5)
+    texts = {i: ". ".join(rng.choices(sentences, k=rng.randint(0, 30))) for i in range(40)}
+    texts |= {50: None, 51: "", 52: "x" * 3000}
+    rows = packing.pack(docs_of(list(texts.items())), PATH, window=64, block=300).collect()
+    plain = Tokenizer.from_file(PATH)
+    for doc_id, text in texts.items():
+        pieces = sorted((r for r in rows if r.doc_id == doc_id), key=lambda r: r.start)
+        ids = plain.encode(text or "", add_special_tokens=False).ids + [1]
+        assert [i for p in pieces for i in p.ids] == ids
+    for r in rows:
+        assert r.length == len(r.ids)
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+
+
+def test_last_stage_of_the_pipeline_stores_ids(spark, docs_of):
+    import corpus_pipeline
+
+    packed = dict(corpus_pipeline.STAGES)["packing"](spark, docs_of([(1, "a b"), (2, "c")]), "")
+    rows = packed.collect()
+    assert sum(len(r.ids) for r in rows) == 5 and all(len(r.ids) == r.length for r in rows)

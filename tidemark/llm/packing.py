@@ -42,8 +42,9 @@ BLOCK = 1 << 20  # ids optimised at once
 
 _SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
-    "offset long"
+    "offset long, ids array<int>"
 )
+_HELD = 1 << 18  # ids of pieces gathered before they are handed on
 
 
 def cut(
@@ -166,6 +167,7 @@ class Packer:
                     n,
                     self.sequence,
                     base + done - opened,
+                    piece,
                 )
                 done += take
                 if base + done == stops[k]:
@@ -188,36 +190,51 @@ def pack(
     end_id: int = END_ID,
     block: int = BLOCK,
 ) -> DataFrame:
-    """One row per piece: where it lies in its document and in its sequence.
+    """One row per piece: its ids, and where it lies in its document and in its sequence.
+
+    A sequence is the ids of its pieces by offset; length and ids_crc32 are those of ids.
 
     tokenizer: path of a tokenizer file on every executor. Sequence ids are unique and, within a
     range of document ids, consecutive.
     """
-    schema = pa.schema(
-        [(n, pa.int64()) for n in (c.split()[0] for c in _SCHEMA.split(", "))]
-    )
+    names = [c.split()[0] for c in _SCHEMA.split(", ")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
         first = TaskContext.get().partitionId() << 32
         packer = Packer(window, sentence_penalty, forced_penalty, block, first)
         out: list[tuple] = []
+        held = 0
+
+        def add(pieces: Iterator[tuple]) -> None:
+            nonlocal held
+            for piece in pieces:
+                out.append(piece)
+                held += len(piece[-1])
 
         def batch() -> pa.RecordBatch:
-            columns = list(zip(*out)) if out else [[] for _ in schema]
+            nonlocal held
+            *columns, ids = zip(*out) if out else [[] for _ in names]
+            offsets = np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int32)
+            values = np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int32)
             out.clear()
+            held = 0
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], schema=schema
+                [
+                    *(pa.array(c, pa.int64()) for c in columns),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                ],
+                names,
             )
 
         for b in batches:
             keys = b.column(0).to_pylist()
             for doc_id, text in zip(keys, b.column(1)):
                 ids = np.append(encoder.ids(text.as_py()), np.uint32(end_id))
-                out.extend(packer.add(doc_id, ids, encoder.sentence_ends(ids)))
-                if len(out) >= 20_000:
+                add(packer.add(doc_id, ids, encoder.sentence_ends(ids)))
+                if held >= _HELD:
                     yield batch()
-        out.extend(packer.finish())
+        add(packer.finish())
         yield batch()
 
     text = docs.select("doc_id", text_or_empty().alias("text"))
