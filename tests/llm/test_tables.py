@@ -50,6 +50,30 @@ def test_whole_share_equals_brute_force_with_ties(spark):
     assert dict(found) == brute_nearest([r for r in rows if r[0] != 305], 10, 5)
 
 
+@pytest.mark.parametrize("several", [False, True])
+def test_an_id_with_a_third_of_the_rows_takes_one_place(spark, several):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=6).astype("float32").tolist()) for i in range(120)]
+    near = np.array(rows[10][1])
+    for _ in range(60):
+        v = near + rng.normal(size=6) * 0.01 if several else near * 2
+        rows.append((7, v.astype("float32").tolist()))
+    got = multi_index.nearest(
+        vectors_of(spark, rows), every=10, centroids=4, share=1.0, block=40, query_block=3
+    ).collect()
+    for q in range(0, 120, 10):
+        scores = defaultdict(lambda: -2.0)
+        x = np.array(rows[q][1])
+        for i, v in rows:
+            if i != q:
+                y = np.array(v)
+                scores[i] = max(scores[i], float(x @ y / np.sqrt((x @ x) * (y @ y))))
+        want = sorted(scores, key=lambda i: (-round(scores[i], 12), i))[:5]
+        found = sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)
+        assert [r.vec_id for r in found] == want
+        assert np.allclose([r.score for r in found], [scores[i] for i in want])
+
+
 def test_few_vectors_and_none(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (50, [0.0, 2.0])]
     got = multi_index.nearest(vectors_of(spark, rows)).orderBy("query_id", "rank").collect()

@@ -15,7 +15,8 @@ clustered vectors a small share does.
 
 Defined results: vectors that are null, zero, of another length than most, or with null or
 non-finite components take no part; equal scores go to the smaller id; a query with fewer
-candidates returns all; repeated rows are candidates of each other only if their ids differ; null
+candidates returns all; repeated rows are candidates of each other only if their ids differ; rows of
+one id with the same vector are one, and with several vectors the best score of two ids counts; null
 ids take no part; an empty table gives no rows.
 """
 
@@ -106,7 +107,12 @@ def _usable(vectors: DataFrame) -> DataFrame:
 
 
 def _best(query_id: int, ids: np.ndarray, scores: np.ndarray, k: int) -> Iterator[tuple]:
-    for i in np.lexsort((ids, -scores))[:k].tolist():
+    """The k best ids, each with its best score."""
+    order = np.lexsort((ids, -scores))
+    if len(order) > k:
+        firsts = np.unique(ids[order], return_index=True)[1]
+        order = order[np.sort(firsts)[:k]]
+    for i in order.tolist():
         yield query_id, int(ids[i]), float(scores[i])
 
 
@@ -114,6 +120,7 @@ def _rerank(k: int):
     def block(key, queries: pa.Table, entries: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if queries.num_rows and entries.num_rows:
+            entries = entries.sort_by("vec_id")
             q, x = _matrix(queries.column("embedding")), _matrix(entries.column("embedding"))
             # The same row has the same length and product wherever it lies: ties stay ties.
             q_unit, x_unit = _unit(q), _unit(x)
@@ -126,8 +133,11 @@ def _rerank(k: int):
                 at = np.flatnonzero(((bits[i] >> second) & 1 != 0) & (x_ids != query_id))
                 if len(at) > k:
                     near = rough[i, at]
-                    least = np.partition(near, len(near) - k)[len(near) - k]
-                    at = at[near >= least - 1e-9]
+                    edges = np.flatnonzero(np.append(True, np.diff(x_ids[at]) != 0))
+                    tops = np.maximum.reduceat(near, edges)  # one for each id
+                    if len(tops) > k:
+                        least = np.partition(tops, len(tops) - k)[len(tops) - k]
+                        at = at[near >= least - 1e-9]
                 y, z = x[at], q[i]
                 product = (y * z).sum(axis=1)
                 scores = product / (np.sqrt((y * y).sum(axis=1)) * np.sqrt((z * z).sum()))
@@ -164,8 +174,10 @@ def nearest(
     # The sample's size is bounded whatever the table's: a hash threshold, then a limit.
     steps = 1 << 20
     wanted = min(steps, -(-steps * 2 * sample // total))
-    picked = usable.where(F.pmod(F.xxhash64("vec_id"), F.lit(steps)) < wanted).limit(2 * sample)
-    fitted = picked.select("embedding", F.xxhash64("vec_id").alias("h")).toArrow().sort_by("h")
+    usable_hash = F.xxhash64("vec_id", "embedding")
+    picked = usable.where(F.pmod(usable_hash, F.lit(steps)) < wanted).dropDuplicates()
+    picked = picked.limit(2 * sample)
+    fitted = picked.select("embedding", usable_hash.alias("h")).toArrow().sort_by("h")
     x = _unit(_matrix(fitted.column("embedding").slice(0, sample)))
     half = max(1, dim // 2)
     first = fit_centroids(x[:, :half], centroids)
@@ -185,14 +197,23 @@ def nearest(
 
     kind = dict(usable.dtypes)["embedding"]
     index = stored(
-        usable.mapInArrow(coded, f"vec_id long, embedding {kind}, c1 int, c2 int"), "multi-index"
+        usable.dropDuplicates().mapInArrow(coded, f"vec_id long, embedding {kind}, c1 int, c2 int"), "multi-index"
     )
-    cells = index.groupBy("c1", "c2").count().toArrow()  # at most centroids * centroids rows
+    # At most centroids * centroids rows. A cell counts an id once, whatever its vectors.
+    per_id = index.groupBy("c1", "c2", "vec_id").count()
+    cells = per_id.groupBy("c1", "c2").agg(
+        F.count(F.lit(1)).alias("ids"),
+        F.sum("count").alias("rows"),
+        F.sum(F.when(F.col("vec_id") % every == 0, F.col("count")).otherwise(0)).alias("asked"),
+    ).toArrow()
+    at = cells.column("c1").to_numpy(), cells.column("c2").to_numpy()
     counts = np.zeros((len(first), len(second)), np.int64)
-    counts[cells.column("c1").to_numpy(), cells.column("c2").to_numpy()] = cells.column(
-        "count"
-    ).to_numpy()
-    target = max(int(share * total), k + 1)
+    counts[at] = cells.column("ids").to_numpy()
+    sizes = np.zeros_like(counts)
+    sizes[at] = cells.column("rows").to_numpy()
+    # Ids in several cells are counted in each, so that many more are needed for k others.
+    again = int(counts.sum()) - index.select("vec_id").distinct().count()
+    target = max(int(share * counts.sum()), k + 1 + again)
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -222,20 +243,20 @@ def nearest(
 
     # Both sides of a first-half centroid are dealt into blocks; each block of queries meets each
     # block of entries.
-    n_queries = max(1, -(-total // every))
+    n_queries = int(cells.column("asked").to_numpy().sum())
     q_blocks = max(1, -(-n_queries // query_block))
-    per_first = [max(1, -(-int(n) // block)) for n in counts.sum(axis=1)]
+    per_first = [max(1, -(-int(n) // block)) for n in sizes.sum(axis=1)]
     blocks = F.array(*[F.lit(n) for n in per_first])[F.col("c1")]
     entries = index.withColumns(
         {
-            "eb": F.pmod(F.xxhash64("vec_id"), blocks.cast("long")).cast("int"),
+            "eb": F.pmod(F.xxhash64("vec_id", "embedding"), blocks.cast("long")).cast("int"),
             "qb": F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))),
         }
     )
     asking = asking.withColumns(
         {
             "eb": F.explode(F.sequence(F.lit(0), blocks - 1)),
-            "qb": F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int"),
+            "qb": F.pmod(F.xxhash64("query_id", "embedding"), F.lit(q_blocks)).cast("int"),
         }
     )
     keys = ["c1", "eb", "qb"]
@@ -243,7 +264,6 @@ def nearest(
         asking.groupBy(*keys).cogroup(entries.groupBy(*keys)).applyInArrow(_rerank(k), _HITS)
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = hits.dropDuplicates(["query_id", "vec_id"]).withColumn(
-        "rank", F.row_number().over(best)
-    )
+    folded = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    ranked = folded.withColumn("rank", F.row_number().over(best))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
