@@ -4,8 +4,9 @@ A row's hash is 32 bits of the md5 of its key. The directory is indexed by hash
 that exceeds the byte limit splits on one more bit, all others stay as they are, until every shard
 fits. Bytes are summed per prefix of the deepest level tried so far, and the depth of a shard is the
 first at which its prefix fits; only prefixes that are still too large there are counted again with
-more bits. Row data are read for these sums and once more for the assignment; they are shuffled by
-prefix, never gathered.
+more bits. Texts are read once, for their sizes; keys, hashes and sizes are stored and assigned, shuffled
+by prefix, never gathered. The result is an assignment: documents are not written into shards, and rows of
+a repeated or null key that lie on several pages can't be joined back to it.
 
 A shard of one key (all bits used, or repeated ids) cannot split. It gets overflow pages, as buckets
 of equal hashes do: rows fill pages within (hash, input partition) by running sums, and each such run's pages
