@@ -59,7 +59,7 @@ def test_an_id_with_a_third_of_the_rows_takes_one_place(spark, several):
         v = near + rng.normal(size=6) * 0.01 if several else near * 2
         rows.append((7, v.astype("float32").tolist()))
     got = multi_index.nearest(
-        vectors_of(spark, rows), every=10, centroids=4, share=1.0, block=40, query_block=3
+        vectors_of(spark, rows), every=10, centroids=1, share=1.0, block=1000, query_block=3
     ).collect()
     for q in range(0, 120, 10):
         scores = defaultdict(lambda: -2.0)
