@@ -1,8 +1,10 @@
+import json
 import random
 import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -11,6 +13,7 @@ from tidemark.llm.common import Bitmap, balanced, bitmap_of
 from tidemark.llm.encoding import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 HARD = [
     "", " ", "  ", "\n", "a  b", "a \n b", "\n\na", "a\n\n", "tail  ", "x\t\n\ny", "it's  they'll",
     "<|endoftext|> a <|endoftext|>b", "é ü z", "a b  c", "word " * 50, "日本 語", "9,5 %",
@@ -36,9 +39,50 @@ def test_long_texts_are_cut_safely(monkeypatch):
     assert encoder.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("name", ["word_bpe_49k.json"])
-def test_other_kinds_of_tokenizer_are_not_ranked(name):
-    assert Encoder(public_tokenizers.path(name)).ranked is None
+@pytest.mark.parametrize("path", [PATH, WORDS])
+def test_every_code_point_gives_the_ids_of_the_library(path):
+    encoder, plain = Encoder.of(path), Tokenizer.from_file(path)
+    points = [chr(c) for c in range(0x3100) if not 0xD800 <= c < 0xE000]
+    texts = [f"Ab{c}c {c} d{c}" for c in points]
+    want = plain.encode_batch_fast(texts, add_special_tokens=False)
+    for text, ids in zip(texts, want):
+        assert encoder.ids(text).tolist() == ids.ids, repr(text)
+
+
+def test_words_with_ends_take_the_fast_way(folder):
+    encoder, plain = Encoder(WORDS), Tokenizer.from_file(WORDS)
+    assert encoder.fast is not None and Encoder(PATH).fast is not None
+    docs = pq.read_table(f"{folder}/documents.parquet", columns=["text"]).column(0).to_pylist()
+    texts = [t for t in docs if t]
+    want = plain.encode_batch_fast(texts, add_special_tokens=False)
+    for text, ids in zip(texts, want):
+        assert encoder.ids(text).tolist() == ids.ids
+    pieces = [" ", "'S", "\n", "Aé", "be", "'s", "É", "1", "½", "!", "ǅ", "İ", "\t", "Word", "³x", "<|endoftext|>"]
+    rng = random.Random(9)
+    for _ in range(1500):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 40)))
+        assert encoder.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_common_words_stay_in_bounded_memory(monkeypatch):
+    monkeypatch.setattr("tidemark.llm.encoding.REMEMBERED", 10)
+    encoder, plain = Encoder(WORDS), Tokenizer.from_file(WORDS)
+    for i in range(60):
+        text = f"the river word{i} and {i} others' x{i}y"
+        assert encoder.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert len(encoder.fast.known) + len(encoder.fast.known.old) < 60
+
+
+def test_a_file_of_another_kind_is_left_to_its_library(tmp_path):
+    with open(WORDS, encoding="utf-8") as f:
+        said = json.load(f)
+    said["normalizer"] = None
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(said))
+    encoder, plain = Encoder(str(other)), Tokenizer.from_file(str(other))
+    assert encoder.fast is None
+    text = "The Mill stood " * 30
+    assert encoder.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
 def test_counts_of_rows(docs_of):

@@ -44,6 +44,7 @@ _SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
     "offset long, ids array<int>"
 )
+_IDS = ", ids array<int>"
 _HELD = 1 << 18  # ids of pieces gathered before they are handed on
 
 
@@ -189,15 +190,18 @@ def pack(
     forced_penalty: int = FORCED_PENALTY,
     end_id: int = END_ID,
     block: int = BLOCK,
+    keep_ids: bool = True,
 ) -> DataFrame:
     """One row per piece: its ids, and where it lies in its document and in its sequence.
 
-    A sequence is the ids of its pieces by offset; length and ids_crc32 are those of ids.
+    A sequence is the ids of its pieces by offset; length and ids_crc32 are those of ids. Without
+    ``keep_ids`` the rows have no column ids.
 
     tokenizer: path of a tokenizer file on every executor. Sequence ids are unique and, within a
     range of document ids, consecutive.
     """
-    names = [c.split()[0] for c in _SCHEMA.split(", ")]
+    schema = _SCHEMA if keep_ids else _SCHEMA.removesuffix(_IDS)
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
@@ -209,23 +213,21 @@ def pack(
         def add(pieces: Iterator[tuple]) -> None:
             nonlocal held
             for piece in pieces:
-                out.append(piece)
+                out.append(piece if keep_ids else piece[:-1])
                 held += len(piece[-1])
 
         def batch() -> pa.RecordBatch:
             nonlocal held
-            *columns, ids = zip(*out) if out else [[] for _ in names]
-            offsets = np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int32)
-            values = np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int32)
+            columns = list(zip(*out)) if out else [[] for _ in names]
+            ids = columns.pop() if keep_ids else None
+            arrays = [pa.array(c, pa.int64()) for c in columns]
+            if ids is not None:
+                offsets = np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int32)
+                values = np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int32)
+                arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
             out.clear()
             held = 0
-            return pa.RecordBatch.from_arrays(
-                [
-                    *(pa.array(c, pa.int64()) for c in columns),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-                ],
-                names,
-            )
+            return pa.RecordBatch.from_arrays(arrays, names)
 
         for b in batches:
             keys = b.column(0).to_pylist()
@@ -241,4 +243,4 @@ def pack(
     order = [F.col("doc_id"), F.xxhash64("text")]
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = text.repartitionByRange(width, *order).sortWithinPartitions(*order)
-    return ordered.mapInArrow(rows, _SCHEMA)
+    return ordered.mapInArrow(rows, schema)

@@ -15,7 +15,7 @@ TOKENIZER = "byte_bpe_50k.json"
 
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path(TOKENIZER)
-    return packing.pack(table(spark, folder, "documents"), tokenizer).drop("ids")
+    return packing.pack(table(spark, folder, "documents"), tokenizer, keep_ids=False)
 
 
 def op2_multi_index(spark: SparkSession, folder: str) -> DataFrame:
