@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +41,41 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, rows)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand at most so many rows at once to Arrow functions that run within the block."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def finite_vector(name: str) -> Column:
+    """Whether an array is there and all its entries are numbers; null never."""
+    number = F.forall(
+        name, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    )
+    return F.coalesce(F.col(name).isNotNull() & number, F.lit(False))
+
+
+def fixed_point(name: str) -> Column:
+    """floor(64 * x) of every entry as long; an entry out of a long's range stops at its end."""
+    return F.transform(name, lambda x: F.floor(x.cast("double") * 64.0).cast("long"))
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """Arrays of one length as the rows of a matrix."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1)
+
+
 class Bitmap:
     """Set membership by one bit per value, in a fixed number of bytes.
 

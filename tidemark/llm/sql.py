@@ -71,3 +71,62 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> owner THEN owner END AS refers_to
 FROM owned"""
+
+
+def clustering(centroids: int, rounds: int, dimensions: int) -> str:
+    """A full search in every round, on whole numbers."""
+    steps = [
+        f"""
+WITH whole AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {dimensions}
+    AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = {dimensions}
+), kept AS MATERIALIZED (
+  SELECT r, vec_id,
+    list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM whole
+), places AS (
+  SELECT x, row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)) NULLS LAST, x) - 1 AS cluster
+  FROM kept
+), c0 AS MATERIALIZED (SELECT CAST(cluster AS INTEGER) AS cluster, x AS c FROM places WHERE cluster < {centroids})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""
+a{i} AS MATERIALIZED (
+  SELECT r, arg_min(cluster, CAST(d AS HUGEINT) * {centroids} + cluster) AS cluster, min(d) AS distance
+  FROM (
+    SELECT r, cluster, CAST(list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+    FROM kept, c{i}
+  ) GROUP BY r
+)"""
+        )
+        if i == rounds:
+            break
+        steps.append(
+            f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.cluster, coalesce(n.c, c{i}.c) AS c
+  FROM c{i} LEFT JOIN (
+    SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY k) AS c
+    FROM (
+      SELECT cluster, k, CAST(sum(v) AS HUGEINT) AS s, count(*) AS n
+      FROM (
+        SELECT a{i}.cluster, unnest(range({dimensions})) AS k, unnest(kept.x) AS v
+        FROM kept JOIN a{i} USING (r)
+      ) GROUP BY cluster, k
+    ) GROUP BY cluster
+  ) AS n ON n.cluster = c{i}.cluster
+)"""
+        )
+    last = rounds
+    steps.append(
+        f"""
+sums AS (SELECT cluster, CAST(sum(distance) AS BIGINT) AS cluster_inertia FROM a{last} GROUP BY cluster)
+SELECT kept.vec_id, CAST(a.cluster AS INTEGER) AS cluster, a.distance, sums.cluster_inertia,
+  (SELECT CAST(sum(cluster_inertia) AS BIGINT) FROM sums) AS inertia,
+  sha256(array_to_string(c{last}.c, ',')) AS centroid_sha256
+FROM kept JOIN a{last} AS a USING (r) JOIN sums USING (cluster) JOIN c{last} USING (cluster)
+"""
+    )
+    return ",".join(steps[:-1]) + "," + steps[-1]
