@@ -103,8 +103,8 @@ def _expected(values, p, method):
 
 
 @pytest.mark.parametrize("method", ["linear", "nearest"])
-@pytest.mark.parametrize("per_octave", [1, 64, 4096])
-def test_grouped_quantiles_against_sorting(spark, method, per_octave):
+@pytest.mark.parametrize(("per_octave", "crowded"), [(1, 0), (1, 20), (4096, 10_000)])
+def test_grouped_quantiles_against_sorting(spark, method, per_octave, crowded):
     rng = random.Random(7)
     groups = {
         "one": [3.0],
@@ -118,8 +118,13 @@ def test_grouped_quantiles_against_sorting(spark, method, per_octave):
     rng.shuffle(rows)
     probs = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {r.k: r for r in grouped_quantiles(df, ["k"], "v", probs, method, per_octave).collect()}
-    assert set(got) == set(groups)
+    found = grouped_quantiles(df, ["k"], "v", probs, method, per_octave, crowded=crowded)
+    counted = df.groupBy("k", "v").agg(F.count(F.lit(1)).alias("times"))
+    weighted = grouped_quantiles(
+        counted, ["k"], "v", probs, method, per_octave, "times", crowded=crowded
+    )
+    got = {r.k: r for r in found.collect()}
+    assert set(got) == set(groups) and got == {r.k: r for r in weighted.collect()}
     for k, values in groups.items():
         for name, p in probs.items():
             assert got[k][name] == pytest.approx(_expected(values, p, method)), (k, name)

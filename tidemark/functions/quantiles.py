@@ -3,10 +3,11 @@
 The built-in ``percentile`` merges every distinct value of a group into a single buffer. Here a
 group is cut along its value axis into narrow cells (a fixed number per power of two). Cell counts
 give the rank at which each cell starts, so only the few cells that contain a wanted rank are looked
-into. Those are cut again, evenly between their least and largest value, and only the parts with a
-wanted rank are sorted, each on its own. A key with a third of all rows costs many small cells
-instead of one huge buffer, values crowded around a point are spread by the second cut, and repeated
-values collapse to a count before the first shuffle. NaN sorts after every other value.
+into. Those with many values are cut again, evenly between their least and largest value, and only
+the parts with a wanted rank are sorted, each on its own. A key with a third of all rows costs many
+small cells instead of one huge buffer, values crowded around a point are spread by the second cut,
+and repeated values collapse to a count before the first shuffle. Where no cell is crowded, adaptive
+execution finds the second cut's input empty and drops it. NaN sorts after every other value.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 CELLS_PER_OCTAVE = 4096
 PARTS_PER_CELL = 4096
+CROWDED = 10_000  # values of a cell beyond which it is cut again
 
 
 def _cell(value: Column, per_octave: int) -> Column:
@@ -35,9 +37,13 @@ def grouped_quantiles(
     probs: dict[str, float],
     method: str = "linear",
     per_octave: int = CELLS_PER_OCTAVE,
+    weight: str | None = None,
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """One row per non-null key with a column per entry of ``probs`` (output name -> probability).
 
+    ``weight`` names a column with the number of times a row counts, above zero.
+
     ``linear`` interpolates between the two nearest ranks (PERCENTILE_CONT); ``nearest`` takes the
     value at zero-based rank min(floor(n * p), n - 1).
     """
@@ -57,14 +63,19 @@ def grouped_quantiles(
     counts = (
         df.where(complete)
         .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias(n))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias(n))
         .withColumn(cell, _cell(F.col(value), per_octave))
     )
     by_cell = Window.partitionBy(*keys).orderBy(cell)
     running = by_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cells = (
         counts.groupBy(*keys, cell)
-        .agg(F.sum(n).alias("_cell_n"))
+        .agg(
+            F.sum(n).alias("_cell_n"),
+            F.count(F.lit(1)).alias("_values"),
+            F.min(value).alias("_low"),
+            F.max(value).alias("_high"),
+        )
         .withColumn(before, F.sum("_cell_n").over(running) - F.col("_cell_n"))
         .withColumn(total, F.sum("_cell_n").over(Window.partitionBy(*keys)))
     )
@@ -73,31 +84,39 @@ def grouped_quantiles(
         inside = [(r >= F.col(before)) & (r < F.col(before) + F.col(count)) for r in ranks]
         return reduce(lambda a, b: a | b, inside)
 
-    targets = cells.where(holds_a_rank("_cell_n")).select(*keys, cell, before, total)
-    inner = counts.join(targets, [*keys, cell])
+    targets = cells.where(holds_a_rank("_cell_n")).drop("_cell_n")
+    columns = [*keys, cell, "_part", value, n, before, total]
+
+    def within(chosen: DataFrame) -> DataFrame:
+        return counts.join(chosen, [*keys, cell])
+
+    sparse = within(targets.where(F.col("_values") <= crowded))
+    sparse = sparse.withColumn("_part", F.lit(0).cast("bigint")).select(columns)
 
     # The second cut. It is monotone in the value, like the first.
-    span = inner.groupBy(*keys, cell).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     low, high = F.col("_low").cast("double"), F.col("_high").cast("double")
     share = (F.col(value).cast("double") - low) / (high - low)
     part = F.when(high > low, F.floor(F.nanvl(share, F.lit(0.0)) * PARTS_PER_CELL)).otherwise(0)
-    inner = inner.join(span, [*keys, cell]).withColumn("_part", part.cast("bigint"))
+    dense = within(targets.where(F.col("_values") > crowded))
+    dense = dense.withColumn("_part", part.cast("bigint")).select(columns)
     by_part = Window.partitionBy(*keys, cell).orderBy("_part")
     upto_part = by_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     parts = (
-        inner.groupBy(*keys, cell, "_part", before, total)
+        dense.groupBy(*keys, cell, "_part", before, total)
         .agg(F.sum(n).alias("_part_n"))
         .withColumn(before, F.col(before) + F.sum("_part_n").over(upto_part) - F.col("_part_n"))
         .where(holds_a_rank("_part_n"))
+        .drop("_part_n")
     )
+    dense = dense.drop(before, total).join(parts, [*keys, cell, "_part"]).select(columns)
     in_part = (
         Window.partitionBy(*keys, cell, "_part")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # After a union nothing is known to be dealt by the keys alone, so each part can go its own way.
     ranked = (
-        inner.drop(before, total)
-        .join(parts.drop("_part_n"), [*keys, cell, "_part"])
+        sparse.unionByName(dense)
         .withColumn("_upto", F.col(before) + F.sum(n).over(in_part))
         .withColumn("_from", F.col("_upto") - F.col(n))
     )

@@ -100,9 +100,23 @@ def daily_features(
     taken over all 90 days instead of 30. ``totals`` hands in window totals that were stored.
     """
     base = lookback(txns, target_date)
+    totals = window_totals(base, target_date) if totals is None else totals
+    amounts = grouped_quantiles(base, ["account_id"], "amount", PERCENTILES)
+    return features_of(totals, amounts, common_category(base), target_date, now, variant)
+
+
+def features_of(
+    totals: DataFrame,
+    amounts: DataFrame,
+    category: DataFrame,
+    target_date: date | str,
+    now: datetime | str | Column,
+    variant: bool = False,
+) -> DataFrame:
+    """Contract rows from window totals, percentiles and most common categories per account."""
     span = 90 if variant else 30
     online = F.col(f"online_{span}") / F.col(f"n_{span}").cast("double")
-    totals = (window_totals(base, target_date) if totals is None else totals).select(
+    totals = totals.select(
         "account_id",
         F.when(F.col("n_30") > 0, F.col("amount_30") / F.col("n_30")).alias("avg_txn_amount_30d"),
         F.col("n_30").alias("txn_count_30d"),
@@ -113,11 +127,8 @@ def daily_features(
         (F.col(f"n_{span}") / F.lit(30.0)).alias("avg_daily_txn_count_30d"),
         F.when(F.col(f"n_{span}") > 0, online).alias("pct_online_txns_30d"),
     )
-    amounts = grouped_quantiles(base, ["account_id"], "amount", PERCENTILES)
     # Each side has one row per account and is already partitioned by it.
-    rows = totals.join(amounts, "account_id", "left").join(
-        common_category(base), "account_id", "left"
-    )
+    rows = totals.join(amounts, "account_id", "left").join(category, "account_id", "left")
     return _finish(rows, target_date, now)
 
 
@@ -180,6 +191,16 @@ def rolling_metrics(
     """Long form: one row per account, window and metric; accounts idle in a window have none."""
     if totals is None:
         totals = window_totals(lookback(txns, target_date, max(windows)), target_date, windows)
+    return rolling_of(totals, target_date, now, windows)
+
+
+def rolling_of(
+    totals: DataFrame,
+    target_date: date | str,
+    now: datetime | str | Column,
+    windows: tuple[int, ...] = WINDOWS,
+) -> DataFrame:
+    """The long form of window totals."""
     branches = F.array(
         *[
             F.struct(

@@ -17,6 +17,24 @@ def _log(early: int, late: int, factor: int) -> str:
   CAST(CASE WHEN {_EARLY} THEN {early} ELSE {late} END AS BIGINT) AS batch_id FROM staged"""
 
 
+def _delta() -> str:
+    """Every date from its whole look-back; rolling metrics side by side."""
+    ctes, rows = [o.HISTORY, o._history_staged(q.HISTORY_NOW)], []
+    for i, at in enumerate(s.DELTA_DATES):
+        ctes.append(o._daily(at, f"{at} 23:59:59", name=f"daily{i}"))
+        ctes.append(f"rolling{i} AS ({o._rolling(at, q.NOW)})")
+        columns = ", ".join(
+            f"max(metric_value) FILTER (WHERE metric_name = '{m}' AND window_days = {w}) AS {m}_{w}"
+            for w in (7, 30, 90)
+            for m in ("avg_amount", "txn_count", "distinct_merchants")
+        )
+        rows.append(
+            f"""SELECT * FROM daily{i} LEFT JOIN (
+  SELECT account_id, {columns} FROM rolling{i} GROUP BY account_id) USING (account_id)"""
+        )
+    return o._with(*ctes) + "\nUNION ALL\n".join(rows)
+
+
 def sql() -> dict[str, str]:
     plain = o.sql()
     staged = o._with(o.TXNS, o._staged(q.NOW))
@@ -60,6 +78,7 @@ WHERE account_id NOT IN (
   epoch_us(TIMESTAMP '{q.NIGHTLY_AT}') AS snapshot_id,
   CAST({date.fromisoformat(q.SERVE_DATE).toordinal()} AS BIGINT) AS batch_id FROM daily""",
         "q_nightly_served": nightly + live,
+        "q_nightly_delta": _delta(),
         "q_snapshots_after_expiry": o._with(o.TXNS, o._staged(q.NOW), o.HOPS, o.SNAPS)
         + f"""SELECT * FROM snaps WHERE NOT (
   committed_at < TIMESTAMP '{q.NOW}' - INTERVAL 30 DAY

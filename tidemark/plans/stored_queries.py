@@ -146,9 +146,9 @@ def _nightly(spark: SparkSession, folder: str) -> nightly.Paths:
     paths = nightly.Paths.under(run_dir(spark, "nightly"))
     txns = q._txns(spark, folder)
     for rows in (txns.withColumn("amount", F.col("amount") / 2), txns):
-        done = nightly.run_daily(spark, rows, paths, q.SERVE_DATE, q.NIGHTLY_AT)
-        if done["status"] != "success":
-            raise RuntimeError(str(done))
+        steps = nightly.run_daily(spark, rows, paths, q.SERVE_DATE, q.NIGHTLY_AT)
+        if steps[-1].state != "done":
+            raise RuntimeError(str(steps))
     return paths
 
 
@@ -176,6 +176,32 @@ def nightly_served(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+DELTA_DATES = [f"1998-07-{d:02d}" for d in range(20, 30)]
+
+
+@query
+def nightly_delta(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten dates in a row, each from its own day, the day it retires and the state before it."""
+    paths = nightly.Paths.under(run_dir(spark, "delta"))
+    txns = tables.card_history(spark, folder)
+    for date in DELTA_DATES:
+        nightly.build(spark, txns, paths, date, f"{date} 23:59:59", by_delta=True)
+    metrics = [(m, w) for w in daily.WINDOWS for m in ("avg_amount", "txn_count", "distinct_merchants")]
+    at = ["account_id", "computation_date"]
+    rolling = spark.read.parquet(paths.rolling).groupBy(*at).agg(
+        *[
+            F.max(
+                F.when(
+                    (F.col("metric_name") == m) & (F.col("window_days") == w),
+                    F.round("metric_value", 8),
+                )
+            ).alias(f"{m}_{w}")
+            for m, w in metrics
+        ]
+    )
+    return _eight(spark.read.parquet(paths.daily)).join(rolling, at, "left")
+
+
 # Snapshots.
 
 
