@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard
 from tidemark.llm.components import components
@@ -60,7 +61,7 @@ def near_copies(sentences, seed, n):
     return rows
 
 
-@pytest.mark.parametrize(("width", "percent", "block"), [(4, 85, 1024), (5, 80, 4), (3, 50, 7)])
+@pytest.mark.parametrize(("width", "percent", "block"), [(4, 85, 1024), (4, 85, 5), (5, 80, 4), (3, 50, 7)])
 def test_components_equal_brute_force(docs_of, sentences, width, percent, block):
     rows = near_copies(sentences, width, 150)
     rows += [(900, None), (901, ""), (902, " \n"), (903, "One two"), (904, "one TWO"), (905, "two")]
@@ -87,6 +88,55 @@ def test_one_of_each_group_stays(docs_of, sentences):
     assert len(got) == len(want) + 1
 
 
+def prefixes_of(sets, percent, seed):
+    """Prefixes under a random order of all tokens."""
+    place = np.random.default_rng(seed).permutation(5000)
+    return [
+        np.array(sorted(s.tolist(), key=place.__getitem__)[: jaccard.prefix_length(len(s), percent)])
+        for s in sets
+    ]
+
+
+def test_candidates_share_a_prefix_under_both_orders(monkeypatch):
+    """Pairs that meet under one order only are never counted, and links are found all the same."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 4000, 50)
+    sets = [np.unique(np.append(base[rng.random(50) < 0.97], rng.integers(0, 4000, 2))) for _ in range(30)]
+    sets += [np.unique(rng.integers(0, 4000, 50)) for _ in range(30)]
+    first, second = (prefixes_of(sets, 85, seed) for seed in (3, 4))
+    none = [np.zeros(0, np.int64)] * len(sets)
+    side = np.zeros(len(sets), np.int64)
+    both = jaccard.links_within(sets, [first, second], side, 85)
+    assert both and sorted(both) == sorted(jaccard.links_within(sets, [first], side, 85))
+    assert jaccard.links_within(sets, [first, none], side, 85) == []
+    assert jaccard.links_within(sets, [none, second], side, 85) == []
+
+
+def test_block_pairs_of_a_group_are_dealt_apart(spark):
+    """One group of many blocks is not one task, although its rows come dealt by their group."""
+    rows = [(i.to_bytes(2, "big"), b"cell", 3, [1, 2, 3 + i % 4], [1], [2]) for i in range(40)]
+    sets = spark.createDataFrame(
+        rows,
+        "set_key binary, cell binary, n_shingles long, shingles array<long>, "
+        "first array<long>, second array<long>",
+    )
+    links = jaccard._links(sets, 50, 5, 1 << 20)
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(pair" in plan
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pairs = jaccard._links(sets, 50, 5, 1 << 20).count()
+        used = (
+            jaccard._links(sets, 50, 5, 1 << 20)
+            .select(F.spark_partition_id().alias("p"))
+            .distinct()
+            .count()
+        )
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert pairs > 30 and used > 1
+
+
 def test_verification_of_blocks_finds_every_component():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1000, 60)
@@ -95,7 +145,8 @@ def test_verification_of_blocks_finds_every_component():
         s = base.copy()
         s[rng.integers(0, 60, rng.integers(1, 12))] = rng.integers(2000, 3000)
         sets.append(np.unique(s))
-    links = jaccard.links_within(sets, np.zeros(40, np.int64), 85)
+    prefixes = [prefixes_of(sets, 85, seed) for seed in (1, 2)]
+    links = jaccard.links_within(sets, prefixes, np.zeros(40, np.int64), 85)
     want = {
         (i, j)
         for i in range(40)

@@ -13,11 +13,12 @@ must pass under every order tried, and the filters intersect:
 3. Order by the frequency's magnitude and another hash, within those groups; the groups are split
    again.
 
-What is left in a group is verified in blocks of bounded size: overlaps of a block with a block are
-counted over inverted lists, and only a spanning forest of the links leaves the task. So no pair is
-ever a row, large groups spread over many tasks, and no link between different texts is lost. A
-group of S texts that the filters cannot part costs S * S / 2 overlap counts in total, in tasks of
-one block pair each. Copies with equal sets are one member.
+What is left in a group meets in blocks of bounded size. Within a pair of blocks the candidates are the
+pairs that share a prefix shingle under order 2 and one under order 3, found by inverted lists of both
+prefixes and intersected; only theirs overlaps count, and only a spanning forest of the links leaves
+the task. So no pair is ever a row and no link between different texts is lost. Block pairs are dealt
+out one by one, also those of one group: a group of S texts that the filters cannot part costs S * S / 2
+checks in total, in tasks of one block pair each. Copies with equal sets are one member.
 
 Shingle hashes have 64 bits and set keys 128.
 
@@ -211,37 +212,62 @@ def _groups(prefixes: DataFrame, within: DataFrame | None) -> DataFrame:
     return components(edges).select(F.col("node").alias("set_key"), F.col("root").alias("cell"))
 
 
+def _inverted(lists: list[np.ndarray], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """Owners by token, where each token's begin, and each owner's own tokens; owners are ranks."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    tokens = np.concatenate([*lists, np.zeros(0, np.int64)])
+    _, tokens = np.unique(tokens, return_inverse=True)
+    owner = rank[np.repeat(np.arange(len(lists)), sizes)]
+    by_token = np.lexsort((owner, tokens))
+    begin = np.searchsorted(tokens[by_token], np.arange(tokens.max(initial=-1) + 2))
+    by_owner = np.lexsort((tokens, owner))
+    ends = np.cumsum(np.bincount(owner, minlength=len(lists)))[:-1]
+    return owner[by_token], begin, np.split(tokens[by_owner], ends)
+
+
 def links_within(
-    sets: list[np.ndarray], side: np.ndarray, percent: int
+    sets: list[np.ndarray],
+    prefixes: list[list[np.ndarray]],
+    side: np.ndarray,
+    percent: int,
 ) -> list[tuple[int, int]]:
-    """A spanning forest of the links between sets; of one block (side all 0) or of two."""
+    """A spanning forest of the links between sets; of one block (side all 0) or of two.
+
+    prefixes: per order, each set's prefix. A pair counts if it shares a token in all of them.
+    """
     n = len(sets)
     sizes = np.fromiter(map(len, sets), np.int64, n)
     order = np.argsort(sizes, kind="stable")
     rank = np.empty(n, np.int64)
     rank[order] = np.arange(n)
-    tokens = np.concatenate(sets)
-    _, tokens = np.unique(tokens, return_inverse=True)
-    owner = rank[np.repeat(np.arange(n), sizes)]
-    by_owner = np.lexsort((tokens, owner))
-    by_token = np.lexsort((owner, tokens))
-    lists = owner[by_token]
-    begin = np.searchsorted(tokens[by_token], np.arange(tokens.max() + 2))
-    own = np.split(tokens[by_owner], np.cumsum(sizes[order])[:-1])
+    whole = _inverted(sets, rank)
+    filters = [_inverted(p, rank) for p in prefixes]
     sizes, sides = sizes[order], side[order]
     two = bool(side.any())
     root = np.arange(n)  # the root of every set, kept flat
+
+    def shared(index: tuple, i: int) -> np.ndarray:
+        """How many tokens every set has in common with set i."""
+        lists, begin, own = index
+        held = [lists[begin[t] : begin[t + 1]] for t in own[i].tolist()]
+        return np.bincount(np.concatenate([*held, np.zeros(0, np.int64)]), minlength=n)
+
     out = []
     for i in range(1, n):
         least = -(-int(sizes[i]) * percent // 100)
         low = int(np.searchsorted(sizes[:i], least))
         if low == i:
             continue
-        held = [lists[begin[t] : begin[t + 1]] for t in own[i].tolist()]
-        count = np.bincount(np.concatenate(held), minlength=n)[low:i]
-        ok = 100 * count >= percent * (sizes[low:i] + sizes[i] - count)
+        candidate = root[low:i] != root[i]
         if two:
-            ok &= sides[low:i] != sides[i]
+            candidate &= sides[low:i] != sides[i]
+        for index in filters:
+            if candidate.any():
+                candidate &= shared(index, i)[low:i] > 0
+        if not candidate.any():
+            continue
+        count = shared(whole, i)[low:i]
+        ok = candidate & (100 * count >= percent * (sizes[low:i] + sizes[i] - count))
         for j in (np.flatnonzero(ok) + low).tolist():
             if root[j] != root[i]:
                 out.append((int(order[j]), int(order[i])))
@@ -250,7 +276,10 @@ def links_within(
 
 
 def _links(sets: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
-    """Links (a, b) that span the components. sets: set_key, cell, n_shingles, shingles."""
+    """Links (a, b) that span the components.
+
+    sets: set_key, cell, n_shingles, shingles, and the prefixes first and second.
+    """
     total = sets.groupBy("cell").agg(
         F.count("*").alias("members"), F.sum("n_shingles").alias("held")
     )
@@ -264,19 +293,25 @@ def _links(sets: DataFrame, percent: int, block_sets: int, block_shingles: int)
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "cell",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
+            # One column, so that rows dealt by their cell are dealt anew by block pair.
+            F.struct(
+                "cell", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+            ).alias("pair"),
             (F.col("block") > F.col("other")).cast("int").alias("side"),
             "set_key",
             "shingles",
+            "first",
+            "second",
         )
     )
 
     def verify(group: pa.Table) -> pa.Table:
         keys = group.column("set_key").to_pylist()
-        sets = [s.values.to_numpy() for s in group.column("shingles")]
-        found = links_within(sets, group.column("side").to_numpy(), percent) if keys else []
+        sets, *prefixes = (
+            [s.values.to_numpy() for s in group.column(c)] for c in ("shingles", "first", "second")
+        )
+        side = group.column("side").to_numpy()
+        found = links_within(sets, prefixes, side, percent) if keys else []
         return pa.table(
             [
                 pa.array([keys[i] for i, _ in found], pa.binary()),
@@ -285,13 +320,16 @@ def _links(sets: DataFrame, percent: int, block_sets: int, block_shingles: int)
             ["a", "b"],
         )
 
-    return dealt.groupBy("cell", "low", "high").applyInArrow(verify, "a binary, b binary")
+    return dealt.groupBy("pair").applyInArrow(verify, "a binary, b binary")
 
 
 def _classes(
     docs: DataFrame, width: int, percent: int, block_sets: int, block_shingles: int
 ) -> DataFrame:
-    """doc_id, text_hash, n_shingles and class of every row; rows without words have no class."""
+    """doc_id, text_hash, n_shingles and class of every row; rows without words have no class.
+
+    Those are parted off before any join, as nulls would gather in one task.
+    """
     promising = stored(_promising(docs, width, percent), "promising")
     rows = stored(_all_sets(docs, width, bitmap_of(promising, "member")), "sets")
     distinct = stored(
@@ -317,14 +355,25 @@ def _classes(
         (alone + F.row_number().over(by_frequency) <= prefix).alias("in_first"),
         (alone + F.row_number().over(by_magnitude) <= prefix).alias("in_second"),
     ).where("in_first OR in_second")
-    ranked = stored(ranked, "prefixes")
-    first = _groups(ranked.where("in_first").select("set_key", "token"), None)
-    cells = _groups(ranked.where("in_second").select("set_key", "token"), stored(first, "cells"))
-    links = _links(distinct.join(cells, "set_key"), percent, block_sets, block_shingles)
+    # No longer than the set; gathered where the windows have already put it.
+    prefixes = stored(
+        ranked.groupBy("set_key").agg(
+            F.collect_list(F.when(F.col("in_first"), F.col("token"))).alias("first"),
+            F.collect_list(F.when(F.col("in_second"), F.col("token"))).alias("second"),
+        ),
+        "prefixes",
+    )
+    by_first = prefixes.select("set_key", F.explode("first").alias("token"))
+    by_second = prefixes.select("set_key", F.explode("second").alias("token"))
+    cells = _groups(by_second, stored(_groups(by_first, None), "cells"))
+    sets = distinct.join(cells, "set_key").join(prefixes, "set_key")
+    links = _links(sets, percent, block_sets, block_shingles)
     classes = components(links).withColumnsRenamed({"node": "set_key", "root": "class"})
     slim = rows.select("doc_id", "text_hash", "n_shingles", "set_key")
-    labelled = slim.join(classes, "set_key", "left")
-    return labelled.withColumn("class", F.coalesce("class", "set_key")).drop("set_key")
+    labelled = slim.where("set_key IS NOT NULL").join(classes, "set_key", "left")
+    labelled = labelled.withColumn("class", F.coalesce("class", "set_key")).drop("set_key")
+    wordless = slim.where("set_key IS NULL").drop("set_key")
+    return labelled.unionByName(wordless, allowMissingColumns=True)
 
 
 def linked(
@@ -336,12 +385,12 @@ def linked(
 ) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     rows = _classes(docs, width, percent, block_sets, block_shingles)
-    least = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
+    worded = rows.where("class IS NOT NULL")
+    least = worded.groupBy("class").agg(F.min("doc_id").alias("component_id"))
+    named = worded.join(least, "class").select("doc_id", "n_shingles", "component_id")
     # A row without words has no class and keeps its own id.
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))
-    return rows.join(least, "class", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id")
-    )
+    own = F.col("doc_id").alias("component_id")
+    return named.unionByName(rows.where("class IS NULL").select("doc_id", "n_shingles", own))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
