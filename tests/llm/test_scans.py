@@ -96,6 +96,51 @@ def test_redaction_keeps_columns_and_the_rest_of_the_text(docs_of):
 # Tiling.
 
 
+def test_linking_costs_about_the_text(monkeypatch):
+    """One long run beside many parts in blocks of their own: parts are looked at near a span only."""
+    looked = []
+
+    class Counted(list):
+        def __getitem__(self, k):
+            if isinstance(k, int):
+                looked.append(k)
+            return super().__getitem__(k)
+
+    def cost(m):
+        looked.clear()
+        parts = [(0, 100_000, "secret")]
+        parts += [(200_000 + 1000 * k, 200_010 + 1000 * k, "secret") for k in range(m)]
+        breaks = [199_500 + 1000 * k for k in range(m)]
+        near = credentials._Sorted(parts, breaks, 300)
+        near.starts, near.begins = Counted(near.starts), Counted(near.begins)
+        hits = [near.near(200_020 + 1000 * k, 200_030 + 1000 * k) for k in range(m)]
+        assert all(hits)
+        return len(looked)
+
+    assert cost(400) <= 2.5 * cost(200)
+
+
+def test_near_equals_looking_at_every_part():
+    rng = random.Random(11)
+    for _ in range(300):
+        parts = []
+        for _ in range(rng.randint(0, 12)):
+            a = rng.randrange(200)
+            parts.append((a, a + rng.randint(1, 40), "id"))
+        breaks = sorted(rng.sample(range(200), rng.randint(0, 4)))
+        near = credentials._Sorted(parts, breaks, 15)
+        for _ in range(20):
+            start = rng.randrange(200)
+            end = start + rng.randint(1, 30)
+            block = sum(k <= start for k in breaks)
+            want = any(
+                b >= start - 15 and a <= end + 15 and (a >= end or b <= start)
+                and sum(k <= a for k in breaks) == block
+                for a, b, _ in parts
+            )
+            assert near.near(start, end) == want
+
+
 def brute_tiles(pattern, text, least):
     """Greedy tiling as defined: again and again the longest unmarked matches."""
     p, t, done = [False] * len(pattern), [False] * len(text), 0

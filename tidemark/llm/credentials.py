@@ -72,22 +72,28 @@ def _looks_random(s: str) -> bool:
 
 
 class _Sorted:
-    """Parts in order; which lie near a span of the same block."""
+    """Parts by their starts and by their ends; which lie near a span of the same block.
+
+    Of the parts behind a span the first decides: the others lie in its block or in later ones. Of
+    those before it, the ends within the scope are looked at, which are no more than its characters.
+    """
 
     def __init__(self, parts: list[tuple[int, int, str]], breaks: list[int], scope: int):
-        self.parts = sorted(parts)
-        self.starts = [p[0] for p in self.parts]
-        self.longest = max((p[1] - p[0] for p in self.parts), default=0)
+        self.starts = sorted(p[0] for p in parts)
+        by_end = sorted((p[1], p[0]) for p in parts)
+        self.ends = [b for b, _ in by_end]
+        self.begins = [a for _, a in by_end]
         self.breaks, self.scope = breaks, scope
 
     def near(self, start: int, end: int) -> bool:
         block = bisect_right(self.breaks, start)
-        low = bisect_left(self.starts, start - self.scope - self.longest)
-        for a, b, _ in self.parts[low:]:
-            if a > end + self.scope:
-                return False
-            apart = b >= start - self.scope and (a >= end or b <= start)
-            if apart and bisect_right(self.breaks, a) == block:
+        k = bisect_left(self.starts, end)
+        if k < len(self.starts) and self.starts[k] <= end + self.scope:
+            if bisect_right(self.breaks, self.starts[k]) == block:
+                return True
+        first = bisect_left(self.ends, start - self.scope)
+        for k in range(bisect_right(self.ends, start) - 1, first - 1, -1):
+            if bisect_right(self.breaks, self.begins[k]) == block:
                 return True
         return False
 
