@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tidemark.llm import credentials, licenses, tiling
@@ -210,6 +211,33 @@ def test_contamination_finds_reordered_passages(docs_of, items, sentences):
     assert clean.columns == docs_of(rows).columns
 
 
+def test_a_common_passage_makes_no_pairs(spark, docs_of):
+    """400 documents and 50 items that share five words: the best coverage is 0.2."""
+    passage = "all of them share this"
+    texts = [(i, f"{' '.join(f'd{i}w{k}' for k in range(30))} {passage} end{i}") for i in range(400)]
+    rows = [(i, f"{' '.join(f't{i}w{k}' for k in range(20))} {passage}") for i in range(50)]
+    tests = spark.createDataFrame(rows, "item_id long, text string")
+    assert tiling.contamination(docs_of(texts), tests).count() == 0
+    found = tiling._hashed(docs_of(texts), "doc_id", 5)
+    hashed = tiling._hashed(tests, "item_id", 5).toDF("item_id", "item_key", "item_words", "item_runs")
+    assert tiling.candidates(found, hashed, 5, 0.5).count() == 0
+    assert tiling.candidates(found, hashed, 5, 0.2).count() == 400 * 50
+
+
+def test_coverage_bound_is_never_below_the_tiles():
+    rng = random.Random(12)
+    for _ in range(300):
+        item = [rng.randrange(12) for _ in range(rng.randint(3, 30))]
+        text = [rng.randrange(12) for _ in range(rng.randint(3, 60))]
+        runs = np.array([hash(tuple(item[i : i + 3])) for i in range(len(item) - 2)], np.int64)
+        seeds = np.array([hash(tuple(text[i : i + 3])) for i in range(len(text) - 2)], np.int64)
+        bound = tiling.coverable(runs, np.unique(seeds), 3)
+        covered = sum(n for _, _, n in tiling.tiles(item, text, 3))
+        assert covered <= bound <= len(item)
+        shared = int(np.isin(runs, seeds).sum())
+        assert shared >= -(-covered // 3)
+
+
 def test_contamination_of_empty_tables(docs_of, items):
     assert tiling.contamination(docs_of([]), items).count() == 0
     assert tiling.contamination(docs_of([(1, "a b c d e f")]), items.where("false")).count() == 0

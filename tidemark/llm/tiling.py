@@ -7,8 +7,13 @@ least COVERAGE.
 
 Every tile consists of shared runs of MIN_TILE words (seeds), so a document shrinks to the stretches
 of its seeds before anything is shuffled: a bitmap of fixed size over the items' seeds finds the
-stretches, a join on seeds then names the items, and only such pairs are tiled. The bitmap may let
-stretches through that no item has; the join drops them.
+stretches. The bitmap may let stretches through that no item has; the joins drop them.
+
+A join on seeds names the pairs. Tiles that cover w words of an item hold at least w / MIN_TILE of its
+seeds, so with that number called q any q - 1 places of an item may be left out of the join: these are
+the ones whose seeds most documents have, and a passage that many texts share makes no pairs of its
+own. Of the pairs found, those whose shared seeds cannot cover enough of the item are dropped before
+they are tiled.
 
 Defined results: null and empty texts, and items with fewer than MIN_TILE words, match nothing;
 equal ids are told apart by their texts, and a result row stands for all rows equal in both; a null
@@ -22,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bitmap_of, stored
@@ -125,10 +130,19 @@ def _signed(h: np.ndarray) -> np.ndarray:
 _WORDS = "doc_id long, text_key long, words array<long>, seeds array<long>"
 
 
+def coverable(runs: np.ndarray, seeds: np.ndarray, least: int) -> int:
+    """Words of an item that tiles can cover at most; runs: its seeds in order of place."""
+    at = np.flatnonzero(np.isin(runs, seeds))
+    if not len(at):
+        return 0
+    return int(np.minimum(np.diff(at), least).sum()) + least
+
+
 def _hashed(texts: DataFrame, key: str, least: int, seen=None) -> DataFrame:
     """Words and seeds of each text; with seen, only of the stretches whose seeds it may hold.
 
-    Stretches are parted by a word of their own, which matches nothing.
+    Stretches are parted by a word of their own, which matches nothing; their seeds are a set. Without
+    seen, seeds are those of every place, in order.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +162,7 @@ def _hashed(texts: DataFrame, key: str, least: int, seen=None) -> DataFrame:
                 if len(s):
                     at.append(i)
                     words.append(_signed(w))
-                    seeds.append(_signed(np.unique(s)))
+                    seeds.append(_signed(s if seen is None else np.unique(s)))
             if at:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -164,6 +178,32 @@ def _hashed(texts: DataFrame, key: str, least: int, seen=None) -> DataFrame:
     return given.mapInArrow(rows, _WORDS)
 
 
+def candidates(found: DataFrame, tests: DataFrame, least: int, coverage: float) -> DataFrame:
+    """doc, doc_key, item, test_key: pairs that share a seed which is not one of the item's q - 1
+    most common ones.
+    """
+    by_seed = found.select("doc_id", "text_key", F.explode("seeds").alias("seed"))
+    often = by_seed.groupBy("seed").agg(F.count(F.lit(1)).alias("texts"))
+    words = F.ceil(F.size("item_words") * F.lit(coverage) - F.lit(1e-9))
+    places = tests.select(
+        "item_id",
+        "item_key",
+        F.ceil(words / least).alias("q"),
+        F.posexplode("item_runs").alias("place", "seed"),
+    )
+    # An item's places at a time.
+    common_first = Window.partitionBy("item_id", "item_key").orderBy(F.desc("texts"), "place")
+    asked = (
+        places.join(often, "seed")
+        .withColumn("rank", F.row_number().over(common_first))
+        .where("rank >= q")
+        .select("seed", "item_id", "item_key")
+        .distinct()
+    )
+    pairs = by_seed.join(asked, "seed").select("doc_id", "text_key", "item_id", "item_key")
+    return pairs.distinct().toDF("doc", "doc_key", "item", "test_key")
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -175,44 +215,42 @@ def contamination(
     text_key is the xxhash64 of the document's text.
     """
     tests = stored(
-        _hashed(items, "item_id", least).toDF("item_id", "item_key", "item_words", "item_seeds"),
+        _hashed(items, "item_id", least).toDF("item_id", "item_key", "item_words", "item_runs"),
         "tiling-items",
-    )
-    by_seed = tests.select("item_id", "item_key", F.explode("item_seeds").alias("seed"))
-    seen = bitmap_of(by_seed, "seed", bits=24)
+    ).dropDuplicates(["item_id", "item_key"])
+    seen = bitmap_of(tests.select(F.explode("item_runs").alias("seed")), "seed", bits=24)
     found = stored(_hashed(docs, "doc_id", least, seen), "tiling-stretches").dropDuplicates(
         ["doc_id", "text_key"]
     )
     # Null ids are compared by the text's key alone.
-    pairs = (
-        found.select("doc_id", "text_key", F.explode("seeds").alias("seed"))
-        .join(by_seed, "seed")
-        .select("doc_id", "text_key", "item_id", "item_key")
-        .distinct()
-        .toDF("doc", "doc_key", "item", "test_key")
-    )
+    pairs = candidates(found, tests, least, coverage)
     same_doc = F.col("doc").eqNullSafe(F.col("doc_id")) & (F.col("doc_key") == F.col("text_key"))
     same_item = F.col("item").eqNullSafe(F.col("item_id")) & (
         F.col("test_key") == F.col("item_key")
     )
     whole = (
         pairs.join(found, same_doc)
-        .join(tests.dropDuplicates(["item_id", "item_key"]), same_item)
-        .select("doc_id", "text_key", "item_id", "item_words", "words")
+        .join(tests, same_item)
+        .select("doc_id", "text_key", "item_id", "item_words", "words", "item_runs", "seeds")
     )
 
     def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for item, text in zip(b.column(3), b.column(4)):
+            rows, at = [], []
+            for i, (item, text, runs, seeds) in enumerate(zip(*b.columns[3:])):
+                bound = coverable(runs.values.to_numpy(), seeds.values.to_numpy(), least)
+                if bound < coverage * len(item):
+                    continue
                 pattern = item.as_py()
                 marked = tiles(pattern, text.as_py(), least)
                 n = sum(m[2] for m in marked)
                 rows.append((len(pattern), n, len(marked), n / len(pattern)))
+                at.append(i)
             columns = list(zip(*rows)) if rows else [[], [], [], []]
             types = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+            ids = [c.take(pa.array(at, pa.int64())) for c in b.columns[:3]]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], *(pa.array(c, t) for c, t in zip(columns, types))],
+                [*ids, *(pa.array(c, t) for c, t in zip(columns, types))],
                 ["doc_id", "text_key", "item_id", "n_item_words", "n_covered", "n_tiles", "coverage"],
             )
 
