@@ -1,59 +1,11 @@
 from datetime import datetime, timedelta
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import T0, frame, minutes, txn
 from tidemark.operators import hopping, serving, snapshots
 from tidemark.sources import logs
-from tidemark.streaming import ingest, panes
-
-ONCE = {"availableNow": True}
-
-
-def _streamed(spark, path):
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
-
-
-def test_a_batch_waits_for_first_visits_and_fails_without_them(spark, tmp_path):
-    source = str(tmp_path / "in")
-    rows = [txn("e1"), txn("e2", at=minutes(5)), txn("e3", account="b", at=minutes(6))]
-    frame(spark, rows).write.parquet(source)
-    paths = panes.Paths.under(str(tmp_path), first_visits=True)
-    batch = hopping.panes(frame(spark, rows))
-    timed = batch.withColumn(
-        "newest",
-        F.col("newest").withField(
-            "event_timestamp", F.col("newest.event_timestamp").cast("timestamp")
-        ),
-    )
-    sink = panes.make_sink(paths, clock=lambda: T0, wait_seconds=0.0)
-    with pytest.raises(RuntimeError, match="have not come"):
-        sink(timed, 0)
-    assert not (tmp_path / "serving").exists()
-    ingest.write_first_visits(
-        _streamed(spark, source), paths.first_visits, str(tmp_path / "ck"), ONCE
-    ).awaitTermination()
-    sink(timed, 0)
-    served = serving.read_serving(spark, paths.serving, "realtime").collect()
-    assert {r.account_id: r.is_new_merchant for r in served} == {"a": False, "b": True}
-
-
-def test_a_missing_merchant_or_id_is_settled_too(spark, tmp_path):
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    rows = [txn(None, merchant=None), txn("e2", account="b", merchant=None)]
-    frame(spark, rows).write.parquet(source)
-    ingest.write_first_visits(
-        _streamed(spark, source), out, str(tmp_path / "ck"), ONCE
-    ).awaitTermination()
-    asked = frame(spark, rows).select("account_id", "merchant_id", "event_timestamp", "event_id")
-    got = ingest.novelty(spark, out, asked, T0 - timedelta(hours=1)).collect()
-    assert {(r.account_id, r.is_new_merchant, r.settled) for r in got} == {
-        ("a", True, True),
-        ("b", True, True),
-    }
-
+from tidemark.streaming import panes
 
 def test_expiry_deletes_what_it_lists(spark, tmp_path):
     path = str(tmp_path / "snaps")

@@ -31,14 +31,19 @@ LAST_COLUMNS = [
 ]
 
 
-def pane_aggregates() -> list[Column]:
-    """Mergeable pane contents; the newest row's values are picked by (time, event_id)."""
+def pane_aggregates(carried: tuple[str, ...] = ()) -> list[Column]:
+    """Mergeable pane contents; the newest row's values are picked by (time, event_id).
+
+    ``carried`` are further columns of which the newest row's values are kept.
+    """
     newest = F.struct("event_timestamp", "event_id")
     return [
         F.count(F.lit(1)).alias("n"),
         F.sum("amount").alias("amount_sum"),
         F.max("amount").alias("amount_max"),
-        F.max_by(F.struct(*LAST_COLUMNS, "event_timestamp", "event_id"), newest).alias("newest"),
+        F.max_by(F.struct(*LAST_COLUMNS, "event_timestamp", "event_id", *carried), newest).alias(
+            "newest"
+        ),
     ]
 
 
@@ -49,7 +54,7 @@ def panes(txns: DataFrame, slide: int = SLIDE_SECONDS) -> DataFrame:
 
 
 def windows_over(
-    panes_: DataFrame, slide: int = SLIDE_SECONDS, keep_event_id: bool = False
+    panes_: DataFrame, slide: int = SLIDE_SECONDS, carried: tuple[str, ...] = ()
 ) -> DataFrame:
     """Window totals at every pane end.
 
@@ -74,7 +79,7 @@ def windows_over(
         *[F.col(f"newest.{c}").alias(f"last_{c}") for c in LAST_COLUMNS],
         F.col("newest.event_timestamp").cast("timestamp_ntz").alias("last_event_time"),
         from_micros(F.col("pane_end") * MICROS).alias("window_end"),
-        *([F.col("newest.event_id").alias("last_event_id")] if keep_event_id else []),
+        *[F.col(f"newest.{c}").alias(c) for c in carried],
     )
     return totals.where(F.col("day") == own_day).drop("day")
 

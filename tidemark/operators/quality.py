@@ -106,6 +106,19 @@ def ingest_stats(valid: DataFrame, dead: DataFrame) -> DataFrame:
     )
 
 
+def outcome_stats(handled: DataFrame) -> DataFrame:
+    """One row of the same counts from handled messages (``streaming.rows``), in one scan."""
+
+    def n(*kinds: str) -> Column:
+        return F.count(F.when(F.col("outcome").isin(*kinds), 1))
+
+    return handled.agg(
+        n("done").alias("processed"),
+        n("failed").alias("failed"),
+        n("failed", "dead").alias("dlq_routed"),
+    )
+
+
 def skew_report(
     hot: DataFrame,
     cold: DataFrame,

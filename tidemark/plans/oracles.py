@@ -132,6 +132,7 @@ CHECKED = """checked AS (
     CASE WHEN length(country_code) > 3 THEN 'country_code' END) AS errors
   FROM txns
 )"""
+_REFUSED = f"event_number % {q.REFUSED_EVERY} = {q.REFUSED_AT}"
 ROUTE = "CAST(CAST('0x' || substr(md5(account_id), 1, 8) AS BIGINT) % 8 AS INTEGER)"
 
 _MESSAGE_FIELDS = """event_id, account_id, event_timestamp, amount, merchant_id, merchant_category,
@@ -429,8 +430,26 @@ FROM checked WHERE errors <> ''"""
     )
     out["q_ingest_stats"] = (
         checked
-        + """SELECT count(*) FILTER (WHERE errors = '') AS processed,
-  CAST(0 AS BIGINT) AS failed, count(*) FILTER (WHERE errors <> '') AS dlq_routed FROM checked"""
+        + f"""SELECT count(*) FILTER (WHERE errors = '' AND NOT {_REFUSED}) AS processed,
+  count(*) FILTER (WHERE errors = '' AND {_REFUSED}) AS failed,
+  count(*) FILTER (WHERE errors <> '' OR {_REFUSED}) AS dlq_routed FROM checked"""
+    )
+    out["q_handled_messages"] = (
+        checked
+        + f"""SELECT event_number AS offset, outcome,
+  CAST(CASE outcome WHEN 'failed' THEN 2 WHEN 'dead' THEN 0 ELSE 1 END AS INTEGER) AS attempts,
+  CASE WHEN outcome = 'done' THEN account_id END AS account,
+  CASE WHEN outcome = 'done' THEN CAST(floor(amount * 100 + 0.5) AS BIGINT) END AS cents
+FROM (SELECT *, CASE WHEN errors <> '' THEN 'dead' WHEN {_REFUSED} THEN 'failed' ELSE 'done' END AS outcome
+  FROM checked)"""
+    )
+    out["q_handled_dead_letter"] = (
+        checked
+        + f"""SELECT event_id, CASE WHEN errors <> '' THEN concat('Validation error: ', errors)
+    ELSE 'Max retries exhausted' END AS error_reason, event_number AS source_offset,
+  CASE WHEN errors = '' THEN 'LookupError: no ledger for this message' END AS error,
+  CASE WHEN errors = '' THEN '2' END AS attempts
+FROM checked WHERE errors <> '' OR {_REFUSED}"""
     )
     out["q_dlq_depth"] = (
         checked
@@ -507,6 +526,7 @@ WHERE rn = 1"""
         + "SELECT account_id, merchant_id, event_id FROM staged QUALIFY row_number() OVER "
         "(PARTITION BY account_id, merchant_id ORDER BY event_timestamp, event_id) = 1"
     )
+    out["q_stream_new_merchant"] = out["q_is_new_merchant"]
     out["q_stream_served"] = (
         _with(
             TXNS,
@@ -552,6 +572,20 @@ FROM newest JOIN last_event USING (account_id) JOIN distance USING (event_id)
     )
     out["q_history_daily"] = history + daily_rows
     out["q_fetch_daily"] = history + "SELECT * EXCLUDE (computation_date) FROM daily"
+    until = f"DATE '{q.HISTORY_DATE}'"
+    span = "SELECT {w} AS w, * FROM staged WHERE transaction_date BETWEEN {until} - {w} AND {until}"
+    spans = " UNION ALL ".join(span.format(w=w, until=until) for w in (7, 30, 90))
+    out["q_sketch_accuracy"] = (
+        _with(HISTORY, _history_staged(q.HISTORY_NOW))
+        + f"""SELECT account_id, CAST(w AS INTEGER) AS window_days, count(*) AS rows,
+  count(DISTINCT merchant_id) AS exact_merchants, true AS merchants_within, true AS p50_within,
+  true AS p95_within, true AS p99_within
+FROM ({spans}) GROUP BY account_id, w"""
+    )
+    out["q_sketch_features"] = history + (
+        "SELECT * EXCLUDE (distinct_merchants_30d, distinct_merchants_7d, txn_amount_p50_90d, "
+        "txn_amount_p95_90d, txn_amount_p99_90d) FROM daily"
+    )
     out["q_rolling_metrics"] = staged + _rolling(q.TARGET_DATE, q.NOW)
     out["q_rolling_union"] = out["q_rolling_metrics"]
     out["q_history_rolling"] = _with(HISTORY, _history_staged(q.HISTORY_NOW)) + _rolling(

@@ -4,31 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas as S
-from tidemark.operators import daily, hopping, quality, registry, serving, snapshots, staging
-from tidemark.operators import trailing, validation
+from tidemark.operators import daily, hopping, quality, registry, serving, sketches, snapshots
+from tidemark.operators import staging, trailing, validation
 from tidemark.operators.pane_frames import counts_by_pane
 from tidemark.functions.clock import hour_of_day, is_weekend, micros
 from tidemark.functions.keys import route_partition
 from tidemark.functions.numbers import velocity
 from tidemark.session import pin_utc, run_dir, stream_session
-from tidemark.sources import tables
+from tidemark.sources import feature_tables, tables
 from tidemark.sources.feature_tables import conform_batch, new_rolling
 from tidemark.sources.messages import publish_frame
-from tidemark.streaming import ingest, panes
+from tidemark.streaming import ingest, panes, rows as handled_rows, visits
 
 NOW = "2024-02-05 00:00:00"
 TARGET_DATE = "2024-02-05"
 HISTORY_DATE = "1998-09-01"
 HISTORY_NOW = "1998-09-02 00:00:00"
+FIRST_SKETCH = "1998-06-01"  # 92 days before HISTORY_DATE
 SERVE_AT = "2024-01-29 12:00:00"
 SERVE_DATE = "2024-01-29"
 NIGHTLY_AT = "2024-01-29 02:00:00"
 ASOF = "2024-01-20 00:00:00"
 HALFWAY = "2024-01-16 00:00:00"
+THIRDS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 PAIR = ("2024-01-15 00:00:00", "2024-01-25 00:00:00")
 HISTORY_RANGE = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 
@@ -126,6 +131,24 @@ _AVERAGED = [
 ]
 
 
+# A handler that can't take the messages of some offsets.
+
+CENTS = T.StructType([T.StructField("account", T.StringType()), T.StructField("cents", T.LongType())])
+REFUSED_EVERY, REFUSED_AT = 97, 5
+
+
+def _in_cents(batch: pa.RecordBatch) -> pa.RecordBatch:
+    offsets = batch.column("source_offset").to_numpy()
+    if (offsets % REFUSED_EVERY == REFUSED_AT).any():
+        raise LookupError("no ledger for this message")
+    cents = np.floor(batch.column("amount").to_numpy() * 100 + 0.5).astype(np.int64)
+    return pa.RecordBatch.from_arrays([batch.column("account_id"), pa.array(cents)], CENTS.names)
+
+
+def _handled(spark: SparkSession, folder: str) -> DataFrame:
+    return handled_rows.handled(_messages(spark, folder), _in_cents, CENTS, max_retries=2)
+
+
 _ONCE = {"availableNow": True}
 
 
@@ -184,7 +207,34 @@ def redrive(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ingest_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.ingest_stats(*_split(spark, folder))
+    """What became of every message when a handler gives up on some of them; one scan."""
+    return quality.outcome_stats(_handled(spark, folder))
+
+
+@query
+def handled_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message with its outcome; what the handler returned, or why there is nothing."""
+    return _handled(spark, folder).select(
+        F.col("source_offset").alias("offset"), "outcome", "attempts", "account", "cents"
+    )
+
+
+@query
+def handled_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
+    """Broken messages and those that the handler gave up on, read back from the stored outcomes."""
+    path = run_dir(spark, "handled")
+    handled_rows.write_batch(
+        _messages(spark, folder), _in_cents, CENTS, path, 0, max_retries=2, delay_seconds=0.0
+    )
+    stored = handled_rows.read_handled(spark, path, CENTS)
+    dead = handled_rows.set_aside(stored, NOW)
+    return dead.select(
+        F.get_json_object("original_message", "$.event_id").alias("event_id"),
+        "error_reason",
+        "source_offset",
+        F.col("metadata")["error"].alias("error"),
+        F.col("metadata")["attempts"].alias("attempts"),
+    )
 
 
 @query
@@ -348,6 +398,35 @@ def rolling_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(rows, "metric_value").select(*S.ROLLING.names)
 
 
+@query
+def sketch_accuracy(spark: SparkSession, folder: str) -> DataFrame:
+    """Estimates of stored day sketches, each judged by the exact value."""
+    path = run_dir(spark, "sketches")
+    history = _history(spark, folder)
+    feature_tables.write_days(sketches.day_sketches(history, FIRST_SKETCH, HISTORY_DATE), path)
+    stored = spark.read.parquet(path)
+    found = sketches.estimates(sketches.window_sketches(stored, HISTORY_DATE))
+    return sketches.accuracy(found, history, HISTORY_DATE)
+
+
+@query
+def sketch_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The exact columns of nightly features whose other columns are estimates."""
+    path = run_dir(spark, "sketches")
+    history = _history(spark, folder)
+    span = (FIRST_SKETCH, HISTORY_DATE)
+    feature_tables.write_days(sketches.day_sketches(history, *span), f"{path}/sketches")
+    feature_tables.write_days(sketches.day_categories(history, *span), f"{path}/categories")
+    rows = sketches.estimated_features(
+        spark.read.parquet(f"{path}/sketches"),
+        spark.read.parquet(f"{path}/categories"),
+        HISTORY_DATE,
+        HISTORY_NOW,
+    )
+    estimated = ["distinct_merchants_30d", "distinct_merchants_7d", *daily.PERCENTILES]
+    return _rounded(rows.drop(*estimated), *[n for n in _AVERAGED if n not in estimated])
+
+
 @query
 def latest_features(spark: SparkSession, folder: str) -> DataFrame:
     staged = _staged(spark, folder)
@@ -581,19 +660,34 @@ def stream_hop_1h(spark: SparkSession, folder: str) -> DataFrame:
 def stream_served(spark: SparkSession, folder: str) -> DataFrame:
     """The whole hot path: events to panes to served rows, over two runs with a restart between."""
     spark = stream_session(spark)
-    paths = panes.Paths.under(run_dir(spark, "served"), first_visits=True)
-    source = f"{paths.runs}-in"
+    paths = panes.Paths.under(run_dir(spark, "served"))
+    source, flagged = f"{paths.runs}-in", f"{paths.runs}-flagged"
     sink = panes.make_sink(paths, tables.profiles(spark, folder), lambda: NOW)
     early = F.col("event_timestamp") < F.lit(HALFWAY).cast("timestamp_ntz")
     rows = _staged(spark, folder)
     for part in (rows.where(early), rows.where(~early)):
         part.write.mode("append").parquet(source)
         events = spark.readStream.schema(rows.schema).parquet(source)
-        ingest.write_first_visits(
-            events, paths.first_visits, f"{paths.runs}-ck-v", _ONCE
-        ).awaitTermination()
+        visits.write_flagged(events, flagged, f"{paths.runs}-ck-v", _ONCE).awaitTermination()
+        stream = panes.pane_stream(visits.stream_flagged(spark, flagged, rows.schema), flagged=True)
         ingest.process_stream(
-            panes.pane_stream(events), sink, f"{paths.runs}-ck", _ONCE, output_mode="update"
+            stream, sink, f"{paths.runs}-ck", _ONCE, output_mode="update"
         ).awaitTermination()
     rows = serving.live(serving.read_serving(spark, paths.serving, "realtime"), NOW)
     return rows.drop("batch_id")
+
+
+@query
+def stream_new_merchant(spark: SparkSession, folder: str) -> DataFrame:
+    """Flags from keyed state over three runs of one checkpoint, each with a third of the month."""
+    spark = stream_session(spark)
+    root = run_dir(spark, "flags")
+    rows = _staged(spark, folder)
+    at = F.col("event_timestamp")
+    first, second = (F.lit(t).cast("timestamp_ntz") for t in THIRDS)
+    for part in (rows.where(at < first), rows.where((at >= first) & (at < second)), rows.where(at >= second)):
+        part.write.mode("append").parquet(f"{root}/in")
+        events = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        visits.write_flagged(events, f"{root}/out", f"{root}/ck", _ONCE).awaitTermination()
+    flagged = spark.read.parquet(f"{root}/out")
+    return flagged.select("event_id", "account_id", "merchant_id", "is_new_merchant")

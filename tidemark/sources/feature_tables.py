@@ -109,6 +109,18 @@ def new_rolling(df: DataFrame, existing: DataFrame, strict_forward: bool = False
     return df.join(existing.select(*_ROLLING_KEY), _ROLLING_KEY, "left_anti")
 
 
+def write_days(df: DataFrame, path: str) -> None:
+    """Replace the transaction dates present in ``df`` and keep all others."""
+    (
+        df.repartitionByRange("transaction_date", "account_id")
+        .sortWithinPartitions("transaction_date", "account_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("transaction_date")
+        .parquet(path)
+    )
+
+
 def write_totals(totals: DataFrame, path: str, target_date: date | str) -> DataFrame:
     """Keep a date's window totals, which two tables are built from, and read them back."""
     (

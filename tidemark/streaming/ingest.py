@@ -53,13 +53,16 @@ VISIT = T.StructType(
 )
 
 
-def checked_rows(messages: DataFrame) -> DataFrame:
-    """One row per message with its outcome, valid or dead; works on streams and tables alike."""
+def checked_rows(messages: DataFrame, keep_message: bool = False) -> DataFrame:
+    """One row per message with its outcome, valid or dead; works on streams and tables alike.
+
+    Valid rows lose their text unless ``keep_message`` is set.
+    """
     rows = with_defaults(check(decode_messages(messages)))
     bad = F.col("error_text") != ""
     return rows.select(
         *[f.name for f in _EVENT],
-        F.when(bad, F.col("value")).alias("original_message"),
+        (F.col("value") if keep_message else F.when(bad, F.col("value"))).alias("original_message"),
         F.when(bad, error_reason()).alias("error_reason"),
         F.col("topic").alias("source_topic"),
         F.col("partition").cast("int").alias("source_partition"),
@@ -128,8 +131,8 @@ def write_first_visits(
 
     The known pairs are the state of a streaming minimum, looked up by key, so a micro-batch costs
     what it brings and not what is already known. Every pair that a batch touches is written with its
-    first and its newest event, so recent rows alone tell whether a recent event was the first. Use
-    the RocksDB state store.
+    first and its newest event. A table for other readers; the hot path keeps its own state
+    (``visits.flag_new_merchants``). Use the RocksDB state store.
     """
     event = F.struct("event_timestamp", "event_id")
     firsts = events.groupBy("account_id", "merchant_id").agg(
@@ -167,40 +170,6 @@ def read_first_visits(spark: SparkSession, path: str, since=None) -> DataFrame:
     return rows if since is None else rows.where(F.col("event_timestamp").cast("date") >= day(since))
 
 
-def novelty(spark: SparkSession, path: str, events: DataFrame, since: datetime) -> DataFrame:
-    """account_id, is_new_merchant and settled for one event per account.
-
-    ``events`` has account_id, merchant_id, event_timestamp and event_id, none before ``since``. An
-    event is settled once the first-visits stream has seen it or a later one of its pair; rows that
-    can tell have seen something since then, so older ones are not read.
-    """
-    recent = read_log(spark, path, VISIT).where(F.col("seen_at") >= F.lit(since))
-    rows = recent.select(
-        F.col("account_id").alias("_account"),
-        F.col("merchant_id").alias("_merchant"),
-        F.struct("event_timestamp", "event_id").alias("first"),
-        F.struct("seen_at", "seen_event_id").alias("seen"),
-    )
-    same = F.col("account_id").eqNullSafe(F.col("_account")) & F.col("merchant_id").eqNullSafe(
-        F.col("_merchant")
-    )
-    known = (
-        events.join(rows, same, "left")
-        .groupBy("account_id", "event_timestamp", "event_id")
-        .agg(F.min("first").alias("first"), F.max("seen").alias("seen"))
-    )
-    this = F.struct("event_timestamp", "event_id")
-    at, seen_at = F.col("event_timestamp"), F.col("seen.seen_at")
-    later = (seen_at > at) | (
-        (seen_at == at) & (F.coalesce("seen.seen_event_id", F.lit("")) >= F.coalesce("event_id", F.lit("")))
-    )
-    return known.select(
-        "account_id",
-        F.col("first").eqNullSafe(this).alias("is_new_merchant"),
-        F.coalesce(later, F.lit(False)).alias("settled"),
-    )
-
-
 def process_stream(
     stream: DataFrame,
     handler: Handler,

@@ -23,11 +23,10 @@ from tidemark.operators.hopping import (
 from tidemark.operators.serving import upsert
 from tidemark.operators.snapshots import stamp
 from tidemark.operators.trailing import distance_from_home
-from tidemark.session import run_dir
-from tidemark.sources.logs import append_batch, create_log, read_batch, remove_path
-from tidemark.streaming.ingest import novelty
+from tidemark.sources.logs import append_batch, create_log, read_batch
 
 WATERMARK = "30 seconds"
+FLAG = ("is_new_merchant",)
 BLOCK_SECONDS = 6 * HOUR_SECONDS  # of pane ends in one folder
 
 _LAST_TYPES = {f.name: f.dataType for f in S.TRANSACTION}
@@ -45,6 +44,8 @@ PANE = T.StructType(
                     *[T.StructField(c, _LAST_TYPES[c]) for c in LAST_COLUMNS],
                     T.StructField("event_timestamp", T.TimestampType()),
                     T.StructField("event_id", T.StringType()),
+                    # Only panes of flagged events have it.
+                    T.StructField("is_new_merchant", T.BooleanType()),
                 ]
             ),
         ),
@@ -86,9 +87,12 @@ def pane_stream(
     watermark: str = WATERMARK,
     slide: int = SLIDE_SECONDS,
     dedupe: bool = False,
+    flagged: bool = False,
 ) -> DataFrame:
     """Streaming panes per account; rows later than the watermark are dropped by Spark.
 
+    ``flagged`` events bring ``is_new_merchant``, which goes with the newest event of a pane.
+
     In update mode a pane comes again, whole, when it changes. State holds only open panes, and with
     ``dedupe`` the event ids seen within the watermark.
     """
@@ -96,7 +100,7 @@ def pane_stream(
     pane = F.window("event_timestamp", f"{slide} seconds")
     return (
         timed.groupBy("account_id", pane.alias("pane"))
-        .agg(*pane_aggregates())
+        .agg(*pane_aggregates(FLAG if flagged else ()))
         .select(
             "account_id",
             F.unix_seconds("pane.end").alias("pane_end"),
@@ -191,16 +195,14 @@ class Paths:
     serving: str
     snapshots: str
     runs: str
-    first_visits: str | None = None
 
     @classmethod
-    def under(cls, root: str, first_visits: bool = False) -> Paths:
+    def under(cls, root: str) -> Paths:
         return cls(
             panes=f"{root}/panes",
             serving=f"{root}/serving",
             snapshots=f"{root}/{S.REALTIME_SNAPSHOTS}",
             runs=f"{root}/runs",
-            first_visits=f"{root}/first_visits" if first_visits else None,
         )
 
 
@@ -222,7 +224,7 @@ def newest_windows(
     recent = read_panes(
         spark, path, _blocks(span["first"] - HOUR_SECONDS, span["last"] + HOUR_SECONDS)
     ).where(F.col("pane_end") > span["first"] - HOUR_SECONDS)
-    windows = windows_over(recent.join(touched, "account_id", "left_semi"), keep_event_id=True)
+    windows = windows_over(recent.join(touched, "account_id", "left_semi"), carried=FLAG)
     newest_first = Window.partitionBy("account_id").orderBy(F.col("pane_end").desc())
     return (
         windows.withColumn("rank", F.row_number().over(newest_first))
@@ -235,42 +237,20 @@ def _blocks(first: int, last: int) -> range:
     return range(first // BLOCK_SECONDS, last // BLOCK_SECONDS + 1)
 
 
-def _settled(
-    spark: SparkSession, path: str, windows: DataFrame, since: datetime, wait_seconds: float
-) -> DataFrame:
-    """account_id and is_new_merchant of every window's newest event, once all of them are known."""
-    events = windows.select(
-        "account_id",
-        F.col("last_merchant_id").alias("merchant_id"),
-        F.col("last_event_time").alias("event_timestamp"),
-        F.col("last_event_id").alias("event_id"),
-    )
-    deadline = time.monotonic() + wait_seconds
-    while True:
-        flags = novelty(spark, path, events, since.replace(tzinfo=None))
-        if flags.where(~F.col("settled")).isEmpty():
-            return flags.drop("settled")
-        if time.monotonic() >= deadline:
-            raise RuntimeError(f"first visits at {path} have not come as far as this batch")
-        time.sleep(1.0)
-
-
 def make_sink(
     paths: Paths,
     profiles: DataFrame | None = None,
     clock: Callable[[], datetime] = _utc_now,
     mode: str = "shared",
     stream: str = "main",
-    wait_seconds: float = 60.0,
 ) -> Callable[[DataFrame, int], None]:
     """The micro-batch function of the hot path: panes, serving rows, then a snapshot.
 
     Serving comes first. A failed snapshot does not fail the batch; its error is kept in the runs
     table. Everything is written under the stream's name and the batch id, so running a batch again
     changes nothing; give a stream with a new checkpoint a name of its own.
-    With ``first_visits`` a batch is served only when that stream has seen its newest events, so the
-    flag depends on the data and not on timing; after ``wait_seconds`` without them the batch fails
-    and runs again on restart. Without it the flag is false.
+    Panes of flagged events (``visits.flag_new_merchants``) bring the newest event's flag along;
+    without flags it is false.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -286,20 +266,9 @@ def make_sink(
                 {"last_latitude": "latitude", "last_longitude": "longitude"}
             )
             windows = distance_from_home(located, profiles)
-        work = None
-        if paths.first_visits is not None:
-            # Stored once: waiting looks at these rows again and does not compute them again.
-            work = run_dir(spark, "newest")
-            windows.write.parquet(work)
-            windows = spark.read.schema(windows.schema).parquet(work)
-            since = datetime.fromtimestamp(span["first"] - HOUR_SECONDS, timezone.utc)
-            flags = _settled(spark, paths.first_visits, windows, since, wait_seconds)
-            windows = windows.join(flags, "account_id", "left")
         now = clock()
         rows = realtime_rows(windows, now, mode)
         written = upsert(rows, "realtime", paths.serving, batch_id, now, stream=stream)
-        if work is not None:
-            remove_path(spark, work)
         error = None
         try:
             # The snapshot repeats exactly the rows that the batch put into serving.
