@@ -12,7 +12,7 @@ from tidemark import schemas as S
 from tidemark.functions.clock import wall
 
 _POSITION = ["value", "topic", "partition", "offset"]
-_HELPERS = ["_unreadable", "_malformed", "error_text", *_POSITION]
+_HELPERS = ["_unreadable", "_malformed", "_nulls", "error_text", *_POSITION]
 
 # Fields that are not text, and what they are read as.
 _TYPED = {
@@ -33,6 +33,7 @@ RULES = {
     "timestamp": "event_timestamp IS NULL",
     "amount": "amount IS NULL OR isnan(amount) OR amount < 0",
     "merchant_id": "merchant_id IS NULL",
+    "merchant_category": "false",
     "transaction_type": f"transaction_type IS NULL OR transaction_type NOT IN ({_KINDS})",
     "latitude": f"isnan(latitude) OR abs(latitude) > {S.LATITUDE_LIMIT}",
     "longitude": f"isnan(longitude) OR abs(longitude) > {S.LONGITUDE_LIMIT}",
@@ -42,20 +43,36 @@ RULES = {
 }
 
 
-def decode_messages(raw: DataFrame) -> DataFrame:
+def decode_messages(raw: DataFrame, strict_nulls: bool = False) -> DataFrame:
     """JSON value to typed columns; the raw value and its source position stay alongside.
 
-    A field that is present but cannot be read becomes NULL and its name goes to ``_unreadable``.
+    A field that is present but cannot be read becomes NULL and its name goes to ``_unreadable``. With
+    ``strict_nulls`` the fields that have a default and are there as null go to ``_nulls``: they break
+    the message, while an absent field takes its default. Without it both take the default.
     """
     parsed = F.from_json(
         "value", S.MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
     position = [c for c in _POSITION if c in raw.columns]
     # A generator, not a plain column: filters stay above it, so each value is parsed once.
-    return decode_parsed(raw.select(*position, F.inline(F.array(parsed))))
+    decoded = decode_parsed(
+        raw.select(*position, F.inline(F.array(parsed))), explicit_nulls() if strict_nulls else None
+    )
+    return decoded
+
+
+def explicit_nulls() -> Column:
+    """Names of the fields with a default that the JSON text ``value`` holds as null, by commas."""
+    said = F.try_parse_json("value")
+
+    def is_null(name: str) -> Column:
+        return F.is_variant_null(F.try_variant_get(said, f"$.{name}", "variant"))
 
+    names = [F.when(is_null(n), F.lit(n)) for n in S.EVENT_DEFAULTS]
+    return F.concat_ws(",", *names)
 
-def decode_parsed(fields: DataFrame) -> DataFrame:
+
+def decode_parsed(fields: DataFrame, nulls: Column | None = None) -> DataFrame:
     """Typed columns from the text columns of parsed messages, whichever reader parsed them.
 
     A row without the message's own text is malformed only if its reader says so.
@@ -74,10 +91,11 @@ def decode_parsed(fields: DataFrame) -> DataFrame:
         f"CASE WHEN {n} IS NOT NULL AND try_cast({n} AS {t}) IS NULL THEN '{n}' END"
         for n, t in _TYPED.items()
     )
-    return fields.selectExpr(
-        *columns,
-        f"concat_ws(',', {bad}) AS _unreadable",
-        f"_corrupt IS NOT NULL{missing} AS _malformed",
+    return fields.select(
+        *[F.expr(c) for c in columns],
+        F.expr(f"concat_ws(',', {bad}) AS _unreadable"),
+        F.expr(f"_corrupt IS NOT NULL{missing} AS _malformed"),
+        *([] if nulls is None else [nulls.alias("_nulls")]),
         *position,
     )
 
@@ -91,10 +109,13 @@ def with_defaults(df: DataFrame) -> DataFrame:
 def _error_list(df: DataFrame) -> str:
     """The names of the broken fields as arguments of a SQL call; NULL where a rule holds."""
     decoded = "_malformed" in df.columns
+    strict = "_nulls" in df.columns
     cases = ["CASE WHEN _malformed THEN 'malformed' END"] if decoded else []
     for name, rule in RULES.items():
         if decoded and name in _TYPED:
             rule = f"{rule} OR find_in_set('{name}', _unreadable) > 0"
+        if strict and name in S.EVENT_DEFAULTS:
+            rule = f"{rule} OR find_in_set('{name}', _nulls) > 0"
         if decoded:
             rule = f"NOT _malformed AND ({rule})"
         cases.append(f"CASE WHEN {rule} THEN '{name}' END")
@@ -152,7 +173,10 @@ def envelope(
     source_topic: str = S.TRANSACTIONS_TOPIC,
     metadata: Column | None = None,
 ) -> DataFrame:
-    """Wrap failed messages; the original text stays intact for a later redrive."""
+    """Wrap failed messages; the original text stays intact for a later redrive.
+
+    ``metadata`` may be text pairs or, for any JSON, a VARIANT (``parse_json``).
+    """
     has = set(rows.columns)
     no_metadata = F.create_map().cast(T.MapType(T.StringType(), T.StringType()))
     return rows.select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from tidemark.plans import delivery_oracles
 from tidemark.plans import oracles as o
 from tidemark.plans import queries as q
 from tidemark.plans import stored_queries as s
@@ -102,4 +103,4 @@ FROM (SELECT *, as_of >= TIMESTAMP '{q.NOW}' - INTERVAL {s.LOOKBACK_DAYS} DAY AS
         )
         + "SELECT * FROM hops",
     }
-    return {**plain, **out}
+    return {**plain, **out, **delivery_oracles.sql(plain)}

@@ -88,8 +88,11 @@ def profiles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def messages_from(txns: DataFrame) -> DataFrame:
-    """Transactions as broker messages: key, JSON value and the source position."""
+def messages_from(txns: DataFrame, spell_nulls: bool = False) -> DataFrame:
+    """Transactions as broker messages: key, JSON value and the source position.
+
+    Fields without a value are left away, or are there as null with ``spell_nulls``.
+    """
     body = F.struct(
         "event_id",
         "account_id",
@@ -106,7 +109,7 @@ def messages_from(txns: DataFrame) -> DataFrame:
     )
     return txns.select(
         F.col("account_id").alias("key"),
-        F.to_json(body).alias("value"),
+        F.to_json(body, {"ignoreNullFields": str(not spell_nulls).lower()}).alias("value"),
         F.lit(TRANSACTIONS_TOPIC).alias("topic"),
         route_partition(F.col("account_id")).alias("partition"),
         F.regexp_extract("event_id", "([0-9]+)$", 1).cast("bigint").alias("offset"),
