@@ -148,3 +148,21 @@ def test_crowded_values(spark, low, high):
     probs = [0.0, 0.25, 0.5, 0.99, 1.0]
     got = _quantiles(spark, values, probs)
     assert got == pytest.approx([_expected(values, p, "linear") for p in probs], rel=1e-12)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        def __init__(self, **settings):
+            self.conf = self
+            self.settings = settings
+
+        def get(self, key, default=None):
+            return self.settings.get(key, default)
+
+    from tidemark.session import shared_dir
+
+    here = {"spark.sql.warehouse.dir": "/w"}
+    assert shared_dir(Session(**here, **{"spark.master": "local[4]"})) == "/w/tidemark-work"
+    assert shared_dir(Session(**here, **{"spark.checkpoint.dir": "/s", "spark.master": "yarn"})) == "/s"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session(**here, **{"spark.master": "spark://host:7077"}))

@@ -1,6 +1,7 @@
 import random
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import T0, frame, minutes, txn
@@ -169,3 +170,29 @@ def test_projection_hourly_velocity(spark):
     hops = hopping.hop_features(frame(spark, rows))
     out = hopping.realtime_rows(hops, T0, "hourly").orderBy("txn_count_1h").collect()
     assert [r.txn_velocity_5m for r in out] == [round(n / 60, 4) for n in range(1, 7)]
+
+
+def test_the_home_is_the_one_at_the_event(spark):
+    def at(day):
+        return T0 + timedelta(days=day)
+
+    rows = [
+        txn("before", at=at(-1), latitude=10.0, longitude=10.0),
+        txn("first", at=at(0), latitude=10.0, longitude=10.0),
+        txn("still", at=at(4) - timedelta(microseconds=1), latitude=10.0, longitude=10.0),
+        txn("moved", at=at(4), latitude=10.0, longitude=10.0),
+        txn("always", account="b", at=at(-9), latitude=0.0, longitude=0.0),
+        txn("nobody", account="c", latitude=0.0, longitude=0.0),
+    ]
+    profiles = spark.createDataFrame(
+        [
+            ("a", 10.0, 10.0, at(0)), ("a", 0.0, 10.0, at(4)), ("a", -5.0, 10.0, at(4)),
+            ("b", 0.0, 0.0, None), ("b", 50.0, 50.0, at(3)),
+        ],
+        "account_id string, home_latitude double, home_longitude double, updated_at timestamp_ntz",
+    )
+    got = trailing.distance_from_home(frame(spark, rows), trailing.profile_versions(profiles))
+    assert got.columns[-1] == "distance_from_home" and "valid_to" not in got.columns
+    km = {r.event_id: r.distance_from_home for r in got.collect()}
+    assert km.pop("moved") == pytest.approx(1111.95, abs=0.1)
+    assert km == {"before": None, "first": 0.0, "still": 0.0, "always": 0.0, "nobody": None}

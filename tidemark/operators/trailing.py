@@ -165,20 +165,52 @@ def _flagged(events: DataFrame, firsts: DataFrame) -> DataFrame:
     )
 
 
+def profile_versions(profiles: DataFrame) -> DataFrame:
+    """Profiles with ``updated_at`` as versions: each holds from its update up to the account's next.
+
+    Of updates at one moment the one with the larger position stays. The first version holds from its
+    own update, so earlier events have no home; a NULL update holds from the beginning.
+    """
+    columns = [c for c in profiles.columns if c not in ("account_id", "updated_at")]
+    last = F.max_by(F.struct(*columns), F.struct("home_latitude", "home_longitude"))
+    one = profiles.groupBy("account_id", "updated_at").agg(F.coalesce(last, F.first(F.struct(*columns))).alias("v"))
+    # An account's versions at a time, never its events.
+    following = Window.partitionBy("account_id").orderBy(F.col("updated_at").asc_nulls_first())
+    return one.select(
+        "account_id",
+        "v.*",
+        F.col("updated_at").alias("valid_from"),
+        F.lead("updated_at").over(following).alias("valid_to"),
+    )
+
+
 def distance_from_home(txns: DataFrame, profiles: DataFrame) -> DataFrame:
     """Add ``distance_from_home`` in km, NULL when either position is unknown.
 
-    No broadcast hint: profiles grow with the accounts, so the planner decides by their size and
-    AQE splits the partition of a busy account.
+    Versions (``profile_versions``) are joined by the interval in which they hold, so the home is the
+    one at the event's time; works on streams, with the versions as a table. No broadcast hint: profiles
+    grow with the accounts, so the planner decides by their size and AQE splits the partition of a busy
+    account.
     """
-    homes = profiles.select("account_id", "home_latitude", "home_longitude")
+    versioned = "valid_from" in profiles.columns
+    homes = profiles.select(
+        F.col("account_id").alias("_owner"),
+        "home_latitude",
+        "home_longitude",
+        *(["valid_from", "valid_to"] if versioned else []),
+    )
+    own = F.col("account_id") == F.col("_owner")
+    if versioned:
+        at = F.col("event_timestamp").cast("timestamp_ntz")
+        begun = F.col("valid_from").isNull() | (F.col("valid_from") <= at)
+        own = own & begun & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
     km = haversine_km(
         F.col("latitude"), F.col("longitude"), F.col("home_latitude"), F.col("home_longitude")
     )
     return (
-        txns.join(homes, "account_id", "left")
+        txns.join(homes, own, "left")
         .withColumn("distance_from_home", F.round(km, 2))
-        .drop("home_latitude", "home_longitude")
+        .drop("_owner", "home_latitude", "home_longitude", "valid_from", "valid_to")
     )
 
 

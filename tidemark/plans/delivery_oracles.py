@@ -6,6 +6,7 @@ from tidemark.operators import registry
 from tidemark.plans import delivery_queries as d
 from tidemark.plans import oracles as o
 from tidemark.plans import queries as q
+from tidemark.sources import tables
 
 _EARLY = f"event_timestamp < TIMESTAMP '{q.HALFWAY}'"
 
@@ -30,6 +31,26 @@ def sql(plain: dict[str, str]) -> dict[str, str]:
   SELECT * FROM hops
   QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY window_end DESC) = 1
 )"""
+    versions = f"""versions AS (
+  SELECT account_id, home_latitude, home_longitude, TIMESTAMP '2024-01-02 00:00:00' AS since,
+    CASE WHEN moves THEN TIMESTAMP '{tables.MOVED_AT}' END AS until
+  FROM (SELECT *, CAST(substr(account_id, 6) AS BIGINT) % 3 = 0 AS moves FROM profiles)
+  UNION ALL
+  SELECT account_id, -home_latitude, home_longitude / 2, TIMESTAMP '{tables.MOVED_AT}', NULL
+  FROM profiles WHERE CAST(substr(account_id, 6) AS BIGINT) % 3 = 0
+)"""
+    homes = (
+        o._with(o.TXNS, o.PROFILES, o._staged(q.NOW), versions)
+        + """SELECT event_id, account_id, round(2 * 6371.0 * atan2(sqrt(h), sqrt(1 - h)), 2)
+  AS distance_from_home
+FROM (
+  SELECT event_id, s.account_id,
+    pow(sin(radians(home_latitude - latitude) / 2), 2)
+      + cos(radians(latitude)) * cos(radians(home_latitude))
+      * pow(sin(radians(home_longitude - longitude) / 2), 2) AS h
+  FROM staged s LEFT JOIN versions v ON v.account_id = s.account_id AND s.event_timestamp >= v.since
+    AND (v.until IS NULL OR s.event_timestamp < v.until))"""
+    )
     latest = o._with(
         o.TXNS, o._staged(q.NOW), o._daily(d.EARLIER_DATES[-1], q.NOW)
     )
@@ -51,6 +72,8 @@ FROM (SELECT *, {errors} AS errors FROM txns)""",
         "q_schema_report": f"""SELECT * FROM (VALUES {report}) AS t(name, expected, actual, status)""",
         "q_message_cap": """SELECT count(*) > 0 AS whole_batches, count(*) > 0 AS cap_reached,
   count(*) > 0 AS all_taken_are_stored FROM events""",
+        "q_home_versions": homes,
+        "q_stream_home_versions": homes,
         "q_sql_latest": latest + "SELECT * FROM daily",
         "q_sql_as_of": plain["q_asof_features"],
         "q_sql_history": o._with(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.operators import daily, hopping, registry, serving, snapshots, validation
+from tidemark.operators import daily, hopping, registry, serving, staging, trailing, validation
 from tidemark.plans import queries as q
 from tidemark.plans import sql_surface
 from tidemark.plans.queries import query
@@ -140,6 +140,35 @@ def message_cap(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Homes that hold at the time of the event.
+
+
+@query
+def home_versions(spark: SparkSession, folder: str) -> DataFrame:
+    versions = trailing.profile_versions(tables.profile_history(spark, folder))
+    rows = trailing.distance_from_home(q._staged(spark, folder), versions)
+    return rows.select("event_id", "account_id", "distance_from_home")
+
+
+@query
+def stream_home_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The same join in the streaming plan itself, with the versions as a stored table."""
+    spark = stream_session(spark)
+    root = run_dir(spark, "homes")
+    trailing.profile_versions(tables.profile_history(spark, folder)).write.parquet(f"{root}/versions")
+    events = staging.clean(q._event_stream(spark, folder), q.NOW)
+    located = trailing.distance_from_home(events, spark.read.parquet(f"{root}/versions"))
+    (
+        located.select("event_id", "account_id", "distance_from_home")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{root}/ck")
+        .trigger(**q._ONCE)
+        .start(f"{root}/out")
+        .awaitTermination()
+    )
+    return spark.read.parquet(f"{root}/out")
+
+
 # Stored surfaces.
 
 

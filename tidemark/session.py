@@ -56,10 +56,15 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in spark.checkpoint.dir.
 
-    Without that setting it is a folder in the session's warehouse, which is shared as well.
+    Without that setting a local session uses a folder in its warehouse; on a cluster, where the
+    warehouse may be a folder of one machine, its absence is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/tidemark-work"
+    if named:
+        return named
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/tidemark-work"
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

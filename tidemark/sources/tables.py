@@ -88,6 +88,25 @@ def profiles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+MOVED_AT = "2024-01-16 12:00:00"  # when every third account moves
+
+
+def profile_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Profiles with ``updated_at``; every third account has a second version, in another place."""
+    first = profiles(spark, folder).withColumn(
+        "updated_at", F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    )
+    number = F.regexp_extract("account_id", "([0-9]+)$", 1).cast("bigint")
+    moved = first.where(number % 3 == 0).withColumns(
+        {
+            "home_latitude": -F.col("home_latitude"),
+            "home_longitude": F.col("home_longitude") / 2,
+            "updated_at": F.lit(MOVED_AT).cast("timestamp_ntz"),
+        }
+    )
+    return first.unionByName(moved)
+
+
 def messages_from(txns: DataFrame, spell_nulls: bool = False) -> DataFrame:
     """Transactions as broker messages: key, JSON value and the source position.
 

@@ -207,6 +207,13 @@ def with_retries(
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         work = run_dir(spark, "retry")
+        try:
+            settle(batch, batch_id, work)
+        finally:
+            remove_path(spark, work)
+
+    def settle(batch: DataFrame, batch_id: int, work: str) -> None:
+        spark = batch.sparkSession
         position = [c for c in ("value", "topic", "partition", "offset") if c in batch.columns]
         batch.withColumn("_part", F.xxhash64(*position)).write.parquet(work)
         rows = spark.read.parquet(work)
@@ -240,7 +247,6 @@ def with_retries(
                 again = attempt(rest, max_retries)
                 if again:  # fails only together: none of it can be kept
                     raise RuntimeError(f"batch {batch_id} fails as a whole: {again}")
-        remove_path(spark, work)
 
     return run
 

@@ -28,6 +28,7 @@ from tidemark.sources.logs import append_batch, create_log, read_batch
 WATERMARK = "30 seconds"
 FLAG = ("is_new_merchant",)
 BLOCK_SECONDS = 6 * HOUR_SECONDS  # of pane ends in one folder
+PAST_WRITERS = 2  # tasks that write a block which is over; all tasks write the current ones
 
 _LAST_TYPES = {f.name: f.dataType for f in S.TRANSACTION}
 PANE = T.StructType(
@@ -116,10 +117,14 @@ def write_panes(panes: DataFrame, path: str, batch_id: int, stream: str = "main"
     """Store a micro-batch of panes; a replay replaces its own partitions and nothing else.
 
     Folders are blocks of a few hours of pane ends, then streams and batches, so that a trigger lists
-    the one or two blocks it needs and nothing else that was ever written. Returns the row count and
-    the range of pane ends, taken while writing.
+    the one or two blocks it needs and nothing else that was ever written. Rows are dealt by block
+    before they are written: a backlog of many blocks would otherwise be a file for every task and
+    block. Returns the row count and the range of pane ends, taken while writing.
     """
     seen = Observation()
+    width = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    current = int(time.time()) // BLOCK_SECONDS - 1
+    writers = F.when(F.col("pane_block") >= current, width).otherwise(PAST_WRITERS)
     (
         panes.withColumns(
             {
@@ -129,6 +134,7 @@ def write_panes(panes: DataFrame, path: str, batch_id: int, stream: str = "main"
                 "batch_id": F.lit(batch_id).cast("bigint"),
             }
         )
+        .repartition("pane_block", F.pmod(F.xxhash64("account_id"), writers.cast("long")))
         .sortWithinPartitions("account_id", "pane_end")
         .observe(
             seen,
