@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import run_dir
+from tidemark.sources.logs import remove_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,10 +24,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: a lost executor costs what it was working on and nothing before. The written
     files are in the folder that spark.checkpoint.dir names.
     """
-    spark = df.sparkSession
-    path = run_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Stored(df, name).rows
+
+
+class Stored:
+    """A stored table that is dropped when what was made from it is stored as well."""
+
+    def __init__(self, df: DataFrame, name: str):
+        self.spark = df.sparkSession
+        self.path = run_dir(self.spark, name)
+        df.write.parquet(self.path)
+        self.rows = self.spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        remove_path(self.spark, self.path)
 
 
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:

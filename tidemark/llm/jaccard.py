@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Bitmap, bitmap_of, stored
+from tidemark.llm.common import Bitmap, Stored, bitmap_of, stored
 from tidemark.llm.components import components
 from tidemark.llm.textkit import mix, shingle_set, word_hashes
 
@@ -330,7 +330,8 @@ def _classes(
 
     Those are parted off before any join, as nulls would gather in one task.
     """
-    promising = stored(_promising(docs, width, percent), "promising")
+    settled = Stored(_promising(docs, width, percent), "promising")
+    promising = settled.rows
     rows = stored(_all_sets(docs, width, bitmap_of(promising, "member")), "sets")
     distinct = stored(
         rows.where("shingles IS NOT NULL")
@@ -339,9 +340,11 @@ def _classes(
         .dropDuplicates(["set_key"]),
         "distinct-sets",
     )
+    settled.drop()
     tokens = distinct.select("set_key", "n_shingles", F.explode("shingles").alias("token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    shared = stored(tokens.join(often, "token"), "shared-shingles")
+    counted = Stored(tokens.join(often, "token"), "shared-shingles")
+    shared = counted.rows
     # Shingles of one set only come first in both orders and lead nowhere; they are only counted.
     alone = F.col("n_shingles") - F.count("*").over(Window.partitionBy("set_key"))
     by_frequency = Window.partitionBy("set_key").orderBy("df", "token")
@@ -363,6 +366,7 @@ def _classes(
         ),
         "prefixes",
     )
+    counted.drop()
     by_first = prefixes.select("set_key", F.explode("first").alias("token"))
     by_second = prefixes.select("set_key", F.explode("second").alias("token"))
     cells = _groups(by_second, stored(_groups(by_first, None), "cells"))
