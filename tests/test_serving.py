@@ -177,7 +177,9 @@ def test_rows_written_later_survive_compaction(spark, tmp_path):
 
 
 def test_an_unreadable_log_raises(spark, tmp_path):
-    (tmp_path / "realtime" / "versions").mkdir(parents=True)
+    batch = tmp_path / "realtime" / "log" / "stream=main" / "batch_id=0"
+    batch.mkdir(parents=True)
+    (batch / "part-0.parquet").write_bytes(b"no rows")
     with pytest.raises(Exception):
         serving.read_serving(spark, str(tmp_path), "realtime").count()
 

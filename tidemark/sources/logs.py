@@ -1,28 +1,26 @@
-"""Append-only Parquet logs: keyed by stream and batch, safe to replay, folded by compaction.
+"""Append-only Parquet logs: folders by stream and batch, safe to replay, compacted by a plain job.
 
 A batch writes the partition ``log/stream=<s>/batch_id=<n>`` and replaces exactly that partition when
-it runs again; a stream that starts anew has another id and replaces nothing of the old one. Every
-write carries a fresh ``write_id``. Compaction writes a new ``base/<step>`` folder and then one
-``versions`` file that names the writes it has folded; readers take the newest base, without the
-batches that were written again since, and every write that is not folded. So membership is exact:
-an old date, a rerun or a low batch id is visible after compaction like any other. Nothing is
-rewritten in place, and a lost executor or a failed job leaves the current version readable.
+it runs again; a stream that starts anew has another id and replaces nothing of the old one.
+Compaction is a Spark job over two tables: it writes all rows as few large files to
+``compacted/<n>/rows`` and the files it has taken in, as rows, to ``compacted/<n>/taken``. Spark gives
+every write files of new names, so readers take the newest compacted rows, without the batches that
+were written again since, and the log's files that are not among the taken ones: two anti joins, and
+nothing of it on the driver. An old date, a rerun or a low batch id is visible after compaction like
+any other. Nothing is rewritten in place, and a lost executor or a failed job leaves what was readable.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_WRITE = ["stream", "batch_id", "write_id"]
-_VERSION = (
-    "step bigint, location string, "
-    "folded array<struct<stream: string, batch_id: bigint, write_id: string>>"
-)
+_BATCH = ["stream", "batch_id"]
+_FILE = [*_BATCH, "file"]
+_TAKEN = "stream string, batch_id bigint, file string"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -38,25 +36,21 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 def create_log(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Make an empty log, so that readers may come before the first batch; nothing if it exists."""
-    if path_exists(spark, f"{path}/versions"):
+    if path_exists(spark, f"{path}/log"):
         return
     empty = spark.createDataFrame([], _keyed(schema))
-    empty.write.mode("append").partitionBy("stream", "batch_id").parquet(f"{path}/log")
-    spark.createDataFrame([], _VERSION).write.mode("append").parquet(f"{path}/versions")
+    empty.write.mode("append").partitionBy(*_BATCH).parquet(f"{path}/log")
 
 
 def with_batch(schema: T.StructType) -> T.StructType:
-    rest = [f for f in schema if f.name not in _WRITE]
+    rest = [f for f in schema if f.name not in _BATCH]
     return T.StructType([*rest, T.StructField("batch_id", T.LongType())])
 
 
 def _keyed(schema: T.StructType) -> T.StructType:
-    rest = [f for f in schema if f.name not in _WRITE]
-    keys = [
-        T.StructField("write_id", T.StringType()),
-        T.StructField("stream", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
+    rest = [f for f in schema if f.name not in _BATCH]
+    # Stream ids and batch ids are folder names; their types come from here.
+    keys = [T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())]
     return T.StructType([*rest, *keys])
 
 
@@ -71,7 +65,6 @@ def append_batch(
     seen = Observation()
     rows = df.withColumns(
         {
-            "write_id": F.lit(uuid.uuid4().hex),
             "stream": F.lit(stream),
             "batch_id": F.lit(batch_id).cast("bigint"),
         }
@@ -82,7 +75,7 @@ def append_batch(
         rows.observe(seen, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("stream", "batch_id")
+        .partitionBy(*_BATCH)
         .parquet(f"{path}/log")
     )
     return seen.get["n"]
@@ -96,35 +89,41 @@ def read_batch(
     return rows.select(*[f.name for f in schema])
 
 
-def _current(spark: SparkSession, path: str):
-    versions = spark.read.schema(_VERSION).parquet(f"{path}/versions")
-    return versions.orderBy(F.col("step").desc()).select("step", "location").first()
+def _newest(spark: SparkSession, path: str) -> int | None:
+    """The number of the newest compaction that was written whole."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/compacted/*/taken/_SUCCESS")
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where)
+    steps = [int(f.getPath().getParent().getParent().getName()) for f in found or []]
+    return max(steps, default=None)
 
 
-def _folded(spark: SparkSession, path: str, step: int) -> DataFrame:
-    versions = spark.read.schema(_VERSION).parquet(f"{path}/versions")
-    return versions.where(F.col("step") == step).select(F.inline("folded"))
+def _taken(spark: SparkSession, path: str, step: int) -> DataFrame:
+    return spark.read.schema(_TAKEN).parquet(f"{path}/compacted/{step}/taken")
 
 
-def _all_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    keyed = _keyed(schema)
-    # Stream ids and batch ids are folder names; their types come from the schema.
-    log = spark.read.schema(keyed).parquet(f"{path}/log")
-    current = _current(spark, path)
-    if current is None:
-        return log
-    fresh = log.join(_folded(spark, path, current["step"]), _WRITE, "left_anti")
-    again = fresh.select("stream", "batch_id").distinct()
-    base = spark.read.schema(keyed).parquet(current["location"])
-    kept = base.join(again, ["stream", "batch_id"], "left_anti")
-    return kept.unionByName(fresh)
+def _log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The log's rows with their files; what is listed now is what the frame reads, always."""
+    rows = spark.read.schema(_keyed(schema)).parquet(f"{path}/log")
+    return rows.withColumn("file", F.col("_metadata.file_name"))
+
+
+def _all_rows(log: DataFrame, path: str, schema: T.StructType, step: int | None) -> DataFrame:
+    if step is None:
+        return log.drop("file")
+    spark = log.sparkSession
+    fresh = log.join(_taken(spark, path, step), _FILE, "left_anti")
+    again = fresh.select(*_BATCH).distinct()
+    compacted = spark.read.schema(_keyed(schema)).parquet(f"{path}/compacted/{step}/rows")
+    return compacted.join(again, _BATCH, "left_anti").unionByName(fresh.drop("file"))
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All rows. A log that was never created has none; one that can't be read raises."""
-    if not path_exists(spark, f"{path}/versions"):
+    if not path_exists(spark, f"{path}/log"):
         return spark.createDataFrame([], with_batch(schema))
-    rows = _all_rows(spark, path, schema)
+    # Looked up before the log is listed: a batch that comes in between is then in the log.
+    step = _newest(spark, path)
+    rows = _all_rows(_log(spark, path, schema), path, schema, step)
     return rows.select(*[f.name for f in with_batch(schema)])
 
 
@@ -135,55 +134,45 @@ def compact(
     fold: Callable[[DataFrame], DataFrame] | None = None,
     files: int | None = None,
 ) -> str | None:
-    """Fold base and log into few large files, range-partitioned and sorted by account.
+    """Write all rows as few large files, range-partitioned and sorted by account.
 
     ``fold`` may drop rows on the way (superseded, expired or deleted ones) and keeps the columns.
     Range partitioning on (account_id, batch_id) also splits an account that fills many files.
-    Returns the new location.
+    Batches that arrive meanwhile stay in the log; one that is written again meanwhile ends the job
+    without effect. Returns the folder of the rows, or None for an empty log.
     """
-    current = _current(spark, path)
-    keyed = _keyed(schema)
-    log = spark.read.schema(keyed).parquet(f"{path}/log")
-    # Fixed now: batches that arrive while this runs are not among these and stay in the log.
-    writes = log.select(*_WRITE).distinct().collect()  # one row per stored batch
-    if not writes and current is None:
+    step = _newest(spark, path)
+    log = _log(spark, path, schema)
+    if step is None and log.isEmpty():
         return None
-    folded = spark.createDataFrame([tuple(w) for w in writes], log.select(*_WRITE).schema)
-    rows = _all_rows(spark, path, schema)
-    if current is not None:
-        earlier = _folded(spark, path, current["step"])
-        fresh = rows.join(folded.join(earlier, _WRITE, "left_anti"), _WRITE, "left_semi")
-        again = fresh.select("stream", "batch_id").distinct()
-        base = spark.read.schema(keyed).parquet(current["location"])
-        rows = base.join(again, ["stream", "batch_id"], "left_anti").unionByName(fresh)
-    else:
-        rows = rows.join(folded, _WRITE, "left_semi")
+    rows = _all_rows(log, path, schema, step)
     if fold is not None:
         rows = fold(rows)
-    step = 0 if current is None else current["step"] + 1
-    location = f"{path}/base/{step}"
+    target = f"{path}/compacted/{0 if step is None else step + 1}"
     keys = [F.col("account_id"), F.col("batch_id")]
     parted = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
-    parted.sortWithinPartitions("account_id", "batch_id").write.mode("overwrite").parquet(location)
-    version = spark.createDataFrame([(step, location, [tuple(w) for w in writes])], _VERSION)
-    version.coalesce(1).write.mode("append").parquet(f"{path}/versions")
-    return location
+    parted = parted.sortWithinPartitions("account_id", "batch_id")
+    parted.write.mode("overwrite").parquet(f"{target}/rows")
+    # Written last: a compaction counts once its taken files are known.
+    log.select(*_FILE).distinct().write.mode("overwrite").parquet(f"{target}/taken")
+    return f"{target}/rows"
 
 
 def remove_folded(spark: SparkSession, path: str) -> int:
-    """Delete batches that the newest base has taken in, and older bases; returns how many batches.
+    """Delete batches that the newest compaction has taken in, and older ones; returns how many batches.
 
     Run it when no reader is left that began before the last compaction. A batch that was written
-    again since is another write and stays.
+    again since has other files and stays.
     """
-    current = _current(spark, path)
-    if current is None:
+    step = _newest(spark, path)
+    if step is None:
         return 0
-    log = spark.read.schema("write_id string, stream string, batch_id bigint").parquet(f"{path}/log")
-    stored = log.select(*_WRITE).distinct()
-    folded = stored.join(_folded(spark, path, current["step"]), _WRITE, "left_semi").collect()
-    for write in folded:  # one folder each
-        remove_path(spark, f"{path}/log/stream={write['stream']}/batch_id={write['batch_id']}")
-    for step in range(current["step"]):
-        remove_path(spark, f"{path}/base/{step}")
-    return len(folded)
+    stored = _log(spark, path, T.StructType([])).select(*_FILE).distinct()
+    folded = stored.join(_taken(spark, path, step), _FILE, "left_semi").select(*_BATCH).distinct()
+    n = 0
+    for batch in folded.toLocalIterator():  # one folder each
+        remove_path(spark, f"{path}/log/stream={batch['stream']}/batch_id={batch['batch_id']}")
+        n += 1
+    for earlier in range(step):
+        remove_path(spark, f"{path}/compacted/{earlier}")
+    return n
