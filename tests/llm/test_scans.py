@@ -355,3 +355,43 @@ def test_close_copies_of_a_notice_are_all_counted(docs_of):
     }
     assert {k: v for k, v in got.items() if k in want} == want
     assert got == want
+
+
+def test_licenses_of_a_family_are_told_apart(docs_of):
+    rng = random.Random(5)
+    texts = licenses.all_templates()
+    assert {
+        "bsd-2-clause-text", "bsd-3-clause-text", "gpl-2.0-text", "gpl-3.0-text", "lgpl-2.1-text",
+        "lgpl-3.0-text", "gpl-3.0-header", "lgpl-3.0-header", "agpl-3.0-header", "isc-text", "mit-text",
+    } <= set(texts)
+    telling = {"lesser", "affero", "library", "program", "apache", "general"}
+
+    def noise(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows, want = [], {}
+    for name, text in sorted(texts.items()):
+        words = licenses.normal(text).decode().split()
+        plain = [i for i, w in enumerate(words) if len(w) > 4 and w not in telling]
+        for share in (0, 0.05):
+            copy = list(words)
+            for i in rng.sample(plain, int(share * len(words))):
+                copy[i] = f"x{i}"
+            lines = [" ".join(copy[i : i + 9]) for i in range(0, len(copy), 9)]
+            for marks in ("", "// "):
+                body = "".join(f"{marks}{line}\n" for line in lines)
+                rows.append((len(rows), " ".join(noise(60)) + "\n" + body + " ".join(noise(60))))
+                want[len(rows) - 1, name] = 1
+    got = licenses.licenses(docs_of(rows)).collect()
+    assert {(r.doc_id, r.license): r.n_found for r in got} == want
+    changed = {(d, n) for d, n in want if d % 4 > 1 and len(licenses.normal(texts[n]).split()) >= 20}
+    assert all((r.coverage == 1) == ((r.doc_id, r.license) not in changed) for r in got)
+
+
+def test_a_long_license_needs_its_runs(docs_of):
+    text = licenses.all_templates()["mpl-2.0-text"]
+    words = licenses.normal(text).decode().split()
+    random.Random(9).shuffle(words)  # its words, not the license
+    rows = [(1, " ".join(words)), (2, text + " and again " + text), (3, " ".join(text.split()[:900]))]
+    got = {(r.doc_id, r.license): r.n_found for r in licenses.licenses(docs_of(rows)).collect()}
+    assert got == {(2, "mpl-2.0-text"): 2}

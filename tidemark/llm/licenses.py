@@ -4,8 +4,10 @@ A template's words are aligned with a stretch of text: words that are unique in
 the longest increasing run of anchors is kept, and each gap between kept anchors is aligned in the
 same way, where more words have become unique. Coverage is the aligned share of the template.
 
+The templates are notices (TEMPLATES) and the public texts and file headers in the folder templates.
 A text may hold a notice several times, which leaves no unique words, so it is first cut into
-stretches around seeds (SEED words in a row that a template has); stretches further apart than the
+stretches around seeds (SEED words in a row that a template has; LONG_SEED for templates of over LONG
+words, of whose seeds a tenth must stand in a stretch); stretches further apart than the
 template is long are aligned on their own. Within a stretch a copy's seeds agree on where it begins
 (place in the text less place in the template), so each such beginning is aligned alone in a window
 of about one template. Of overlapping alignments the one with the fewest words missing or inserted
@@ -17,8 +19,9 @@ stand; no shuffle, templates are a parameter of fixed size.
 
 Defined results: null and empty texts, and templates without words, give no rows; every row of the
 input is scanned, repeats included; a null id stays null; the best coverage per license is returned
-with its number of stretches; a stretch that a better covered license overlaps is left to that one,
-equal coverages are both returned, and the earlier stretch stands for several; other columns are left
+with its number of stretches; a stretch that overlaps one in which a license has more words aligned (or
+as many and a better coverage) is left to that one, so a longer license is not reported as a shorter one
+that it contains; equals are both returned, and the earlier stretch stands for several; other columns are left
 out.
 """
 
@@ -27,6 +30,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from importlib import resources
 from itertools import groupby
 
 import numpy as np
@@ -37,6 +41,9 @@ from tidemark.llm.textkit import shingles, word_hashes
 
 COVERAGE = 0.8
 SEED = 2
+LONG = 200  # words of a template from which seeds are longer
+LONG_SEED = 4
+LONG_SHARE = 0.1
 
 # Fixed texts: license notices as they are commonly written.
 TEMPLATES = {
@@ -64,6 +71,14 @@ TEMPLATES = {
     ),
 }
 
+
+def all_templates() -> dict[str, str]:
+    """The notices, and the public license texts and headers of the folder templates."""
+    files = resources.files(__package__).joinpath("templates").iterdir()
+    texts = {f.name[: -len(".txt")]: f.read_text("utf-8") for f in files if f.name.endswith(".txt")}
+    return {**texts, **TEMPLATES}
+
+
 # ASCII letters in lower case, digits and bytes beyond ASCII stay; the rest parts words.
 _NORMAL = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32
@@ -126,14 +141,43 @@ class _Template:
     def __init__(self, name: str, text: str):
         self.name = name
         self.words = next(word_hashes([normal(text)]))[1]
-        own = shingles(self.words, min(SEED, max(1, len(self.words))))
+        width = LONG_SEED if len(self.words) > LONG else SEED
+        self.width = min(width, max(1, len(self.words)))
+        own = shingles(self.words, self.width)
         self.order = np.argsort(own, kind="stable")  # places of seeds, by seed
         self.placed = own[self.order]
-        self.seeds = np.unique(own)
-        self.vocabulary = np.unique(self.words)
+        self.least_hits = LONG_SHARE * len(own) if len(self.words) > LONG else 1
         self.pattern = self.words.tolist()
 
 
+class _Lookup:
+    """Values that several templates have, looked up once for all of them."""
+
+    def __init__(self, sets: dict[str, np.ndarray]):
+        self.values = np.unique(np.concatenate(list(sets.values())))
+        self.of = {}
+        for name, own in sets.items():
+            self.of[name] = np.zeros(len(self.values), bool)
+            self.of[name][np.searchsorted(self.values, own)] = True
+
+    def places(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where values lie in x that any template has, and which they are."""
+        at = np.minimum(np.searchsorted(self.values, x), len(self.values) - 1)
+        where = np.flatnonzero(self.values[at] == x)
+        return where, at[where]
+
+
+class _Templates:
+    def __init__(self, templates: dict[str, str]):
+        found = [_Template(k, v) for k, v in sorted(templates.items())]
+        self.all = [t for t in found if len(t.words)]
+        self.words = _Lookup({t.name: t.words for t in self.all}) if self.all else None
+        widths = {t.width for t in self.all}
+        self.seeds = {
+            w: _Lookup({t.name: t.placed for t in self.all if t.width == w}) for w in widths
+        }
+
+
 def _stretches(hits: np.ndarray, reach: int, n: int) -> Iterator[tuple[int, int]]:
     """Word ranges around groups of hits; groups are further than reach apart."""
     cuts = np.flatnonzero(np.diff(hits) > reach) + 1
@@ -141,34 +185,39 @@ def _stretches(hits: np.ndarray, reach: int, n: int) -> Iterator[tuple[int, int]
         yield max(0, int(group[0]) - reach), min(n, int(group[-1]) + reach + 1)
 
 
-def scan(words: np.ndarray, templates: list[_Template], least: float) -> Iterator[tuple]:
+def scan(words: np.ndarray, templates: _Templates, least: float) -> Iterator[tuple]:
     """(license, coverage, first word, word after the last, stretches) of what a text holds."""
-    if len(words) < 1:
+    if len(words) < 1 or not templates.all:
         return
-    by_length: dict[int, np.ndarray] = {}
-    matches: list[tuple] = []  # (coverage, first word, word after the last, license)
-    for t in templates:
-        width = min(SEED, len(t.words))
-        if width not in by_length:
-            by_length[width] = shingles(words, width)
-        at = np.searchsorted(t.seeds, by_length[width])
-        hits = np.flatnonzero(t.seeds[np.minimum(at, len(t.seeds) - 1)] == by_length[width])
-        if not len(hits):
+    known, which = templates.words.places(words)
+    seeds: dict[int, tuple] = {}
+    matches: list[tuple] = []  # (aligned words, coverage, first word, word after the last, license)
+    for t in templates.all:
+        need = least * len(t.words)
+        if len(known) < need:
             continue
-        place = np.searchsorted(t.vocabulary, words)
-        known = t.vocabulary[np.minimum(place, len(t.vocabulary) - 1)] == words
-        sums = np.append(0, np.cumsum(known))
-        if sums[-1] < least * len(t.words):
+        own = known[templates.words.of[t.name][which]]
+        if len(own) < need:
             continue
+        if t.width not in seeds:
+            runs = shingles(words, t.width)
+            seeds[t.width] = runs, *templates.seeds[t.width].places(runs)
+        runs, at, seed = seeds[t.width]
+        hits = at[templates.seeds[t.width].of[t.name][seed]]
+        if not len(hits):
+            continue
+        is_known = np.zeros(len(words), np.int64)
+        is_known[own] = 1
+        sums = np.append(0, np.cumsum(is_known))
         for a, b in _stretches(hits, len(t.words), len(words)):
-            if sums[b] - sums[a] >= least * len(t.words):
-                inside = hits[(hits >= a) & (hits < b)]
-                found = _copies(words, by_length[width], inside, a, b, t, sums, least)
-                matches.extend((c, lo, hi, t.name) for c, lo, hi in found)
-    kept = _undisputed(sorted(matches, key=lambda m: (-m[0], m[1], m[3])))
-    found = Counter(m[3] for m in kept)
+            inside = hits[(hits >= a) & (hits < b)]
+            if sums[b] - sums[a] >= need and len(inside) >= t.least_hits:
+                found = _copies(words, runs, inside, a, b, t, sums, least)
+                matches.extend((round(c * len(t.words)), c, lo, hi, t.name) for c, lo, hi in found)
+    kept = _undisputed(sorted(matches, key=lambda m: (-m[0], -m[1], m[2], m[4])))
+    found = Counter(m[4] for m in kept)
     seen: set[str] = set()
-    for coverage, first, last, name in kept:  # the best of each license comes first
+    for _, coverage, first, last, name in kept:  # the best of each license comes first
         if name not in seen:
             seen.add(name)
             yield name, coverage, first, last, found[name]
@@ -254,13 +303,13 @@ def _undisputed(matches: list[tuple]) -> list[tuple]:
     kept: list[tuple] = []
     starts: list[int] = []
     ends: list[int] = []  # disjoint ranges of all better matches, in order
-    for _, group in groupby(matches, key=lambda m: m[0]):
+    for _, group in groupby(matches, key=lambda m: m[:2]):
         group = list(group)
         for m in group:
-            at = bisect_left(ends, m[1] + 1)
-            if at == len(starts) or starts[at] >= m[2]:
+            at = bisect_left(ends, m[2] + 1)
+            if at == len(starts) or starts[at] >= m[3]:
                 kept.append(m)
-        ranges = sorted([*zip(starts, ends), *((m[1], m[2]) for m in group)])
+        ranges = sorted([*zip(starts, ends), *((m[2], m[3]) for m in group)])
         starts, ends = [], []
         for a, b in ranges:
             if ends and a <= ends[-1]:
@@ -282,13 +331,16 @@ def _windows(a: int, b: int, length: int) -> Iterator[tuple[int, int]]:
 
 
 def licenses(
-    docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = COVERAGE
+    docs: DataFrame, templates: dict[str, str] | None = None, least: float = COVERAGE
 ) -> DataFrame:
-    """doc_id, license, coverage, first_word, last_word, n_found of each license in each row."""
+    """doc_id, license, coverage, first_word, last_word, n_found of each license in each row.
+
+    templates: texts by name, of a fixed size; by default all that the library has.
+    """
+    texts = all_templates() if templates is None else templates
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [_Template(k, v) for k, v in sorted(templates.items())]
-        known = [t for t in known if len(t.words)]
+        known = _Templates(texts)
         for b in batches:
             raw = [normal(t.as_py()) for t in b.column(1)]
             out = [(i, *row) for i, w in word_hashes(raw) for row in scan(w, known, least)]
