@@ -95,6 +95,37 @@ def test_recall_of_the_query(spark, folder):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_clustered_vectors_need_a_small_share(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    centers = rng.normal(size=(40, 16))
+    rows = [(i, (centers[i % 40] + 0.1 * rng.normal(size=16)).tolist()) for i in range(2000)]
+    shares = []
+    measure = multi_index.needed_share
+    monkeypatch.setattr(
+        multi_index, "needed_share", lambda *a: shares.append(measure(*a)) or shares[-1]
+    )
+    want = brute_nearest(rows, 50, 5)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    for r in multi_index.nearest(df, query_block=7, block=300).collect():
+        got[r.query_id].add(r.vec_id)
+    assert sum(len(got[q] & set(ids)) for q, ids in want.items()) >= 0.9 * 5 * len(want)
+    assert shares[-1] < 0.2
+    assert multi_index.centroids_for(10) == 32 and multi_index.centroids_for(10**6) == 141
+    assert multi_index.centroids_for(10**12) == 512
+
+
+def test_more_centroids_than_a_word_has_bits(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = multi_index.nearest(df, every=20, centroids=150, share=1.0, block=9, query_block=4)
+    found = defaultdict(list)
+    for r in got.orderBy("query_id", "rank").collect():
+        found[r.query_id].append(r.vec_id)
+    assert dict(found) == brute_nearest(rows, 20, 5)
+
+
 def test_traversal_goes_by_summed_distance():
     rng = np.random.default_rng(5)
     a, b, counts = rng.random(7), rng.random(9), rng.integers(0, 5, (7, 9))

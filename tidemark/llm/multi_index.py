@@ -5,13 +5,17 @@ half give K * K cells. A query walks over pairs of centroids in the order of sum
 from a heap, until the cells hold a given share of all vectors; entries of those cells are reranked
 by the exact measure.
 
-Centroids are fitted on a bounded sample (SAMPLE rows by hash order); every vector is indexed. Cell
-counts are K * K numbers. Vectors and probes meet per first-half centroid, in blocks of bounded size
-on either side, and each block returns only its best per query, so no pair is ever a row.
-
-Recall: on vectors without structure, as in the given table, neighbours are hardly nearer than the
-rest, so a large share must be walked over; SHARE is set for a recall of at least 0.9 there. On
-clustered vectors a small share does.
+Centroids are fitted on a bounded sample (SAMPLE rows by hash order); every vector is indexed. K grows
+with the root of the table, from 32 to 512. Cell counts are K * K numbers. Vectors and probes meet per
+first-half centroid, in blocks: BLOCK vectors against up to QUERY_BYTES of probes, compared in tiles. A
+vector is copied once per block of the probes that visit its centroid and a probe once per block of
+vectors. Each block returns only its best per query, so no pair is ever a row.
+
+Recall: the share to walk over is measured, not given. For MEASURED vectors of the sample the exact
+nearest others of the sample are looked up, and the share is the least that reaches RECALL of them.
+Neighbours in a sample are further away than those in the table, so the measure is on the safe side. On
+vectors without structure, as in the given table, it is about half of all; there finer cells only copy
+probes more often, so beyond COARSE the least K is taken. On clustered vectors it is a few hundredths.
 
 Defined results: vectors that are null, zero, of another length than most, or with null or
 non-finite components take no part; equal scores go to the smaller id; a query with fewer
@@ -23,20 +27,25 @@ ids take no part; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
-CENTROIDS = 32  # a half; at most 63, as a query's cells of one first half are the bits of a long
+LEAST_CENTROIDS, MOST_CENTROIDS = 32, 512  # a half
+PER_CELL = 50  # vectors of an average cell, until MOST_CENTROIDS is reached
 SAMPLE = 20_000
-SHARE = 0.6
+RECALL = 0.95  # of the neighbours within the sample
+MEASURED = 256
+COARSE = 0.25
 BLOCK = 8192  # vectors compared at once
-QUERY_BLOCK = 1024
+QUERY_BYTES = 32 << 20  # probes compared with one block
+TILE = 256
 
 _HITS = "query_id long, vec_id long, score double"
 
@@ -97,6 +106,34 @@ def probed(first: np.ndarray, second: np.ndarray, counts: np.ndarray, wanted: in
     return bits
 
 
+def centroids_for(total: int) -> int:
+    return max(LEAST_CENTROIDS, min(MOST_CENTROIDS, round((total / PER_CELL) ** 0.5)))
+
+
+def needed_share(x: np.ndarray, first: np.ndarray, second: np.ndarray, k: int) -> float:
+    """The least share of all vectors to walk over that reaches RECALL of the k nearest others.
+
+    x: distinct unit vectors of the sample.
+    """
+    half, n = first.shape[1], len(x)
+    if n <= k + 1:
+        return 1.0
+    d1, d2 = _distances(x[:, :half], first), _distances(x[:, half:], second)
+    cell = d1.argmin(axis=1) * len(second) + d2.argmin(axis=1)
+    counts = np.bincount(cell, minlength=len(first) * len(second))
+    reached = []
+    for i in np.random.default_rng(7).permutation(n)[:MEASURED].tolist():
+        near = x @ x[i]
+        near[i] = -np.inf
+        best = np.argpartition(near, n - k)[n - k :]
+        order = np.argsort((d1[i][:, None] + d2[i]).ravel(), kind="stable")
+        before = np.empty_like(counts)  # vectors walked over before a cell's turn
+        before[order] = np.cumsum(counts[order]) - counts[order]
+        reached.extend(before[cell[best]].tolist())
+    reached.sort()
+    return min(1.0, (reached[math.ceil(RECALL * len(reached)) - 1] + 1) / n)
+
+
 def _usable(vectors: DataFrame) -> DataFrame:
     good = F.forall(
         "embedding",
@@ -124,15 +161,17 @@ def _rerank(k: int):
             q, x = _matrix(queries.column("embedding")), _matrix(entries.column("embedding"))
             # The same row has the same length and product wherever it lies: ties stay ties.
             q_unit, x_unit = _unit(q), _unit(x)
-            rough = q_unit @ x_unit.T
             q_ids = queries.column("query_id").to_numpy()
             x_ids = entries.column("vec_id").to_numpy()
-            bits = queries.column("bits").to_numpy()
-            second = entries.column("c2").to_numpy().astype(np.int64)
+            bits = queries.column("bits").to_pylist()
+            second = entries.column("c2").to_numpy()
             for i, query_id in enumerate(q_ids.tolist()):
-                at = np.flatnonzero(((bits[i] >> second) & 1 != 0) & (x_ids != query_id))
+                if i % TILE == 0:
+                    rough = q_unit[i : i + TILE] @ x_unit.T
+                visited = np.unpackbits(np.frombuffer(bits[i], np.uint8), bitorder="little")
+                at = np.flatnonzero((visited[second] != 0) & (x_ids != query_id))
                 if len(at) > k:
-                    near = rough[i, at]
+                    near = rough[i % TILE, at]
                     edges = np.flatnonzero(np.append(True, np.diff(x_ids[at]) != 0))
                     tops = np.maximum.reduceat(near, edges)  # one for each id
                     if len(tops) > k:
@@ -155,13 +194,16 @@ def nearest(
     vectors: DataFrame,
     every: int = 50,
     k: int = 5,
-    centroids: int = CENTROIDS,
-    share: float = SHARE,
+    centroids: int | None = None,
+    share: float | None = None,
     sample: int = SAMPLE,
     block: int = BLOCK,
-    query_block: int = QUERY_BLOCK,
+    query_block: int | None = None,
 ) -> DataFrame:
-    """The k nearest of each row whose vec_id is divisible by every: query_id, rank, vec_id, score."""
+    """The k nearest of each row whose vec_id is divisible by every: query_id, rank, vec_id, score.
+
+    centroids and share are taken from the table unless given.
+    """
     usable = _usable(vectors)
     lengths = usable.groupBy(F.size("embedding").alias("n")).count()
     most = lengths.orderBy(F.desc("count"), "n").limit(1).toArrow()
@@ -180,8 +222,19 @@ def nearest(
     fitted = picked.select("embedding", usable_hash.alias("h")).toArrow().sort_by("h")
     x = _unit(_matrix(fitted.column("embedding").slice(0, sample)))
     half = max(1, dim // 2)
-    first = fit_centroids(x[:, :half], centroids)
-    second = fit_centroids(x[:, half:], centroids) if dim > 1 else np.zeros((1, 0))
+
+    def fitted_halves(k: int) -> tuple[np.ndarray, np.ndarray]:
+        other = fit_centroids(x[:, half:], k) if dim > 1 else np.zeros((1, 0))
+        return fit_centroids(x[:, :half], k), other
+
+    distinct = np.unique(x, axis=0) if share is None else x
+    fine = centroids or centroids_for(total)
+    first, second = fitted_halves(fine)
+    walked = needed_share(distinct, first, second, k) if share is None else share
+    if share is None and centroids is None and walked > COARSE and fine > LEAST_CENTROIDS:
+        first, second = fitted_halves(LEAST_CENTROIDS)
+        walked = needed_share(distinct, first, second, k)
+    width = -(-len(second) // 8)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -204,7 +257,6 @@ def nearest(
     cells = per_id.groupBy("c1", "c2").agg(
         F.count(F.lit(1)).alias("ids"),
         F.sum("count").alias("rows"),
-        F.sum(F.when(F.col("vec_id") % every == 0, F.col("count")).otherwise(0)).alias("asked"),
     ).toArrow()
     at = cells.column("c1").to_numpy(), cells.column("c2").to_numpy()
     counts = np.zeros((len(first), len(second)), np.int64)
@@ -213,7 +265,7 @@ def nearest(
     sizes[at] = cells.column("rows").to_numpy()
     # Ids in several cells are counted in each, so that many more are needed for k others.
     again = int(counts.sum()) - index.select("vec_id").distinct().count()
-    target = max(int(share * counts.sum()), k + 1 + again)
+    target = max(math.ceil(walked * int(counts.sum())), k + 1 + again)
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -222,7 +274,7 @@ def nearest(
             u = _unit(_matrix(b.column(1)))
             d1, d2 = _distances(u[:, :half], first), _distances(u[:, half:], second)
             rows = [
-                (i, c, bits)
+                (i, c, bits.to_bytes(width, "little"))
                 for i in range(b.num_rows)
                 for c, bits in enumerate(probed(d1[i], d2[i], counts, target))
                 if bits
@@ -233,30 +285,36 @@ def nearest(
                     b.column(0).take(at),
                     b.column(1).take(at),
                     pa.array([r[1] for r in rows], pa.int32()),
-                    pa.array([r[2] for r in rows], pa.int64()),
+                    pa.array([r[2] for r in rows], pa.binary()),
                 ],
                 ["query_id", "embedding", "c1", "bits"],
             )
 
     asked = index.where(F.col("vec_id") % every == 0).select("vec_id", "embedding")
-    asking = asked.mapInArrow(probes, f"query_id long, embedding {kind}, c1 int, bits long")
-
-    # Both sides of a first-half centroid are dealt into blocks; each block of queries meets each
-    # block of entries.
-    n_queries = int(cells.column("asked").to_numpy().sum())
-    q_blocks = max(1, -(-n_queries // query_block))
-    per_first = [max(1, -(-int(n) // block)) for n in sizes.sum(axis=1)]
-    blocks = F.array(*[F.lit(n) for n in per_first])[F.col("c1")]
-    entries = index.withColumns(
+    kinds = f"query_id long, embedding {kind}, c1 int, bits binary"
+    asking = stored(asked.mapInArrow(probes, kinds), "multi-index-probes")
+
+    # Both sides of a first-half centroid are dealt into blocks; each block of probes meets each
+    # block of entries. At most one count for each first-half centroid.
+    visits = asking.groupBy("c1").count().toArrow()
+    n_probes = np.zeros(len(first), np.int64)
+    n_probes[visits.column("c1").to_numpy()] = visits.column("count").to_numpy()
+    at_once = query_block or max(1024, QUERY_BYTES // (8 * dim))
+
+    def blocks(rows: np.ndarray, size: int) -> Column:
+        return F.array(*[F.lit(-(-int(n) // size)) for n in rows])[F.col("c1")]
+
+    entry_blocks, probe_blocks = blocks(sizes.sum(axis=1), block), blocks(n_probes, at_once)
+    entries = index.where(probe_blocks > 0).withColumns(
         {
-            "eb": F.pmod(F.xxhash64("vec_id", "embedding"), blocks.cast("long")).cast("int"),
-            "qb": F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))),
+            "eb": F.pmod(F.xxhash64("vec_id", "embedding"), entry_blocks.cast("long")).cast("int"),
+            "qb": F.explode(F.sequence(F.lit(0), probe_blocks - 1)),
         }
     )
     asking = asking.withColumns(
         {
-            "eb": F.explode(F.sequence(F.lit(0), blocks - 1)),
-            "qb": F.pmod(F.xxhash64("query_id", "embedding"), F.lit(q_blocks)).cast("int"),
+            "eb": F.explode(F.sequence(F.lit(0), entry_blocks - 1)),
+            "qb": F.pmod(F.xxhash64("query_id", "embedding"), probe_blocks.cast("long")).cast("int"),
         }
     )
     keys = ["c1", "eb", "qb"]
