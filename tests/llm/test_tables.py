@@ -214,9 +214,39 @@ def test_shards_of_one_key_get_pages(docs_of):
 
 
 def test_shards_run_without_python(spark, folder):
-    df = queries.op7_sharding(spark, folder)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for df in (queries.op7_sharding(spark, folder), sharding.placed(docs, 50_000)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_documents_lie_whole_in_their_shards(spark, folder, tmp_path):
+    path = str(tmp_path / "shards")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr(
+        "*", "'s' AS shard", "1 AS page", "2 AS hash", "3 AS bytes", "4 AS entry", "5 AS `row`"
+    )
+    docs = docs.unionAll(docs.where("doc_id % 7 = 0"))
+    limit = 20_000
+    sharding.write_shards(docs, path, limit)
+    rows = sharding.read_shards(spark, path, docs.schema)
+    assert sorted(map(repr, rows.select("row.*").collect())) == sorted(map(repr, docs.collect()))
+    seen = rows.selectExpr("shard", "page", "octet_length(row.text) AS n", "input_file_name() AS f")
+    for (shard, page), own in seen.toPandas().groupby(["shard", "page"]):
+        assert f"shard={shard}/page={page}/" in own.f.iloc[0]
+        assert own.f.nunique() == 1 and (own.n.sum() <= limit or len(own) == 1)
+    shards = sorted({r.shard for r in rows.select("shard").distinct().collect()})
+    assert not any(b.startswith(a) for a, b in zip(shards, shards[1:]))
+    assert len({len(x) for x in shards}) > 1  # only oversized buckets split on
+
+
+def test_one_shard_and_no_shard(spark, docs_of, tmp_path):
+    one, none = str(tmp_path / "one"), str(tmp_path / "none")
+    docs = docs_of([(1, "a"), (None, None), (1, "")])
+    sharding.write_shards(docs, one)
+    rows = sharding.read_shards(spark, one, docs.schema).collect()
+    assert len(rows) == 3 and {(r.shard, r.page) for r in rows} == {("", 0)}
+    sharding.write_shards(docs_of([]), none)
+    assert sharding.read_shards(spark, none, docs.schema).count() == 0
 
 
 # Archive.

@@ -4,27 +4,33 @@ A row's hash is 32 bits of the md5 of its key. The directory is indexed by hash
 that exceeds the byte limit splits on one more bit, all others stay as they are, until every shard
 fits. Bytes are summed per prefix of the deepest level tried so far, and the depth of a shard is the
 first at which its prefix fits; only prefixes that are still too large there are counted again with
-more bits. Texts are read once, for their sizes; keys, hashes and sizes are stored and assigned, shuffled
-by prefix, never gathered. The result is an assignment: documents are not written into shards, and rows of
-a repeated or null key that lie on several pages can't be joined back to it.
+more bits. Texts are read twice: once for their sizes, once to be written.
+
+The directory has an entry for each value of the first g bits, 2^g being about the number of shards; an
+entry lists the shards of these bits, one for most, several where buckets split further. Rows look up
+their entry by one equi-join, which the planner broadcasts or shuffles by the directory's size, are dealt
+out by (shard, page) and written to the folder of that name, with all their columns.
 
 A shard of one key (all bits used, or repeated ids) cannot split. It gets overflow pages, as buckets
 of equal hashes do: rows fill pages within (hash, input partition) by running sums, and each such run's pages
-are numbered behind those of the runs before it, so that no task sees a whole group.
+are numbered behind those of the runs before it, so that no task sees a whole group. Such rows are
+shuffled once more than others.
 
 Defined results: null text has 0 bytes; a null key hashes like the empty text; repeated rows are
 placed one by one; a row larger than the limit has a page to itself; an empty table gives no rows;
-other columns are left out.
+columns of any name are kept, as fields of the column row.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import stored
+from tidemark.session import run_dir
 
 LIMIT = 64 << 20
 HASH_BITS = 32
@@ -86,45 +92,51 @@ def directory(sized: DataFrame, limit: int) -> DataFrame:
     return reduce(DataFrame.unionByName, shards).select("prefix", "depth", "bytes", "fits")
 
 
-def shard(docs: DataFrame, limit: int = LIMIT, key: str = "doc_id") -> DataFrame:
-    """key, n_bytes, shard (the bits of its prefix), depth, page and shard_bytes for each row."""
+def _shift(value: Column, bits: Column) -> Column:
+    return F.call_function("shiftright", value, bits.cast("int"))
+
+
+def entries(shards: DataFrame, g: int) -> DataFrame:
+    """The directory by the first g bits: entry and the shards that hold rows of it."""
+    own = F.struct("prefix", "depth", "fits").alias("shard")
+    deeper = F.col("depth") - g
+    low = F.col("prefix") * F.lit(2).cast("long") ** F.greatest(-deeper, F.lit(0))
+    low = low.cast("long")
+    width = (F.lit(2) ** F.greatest(-deeper, F.lit(0))).cast("long")
+    first = F.when(deeper > 0, _shift(F.col("prefix"), F.greatest(deeper, F.lit(0)))).otherwise(low)
+    last = F.when(deeper > 0, first).otherwise(low + width - 1)
+    # A shard of fewer bits than g has several entries, at most 2^g in all.
+    each = shards.select(F.explode(F.sequence(first, last)).alias("entry"), own)
+    return each.groupBy("entry").agg(F.collect_list("shard").alias("shards"))
+
+
+def placed(docs: DataFrame, limit: int = LIMIT, key: str = "doc_id") -> DataFrame:
+    """row (all columns of docs), shard (the bits of its prefix) and page for each row."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    # The row's place in its input tells apart rows that are equal in everything else.
-    sized = stored(
-        docs.select(
-            F.col(key),
-            key_hash(F.col(key)).alias("hash"),
-            size.alias("bytes"),
-            F.monotonically_increasing_id().alias("place"),
-        ),
-        "sized",
+    hashed = key_hash(F.col(key))
+    sized = stored(docs.select(hashed.alias("hash"), size.alias("bytes")), "sized")
+    shards = stored(directory(sized, limit), "shards")
+    # About as many entries as shards, and none deeper than the deepest shard.
+    known = shards.agg(F.count(F.lit(1)), F.max("depth")).first()
+    g = min(max(known[0] - 1, 0).bit_length(), known[1] or 0)
+    # A row's place in its input tells apart rows that are equal in everything else.
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        hashed.alias("hash"),
+        size.alias("bytes"),
+        F.monotonically_increasing_id().alias("place"),
     )
-    shards = stored(directory(sized.select("hash", "bytes"), limit), "shards")
-    depths = [r.depth for r in shards.select("depth").distinct().collect()]  # at most 33 numbers
-    if not depths:
-        depths = [0]
-    # A row belongs to the one shard whose prefix it has: one equi-join over the depths in use.
-    tried = F.array(*[F.lit(d) for d in sorted(depths)])
-    probes = F.transform(
-        tried,
-        lambda d: F.struct(
-            d.alias("depth"),
-            F.call_function("shiftright", F.col("hash"), (F.lit(HASH_BITS) - d).cast("int")).alias(
-                "prefix"
-            ),
-        ),
+    own = F.filter(
+        "shards", lambda x: _shift(F.col("hash"), F.lit(HASH_BITS) - x["depth"]) == x["prefix"]
     )
-    total = F.col("total")
-    placed = (
-        sized.withColumn("probe", F.explode(probes))
-        .select("*", "probe.depth", "probe.prefix")
-        .join(
-            shards.select("prefix", "depth", F.col("bytes").alias("total"), "fits"),
-            ["prefix", "depth"],
-        )
+    found = (
+        rows.withColumn("entry", _prefix(g))
+        .join(entries(shards, g), "entry")
+        .select("row", "hash", "bytes", "place", F.get(own, F.lit(0)).alias("own"))
+        .select("row", "hash", "bytes", "place", "own.prefix", "own.depth", "own.fits")
     )
-    calm = placed.where("fits").withColumn("page", F.lit(0).cast("long"))
-    paged = _paged(placed.where("NOT fits"), limit)
+    calm = found.where("fits").withColumn("page", F.lit(0).cast("long"))
+    paged = _paged(found.where("NOT fits"), limit)
     bits = F.when(F.col("depth") == 0, F.lit("")).otherwise(
         F.substring(
             F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), HASH_BITS, "0"),
@@ -132,13 +144,38 @@ def shard(docs: DataFrame, limit: int = LIMIT, key: str = "doc_id") -> DataFrame
             F.col("depth"),
         )
     )
-    return calm.unionByName(paged.select(calm.columns)).select(
-        key,
-        F.col("bytes").alias("n_bytes"),
-        bits.alias("shard"),
-        "depth",
-        "page",
-        total.alias("shard_bytes"),
+    whole = calm.unionByName(paged.select(calm.columns))
+    return whole.select("row", bits.alias("shard"), "page")
+
+
+def write_shards(
+    docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc_id"
+) -> None:
+    """Write the rows of docs to path/shard=<bits>/page=<n>, a shard's page by one task."""
+    rows = placed(docs, limit, key).repartition("shard", "page")
+    rows.write.partitionBy("shard", "page").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """row, shard and page of what was written; schema: that of the documents."""
+    # Bits are text, not a number; the one shard without bits has a folder without a value.
+    kinds = T.StructType().add("row", schema).add("shard", "string").add("page", "long")
+    rows = spark.read.schema(kinds).parquet(path)
+    return rows.withColumn("shard", F.coalesce("shard", F.lit("")))
+
+
+def shard(docs: DataFrame, limit: int = LIMIT, key: str = "doc_id") -> DataFrame:
+    """key, n_bytes, shard, depth, page and shard_bytes for each row, read from the written shards."""
+    spark = docs.sparkSession
+    path = run_dir(spark, "shards")
+    write_shards(docs, path, limit, key)
+    size = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long")
+    rows = read_shards(spark, path, docs.schema).select(
+        F.col("row")[key].alias(key), size.alias("n_bytes"), "shard", "page"
+    )
+    totals = rows.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"))
+    return rows.join(totals, "shard").select(
+        key, "n_bytes", "shard", F.length("shard").alias("depth"), "page", "shard_bytes"
     )
 
 
