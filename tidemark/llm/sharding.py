@@ -111,13 +111,18 @@ def entries(shards: DataFrame, g: int) -> DataFrame:
 
 
 def placed(docs: DataFrame, limit: int = LIMIT, key: str = "doc_id") -> DataFrame:
-    """row (all columns of docs), shard (the bits of its prefix) and page for each row."""
+    """row (all columns of docs), shard (the bits of its prefix) and page for each row.
+
+    Dealt by (shard, page) to about as many partitions as there are of these, whatever the session's
+    number, so that a task's share doesn't grow with the table.
+    """
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     hashed = key_hash(F.col(key))
     sized = stored(docs.select(hashed.alias("hash"), size.alias("bytes")), "sized")
     shards = stored(directory(sized, limit), "shards")
     # About as many entries as shards, and none deeper than the deepest shard.
-    known = shards.agg(F.count(F.lit(1)), F.max("depth")).first()
+    known = shards.agg(F.count(F.lit(1)), F.max("depth"), F.sum("bytes")).first()
+    parts = max(1, known[0], -(-2 * (known[2] or 0) // limit))
     g = min(max(known[0] - 1, 0).bit_length(), known[1] or 0)
     # A row's place in its input tells apart rows that are equal in everything else.
     rows = docs.select(
@@ -145,15 +150,14 @@ def placed(docs: DataFrame, limit: int = LIMIT, key: str = "doc_id") -> DataFram
         )
     )
     whole = calm.unionByName(paged.select(calm.columns))
-    return whole.select("row", bits.alias("shard"), "page")
+    return whole.select("row", bits.alias("shard"), "page").repartition(parts, "shard", "page")
 
 
 def write_shards(
     docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc_id"
 ) -> None:
     """Write the rows of docs to path/shard=<bits>/page=<n>, a shard's page by one task."""
-    rows = placed(docs, limit, key).repartition("shard", "page")
-    rows.write.partitionBy("shard", "page").parquet(path)
+    placed(docs, limit, key).write.partitionBy("shard", "page").parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
