@@ -329,3 +329,22 @@ def test_pipeline_keeps_clean_documents_and_packs_them(spark, folder):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {
         r.doc_id for r in seen.select("doc_id").collect()
     }
+
+
+def test_rebuilt_records_are_checked_and_other_columns_left_out(spark, tmp_path):
+    rows = [(1, "http://a.example/é", "same é"), (2, None, "same é"), (3, "u", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr(
+        "*", "'x' AS address", "2 AS size", "'y' AS payload", "3 AS n", "'z' AS record", "4 AS header"
+    )
+    archive.write_archive(pages, str(tmp_path / "a"))
+    records = archive.read_records(spark, str(tmp_path / "a"))
+    got = {r.page_id: r for r in archive.summary(records).collect()}
+    assert [got[i].payload_bytes for i in (1, 2, 3)] == [7, 7, 0]
+    assert [(got[i].record_type, got[i].refers_to) for i in (1, 2)] == [("revisit", 2), ("response", None)]
+    plan = archive.summary(records)._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS record#" in plan  # the record is rebuilt, not pruned
+    changed = records.selectExpr(
+        "* EXCEPT (record)", "encode(replace(decode(record, 'UTF-8'), 'same', 'some'), 'UTF-8') AS record"
+    )
+    with pytest.raises(Exception, match="record can't be rebuilt"):
+        archive.summary(changed).collect()
