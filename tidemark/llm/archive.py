@@ -123,13 +123,14 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     joined = said.join(checked, said.address == checked["at"], "left")
     sound = F.coalesce(F.col("sound") & (F.col("sha1") == F.col("payload_digest")), F.lit(False))
     broken = F.raise_error(F.concat(F.lit("payload does not match its digest: "), F.col("address")))
-    body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(
+    verified = F.when(sound, F.col("payload")).otherwise(broken.cast("binary"))
+    body = F.when(F.col("record_type") == "response", verified).otherwise(
         F.lit("").cast("binary")
     )
     return joined.select(
         "page_id",
         "header",
-        F.when(sound, F.col("payload")).otherwise(broken.cast("binary")).alias("payload"),
+        verified.alias("payload"),
         F.concat(
             F.col("header").cast("binary"), body, F.lit(_CRLF + _CRLF).cast("binary")
         ).alias("record"),
