@@ -99,6 +99,15 @@ def test_a_trigger_reads_no_table_of_visits(spark, tmp_path):
     assert progress[-1]["stateOperators"][0]["numRowsUpdated"] == 1
 
 
+def test_merchants_of_an_account_share_a_few_keys_of_state(spark, tmp_path):
+    flags = Flags(spark, tmp_path)
+    query = flags.run([txn(f"e{i:02d}", merchant=f"m{i}", at=minutes(i)) for i in range(40)])
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsUpdated"] <= visits.PARTS
+    flags.run([txn(f"f{i:02d}", merchant=f"m{i}", at=minutes(20)) for i in range(41)])
+    # Up to the 20th minute the merchants are known; after it, what came later is overtaken.
+    assert flags.ids() == [f"e{i:02d}" for i in range(40)] + [f"f{i:02d}" for i in range(21, 41)]
+
+
 @pytest.mark.parametrize("flagged", [True, False])
 def test_the_sink_serves_the_flag_of_the_newest_event(spark, tmp_path, flagged):
     rows = [txn("e1"), txn("e2", at=minutes(5)), txn("e3", account="b", at=minutes(6))]
