@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import daily, hopping, serving, snapshots, staging
+from tidemark.functions.clock import day
+from tidemark.operators import daily, hopping, incremental, serving, snapshots, staging
 from tidemark.operators.quality import EXHAUSTED
 from tidemark.plans import nightly
 from tidemark.plans import queries as q
 from tidemark.plans.queries import query
 from tidemark.session import run_dir, stream_session
 from tidemark.sources import logs, tables
-from tidemark.sources.feature_tables import load_events
+from tidemark.sources.feature_tables import load_events, write_days
 from tidemark.streaming import ingest, panes
 
 KEPT = T.StructType(
@@ -181,9 +182,17 @@ DELTA_DATES = [f"1998-07-{d:02d}" for d in range(20, 30)]
 
 @query
 def nightly_delta(spark: SparkSession, folder: str) -> DataFrame:
-    """Ten dates in a row, each from its own day, the day it retires and the state before it."""
-    paths = nightly.Paths.under(run_dir(spark, "delta"))
-    txns = tables.card_history(spark, folder)
+    """Ten dates in a row, each from its own day, the day it retires and the state before it.
+
+    The source is kept by day first, as a nightly run finds it: every date reads it for four tables.
+    """
+    root = run_dir(spark, "delta")
+    paths = nightly.Paths.under(root)
+    history = tables.card_history(spark, folder)
+    first = F.date_sub(day(DELTA_DATES[0]), incremental.KEPT_DAYS)
+    read = F.col("transaction_date").between(first, day(DELTA_DATES[-1]))
+    write_days(history.where(read), f"{root}/transactions")
+    txns = spark.read.schema(history.schema).parquet(f"{root}/transactions")
     for date in DELTA_DATES:
         nightly.build(spark, txns, paths, date, f"{date} 23:59:59", by_delta=True)
     metrics = [(m, w) for w in daily.WINDOWS for m in ("avg_amount", "txn_count", "distinct_merchants")]
