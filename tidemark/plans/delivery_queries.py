@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -174,20 +175,30 @@ def stream_home_versions(spark: SparkSession, folder: str) -> DataFrame:
 # Stored surfaces.
 
 
-def _surface(spark: SparkSession, folder: str) -> SparkSession:
+def _surface(spark: SparkSession, folder: str, *stored: str) -> SparkSession:
+    """A session with the objects of ``sql_surface``; the tables that a statement reads are stored.
+
+    The others are views over what would be stored, of which nothing is computed.
+    """
     session = spark.newSession()
     q.pin_utc(session)
     root = run_dir(session, "surface")
     rows = q._staged(session, folder)
-    for date in EARLIER_DATES:
-        write_daily(daily.daily_features(rows, date, q.NOW), f"{root}/daily")
-    snapshots_ = q._snaps(session, folder)
-    snapshots_.write.parquet(f"{root}/snapshots")
-    q._served_realtime(session, folder).write.parquet(f"{root}/served")
     read = session.read.parquet
-    sql_surface.register(
-        session, read(f"{root}/daily"), read(f"{root}/snapshots"), read(f"{root}/served")
-    )
+    dated = [daily.daily_features(rows, date, q.NOW) for date in EARLIER_DATES]
+    found = {
+        "daily": reduce(DataFrame.unionByName, dated),
+        "snapshots": q._snaps(session, folder),
+        "served": q._served_realtime(session, folder),
+    }
+    for name in stored:
+        if name == "daily":
+            for features in dated:
+                write_daily(features, f"{root}/daily")
+        else:
+            found[name].write.parquet(f"{root}/{name}")
+        found[name] = read(f"{root}/{name}")
+    sql_surface.register(session, found["daily"], found["snapshots"], found["served"])
     return session
 
 
@@ -205,22 +216,22 @@ SQL_TEXTS = {
 
 @query
 def sql_latest(spark: SparkSession, folder: str) -> DataFrame:
-    return _surface(spark, folder).sql(SQL_TEXTS["sql_latest"])
+    return _surface(spark, folder, "daily").sql(SQL_TEXTS["sql_latest"])
 
 
 @query
 def sql_as_of(spark: SparkSession, folder: str) -> DataFrame:
-    return _surface(spark, folder).sql(SQL_TEXTS["sql_as_of"])
+    return _surface(spark, folder, "snapshots").sql(SQL_TEXTS["sql_as_of"])
 
 
 @query
 def sql_history(spark: SparkSession, folder: str) -> DataFrame:
-    return _surface(spark, folder).sql(SQL_TEXTS["sql_history"])
+    return _surface(spark, folder, "daily", "snapshots").sql(SQL_TEXTS["sql_history"])
 
 
 @query
 def sql_served(spark: SparkSession, folder: str) -> DataFrame:
-    return _surface(spark, folder).sql(SQL_TEXTS["sql_served"])
+    return _surface(spark, folder, "served").sql(SQL_TEXTS["sql_served"])
 
 
 @query
