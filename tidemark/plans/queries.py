@@ -17,7 +17,7 @@ from tidemark.operators.pane_frames import counts_by_pane
 from tidemark.functions.clock import hour_of_day, is_weekend, micros
 from tidemark.functions.keys import route_partition
 from tidemark.functions.numbers import velocity
-from tidemark.session import pin_utc, run_dir, stream_session
+from tidemark.session import pin_utc, run_dir, stream_session, wide_session
 from tidemark.sources import feature_tables, tables
 from tidemark.sources.feature_tables import conform_batch, new_rolling
 from tidemark.sources.messages import publish_frame
@@ -280,12 +280,12 @@ def route_partition_(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def trailing_1h(spark: SparkSession, folder: str) -> DataFrame:
     keep = ["event_id", "account_id", "event_timestamp"]
-    return counts_by_pane(_staged(spark, folder), keep).drop("txn_count_5m")
+    return counts_by_pane(_staged(wide_session(spark), folder), keep).drop("txn_count_5m")
 
 
 @query
 def velocity_5m(spark: SparkSession, folder: str) -> DataFrame:
-    rows = counts_by_pane(_staged(spark, folder), ["event_id", "account_id"])
+    rows = counts_by_pane(_staged(wide_session(spark), folder), ["event_id", "account_id"])
     n5m, n1h = F.col("txn_count_5m"), F.col("txn_count_1h")
     return rows.select(
         "event_id",
@@ -319,6 +319,7 @@ def event_clock(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def realtime_vector(spark: SparkSession, folder: str) -> DataFrame:
+    spark = wide_session(spark)
     homes = tables.profiles(spark, folder)
     return trailing.trailing_features(_staged(spark, folder), homes, counts=counts_by_pane)
 
@@ -582,7 +583,7 @@ def freshness(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def skew_report(spark: SparkSession, folder: str) -> DataFrame:
     """Served hourly totals against the exact trailing hour at each account's newest event."""
-    staged = _staged(spark, folder)
+    staged = _staged(wide_session(spark), folder)
     hot = serving.newest(
         serving.serving_rows(
             hopping.realtime_rows(

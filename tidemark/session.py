@@ -53,6 +53,21 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     return session
 
 
+def wide_session(spark: SparkSession, partitions: int = 1024) -> SparkSession:
+    """A session on the same cluster for queries that multiply and sort rows.
+
+    Shuffles start at many partitions, and adaptive execution merges them up to 16 MB, so a task sorts
+    as much for a small table as for a large one and not a fixed share of all rows.
+    """
+    session = pin_utc(spark.newSession())
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set("spark.sql.shuffle.partitions", str(width))
+    start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    session.conf.set(start, str(max(width, partitions)))
+    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+    return session
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in spark.checkpoint.dir.
 
