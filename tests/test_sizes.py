@@ -44,3 +44,11 @@ def test_pane_queries_start_with_many_partitions(spark, folder, name):
     conf = queries.registered()[name](spark, folder).sparkSession.conf
     assert int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 1024
     assert conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+@pytest.mark.parametrize("name", ["late_rows", "stream_updates", "stream_dedup"])
+def test_a_second_run_copies_state_and_replays_no_changelog(spark, folder, name, monkeypatch, tmp_path):
+    monkeypatch.setattr(stored_queries, "run_dir", lambda spark, name: str(tmp_path / name))
+    assert not getattr(stored_queries, name)(spark, folder).isEmpty()
+    state = tmp_path / "runs" / "ck" / "state"
+    assert list(state.rglob("*.zip")) and not list(state.rglob("*.changelog"))

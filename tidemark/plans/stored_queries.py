@@ -299,7 +299,7 @@ def _two_runs(
 @query
 def late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The first half of the month arrives after the second: all of it is late."""
-    spark = stream_session(spark)
+    spark = stream_session(spark, backlog=True)
     early, late = _halves(spark, folder)
     return _two_runs(spark, [late, early], panes.WATERMARK)
 
@@ -307,7 +307,7 @@ def late_rows(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stream_updates(spark: SparkSession, folder: str) -> DataFrame:
     """Every pane may change in the second run, and then replaces what the first one stored."""
-    spark = stream_session(spark)
+    spark = stream_session(spark, backlog=True)
     rows = q._staged(spark, folder)
     odd = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 1
     return _two_runs(spark, [rows.where(odd), rows.where(~odd)], LONG)
@@ -316,6 +316,6 @@ def stream_updates(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every event arrives in both runs and counts once."""
-    spark = stream_session(spark)
+    spark = stream_session(spark, backlog=True)
     rows = q._staged(spark, folder)
     return _two_runs(spark, [rows, rows], LONG, dedupe=True)

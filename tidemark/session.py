@@ -38,11 +38,23 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+# State for few, large triggers. A changelog costs a write per row and is replayed row by row by every
+# run that starts from it; a snapshot is files that are copied. Rows are not counted, which would look
+# up every key once more before it is put: the progress of such a stream tells no state_rows.
+BACKLOG_SETTINGS = {
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
+
+def stream_session(
+    spark: SparkSession, state_partitions: int | None = None, backlog: bool = False
+) -> SparkSession:
     """A session on the same cluster for stateful streams.
 
     The number of state partitions is fixed by a stream's first run, so it follows the cluster's
-    cores (or the caller) and not the shuffle width that batch queries happen to use.
+    cores (or the caller) and not the shuffle width that batch queries happen to use. ``backlog`` is
+    for streams that take in much at once and start anew on what they hold.
     """
     session = pin_utc(spark.newSession())
     width = state_partitions or spark.sparkContext.defaultParallelism
@@ -50,6 +62,9 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     for key, value in SETTINGS.items():
         if "stateStore" in key:
             session.conf.set(key, value)
+    if backlog:
+        for key, value in BACKLOG_SETTINGS.items():
+            session.conf.set(key, value)
     return session
 
 
