@@ -172,3 +172,18 @@ def test_components_of_chains_stars_and_nothing(spark):
     want = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
     assert {r.node: r.root for r in got} == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_of_shingles_bear_numbers_and_nothing_that_their_set_has_once(docs_of, sentences, monkeypatch):
+    seen = {}
+
+    class Kept(jaccard.Stored):
+        def __init__(self, df, name):
+            seen[name] = df.schema.simpleString()
+            super().__init__(df, name)
+
+    monkeypatch.setattr(jaccard, "Stored", Kept)
+    rows = near_copies(sentences, 7, 40)
+    got = jaccard.linked(docs_of(rows)).collect()
+    assert len(got) == len(rows)
+    assert seen["shared-shingles"] == "struct<token:bigint,set_id:bigint,df:bigint>"

@@ -20,7 +20,7 @@ the task. So no pair is ever a row and no link between different texts is lost.
 out one by one, also those of one group: a group of S texts that the filters cannot part costs S * S / 2
 checks in total, in tasks of one block pair each. Copies with equal sets are one member.
 
-Shingle hashes have 64 bits and set keys 128.
+Shingle hashes have 64 bits and set keys 128; the distinct sets of step 2 and later are numbered.
 
 Defined results: words are runs without ASCII white space, A-Z lower-cased; a text with fewer words
 than the width is one shingle; a text without words has an empty set and links with nothing, its
@@ -194,22 +194,22 @@ def _all_sets(docs: DataFrame, width: int, seen: Bitmap) -> DataFrame:
 
 
 def _groups(prefixes: DataFrame, within: DataFrame | None) -> DataFrame:
-    """set_key, cell: sets that share prefix shingles, directly or over others.
+    """set_id, cell: sets that share prefix shingles, directly or over others.
 
-    prefixes: set_key, token. With within (set_key, cell), only sets of the same cell meet.
+    prefixes: set_id, token. With within (set_id, cell), only sets of the same cell meet.
     """
-    keyed = prefixes.withColumn("cell", F.lit(None).cast("binary"))
+    keyed = prefixes.withColumn("cell", F.lit(None).cast("long"))
     if within is not None:
-        keyed = prefixes.join(within, "set_key")
+        keyed = prefixes.join(within, "set_id")
     centers = (
         keyed.groupBy("cell", "token")
-        .agg(F.min("set_key").alias("center"), F.max("set_key").alias("other"))
+        .agg(F.min("set_id").alias("center"), F.max("set_id").alias("other"))
         .where("center <> other")
         .select(F.col("cell").alias("cell_"), F.col("token").alias("token_"), "center")
     )
     met = F.col("cell").eqNullSafe(F.col("cell_")) & (F.col("token") == F.col("token_"))
-    edges = keyed.join(centers, met).select(F.col("set_key").alias("b"), F.col("center").alias("a"))
-    return components(edges).select(F.col("node").alias("set_key"), F.col("root").alias("cell"))
+    edges = keyed.join(centers, met).select(F.col("set_id").alias("b"), F.col("center").alias("a"))
+    return components(edges).select(F.col("node").alias("set_id"), F.col("root").alias("cell"))
 
 
 def _inverted(lists: list[np.ndarray], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
@@ -278,7 +278,7 @@ def links_within(
 def _links(sets: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
     """Links (a, b) that span the components.
 
-    sets: set_key, cell, n_shingles, shingles, and the prefixes first and second.
+    sets: set_key of any type, cell, n_shingles, shingles, and the prefixes first and second.
     """
     total = sets.groupBy("cell").agg(
         F.count("*").alias("members"), F.sum("n_shingles").alias("held")
@@ -306,6 +306,7 @@ def _links(sets: DataFrame, percent: int, block_sets: int, block_shingles: int)
     )
 
     def verify(group: pa.Table) -> pa.Table:
+        key_type = group.schema.field("set_key").type
         keys = group.column("set_key").to_pylist()
         sets, *prefixes = (
             [s.values.to_numpy() for s in group.column(c)] for c in ("shingles", "first", "second")
@@ -314,13 +315,14 @@ def _links(sets: DataFrame, percent: int, block_sets: int, block_shingles: int)
         found = links_within(sets, prefixes, side, percent) if keys else []
         return pa.table(
             [
-                pa.array([keys[i] for i, _ in found], pa.binary()),
-                pa.array([keys[j] for _, j in found], pa.binary()),
+                pa.array([keys[i] for i, _ in found], key_type),
+                pa.array([keys[j] for _, j in found], key_type),
             ],
             ["a", "b"],
         )
 
-    return dealt.groupBy("pair").applyInArrow(verify, "a binary, b binary")
+    kind = sets.schema["set_key"].dataType.simpleString()
+    return dealt.groupBy("pair").applyInArrow(verify, f"a {kind}, b {kind}")
 
 
 def _classes(
@@ -337,42 +339,54 @@ def _classes(
         rows.where("shingles IS NOT NULL")
         .join(promising.select(F.col("member").alias("short")).distinct(), "short", "left_semi")
         .select("set_key", "n_shingles", "shingles")
-        .dropDuplicates(["set_key"]),
+        .dropDuplicates(["set_key"])
+        # Rows of shingles bear this number, a few bytes when compressed, instead of the key's 16.
+        .withColumn("set_id", F.monotonically_increasing_id()),
         "distinct-sets",
     )
     settled.drop()
-    tokens = distinct.select("set_key", "n_shingles", F.explode("shingles").alias("token"))
+    tokens = distinct.select("set_id", F.explode("shingles").alias("token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     counted = Stored(tokens.join(often, "token"), "shared-shingles")
     shared = counted.rows
-    # Shingles of one set only come first in both orders and lead nowhere; they are only counted.
-    alone = F.col("n_shingles") - F.count("*").over(Window.partitionBy("set_key"))
-    by_frequency = Window.partitionBy("set_key").orderBy("df", "token")
-    by_magnitude = Window.partitionBy("set_key").orderBy(
-        F.floor(F.log2("df")), F.xxhash64("token"), "token"
+    by_set = Window.partitionBy("set_id")
+    by_frequency = by_set.orderBy("df", "token")
+    by_magnitude = by_set.orderBy(F.floor(F.log2("df")), F.xxhash64("token"), "token")
+    placed = shared.select(
+        "set_id",
+        "token",
+        F.count("*").over(by_set).alias("held"),
+        F.row_number().over(by_frequency).alias("first_place"),
+        F.row_number().over(by_magnitude).alias("second_place"),
     )
+    # Shingles of one set only come first in both orders and lead nowhere; they are only counted.
+    alone = F.col("n_shingles") - F.col("held")
     prefix = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
-    ranked = shared.select(
-        "set_key",
+    # The sizes join where the windows have put the rows, which move without them.
+    ranked = placed.join(distinct.select("set_id", "n_shingles"), "set_id").select(
+        "set_id",
         "token",
-        (alone + F.row_number().over(by_frequency) <= prefix).alias("in_first"),
-        (alone + F.row_number().over(by_magnitude) <= prefix).alias("in_second"),
+        (alone + F.col("first_place") <= prefix).alias("in_first"),
+        (alone + F.col("second_place") <= prefix).alias("in_second"),
     ).where("in_first OR in_second")
     # No longer than the set; gathered where the windows have already put it.
     prefixes = stored(
-        ranked.groupBy("set_key").agg(
+        ranked.groupBy("set_id").agg(
             F.collect_list(F.when(F.col("in_first"), F.col("token"))).alias("first"),
             F.collect_list(F.when(F.col("in_second"), F.col("token"))).alias("second"),
         ),
         "prefixes",
     )
     counted.drop()
-    by_first = prefixes.select("set_key", F.explode("first").alias("token"))
-    by_second = prefixes.select("set_key", F.explode("second").alias("token"))
+    by_first = prefixes.select("set_id", F.explode("first").alias("token"))
+    by_second = prefixes.select("set_id", F.explode("second").alias("token"))
     cells = _groups(by_second, stored(_groups(by_first, None), "cells"))
-    sets = distinct.join(cells, "set_key").join(prefixes, "set_key")
+    sets = distinct.drop("set_key").join(cells, "set_id").join(prefixes, "set_id")
+    sets = sets.withColumnRenamed("set_id", "set_key")
     links = _links(sets, percent, block_sets, block_shingles)
-    classes = components(links).withColumnsRenamed({"node": "set_key", "root": "class"})
+    keys = distinct.select(F.col("set_id").alias("node"), "set_key")
+    roots = distinct.select(F.col("set_id").alias("root"), F.col("set_key").alias("class"))
+    classes = components(links).join(keys, "node").join(roots, "root").select("set_key", "class")
     slim = rows.select("doc_id", "text_hash", "n_shingles", "set_key")
     labelled = slim.where("set_key IS NOT NULL").join(classes, "set_key", "left")
     labelled = labelled.withColumn("class", F.coalesce("class", "set_key")).drop("set_key")
